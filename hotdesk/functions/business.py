@@ -26,8 +26,18 @@ EARTH_RADIUS_KM = 6371.0088
 # ---- end of fixed values ---------------------------------------------------
 
 
+def rounded(value: Column, digits: int = 2) -> Column:
+    """Scales, rounds half away from zero, scales back.
+
+    ``round(value, digits)`` works on the shortest decimal text of the double, which
+    settles ties such as 1.265 differently from engines that scale first.
+    """
+    factor = float(10**digits)
+    return F.round(value.cast("double") * factor) / factor
+
+
 def round_money(amount: Column) -> Column:
-    return F.round(amount.cast("double"), 2)
+    return rounded(amount, 2)
 
 
 def revenue_brl(cents: Column) -> Column:
@@ -73,7 +83,7 @@ def ratio(numerator: Column, denominator: Column) -> Column:
 
 
 def percent(numerator: Column, denominator: Column) -> Column:
-    return F.round(100.0 * ratio(numerator, denominator), 2)
+    return rounded(100.0 * ratio(numerator, denominator))
 
 
 def cost_per_credit(plan_value: Column, monthly_credits: Column) -> Column:
@@ -112,4 +122,4 @@ def great_circle_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> C
 
 def distance_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
     """Great-circle distance rounded to metres."""
-    return F.round(great_circle_km(lat1, lon1, lat2, lon2), 3)
+    return rounded(great_circle_km(lat1, lon1, lat2, lon2), 3)

@@ -13,6 +13,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from hotdesk.functions.business import rounded
 from hotdesk.operators.incremental import timestamp_literal
 from hotdesk.schemas import SourceTable
 
@@ -141,7 +142,7 @@ def circuit_breaker(
         parts.append(counted.select(F.lit(name).alias("table_name"), "*"))
     rate = F.coalesce(F.col("failing_rows") / F.nullif(F.col("checked_rows"), F.lit(0)), F.lit(0.0))
     return _union(parts).select(
-        "*", F.round(rate, 4).alias("failure_rate"), (rate <= limit).alias("publish")
+        "*", rounded(rate, 4).alias("failure_rate"), (rate <= limit).alias("publish")
     )
 
 
@@ -183,7 +184,7 @@ def volume_anomaly(volumes: DataFrame) -> DataFrame:
     usual = F.avg("row_count").over(before)
     return volumes.select(
         "*",
-        F.round(usual, 2).alias("mean_before"),
+        rounded(usual, 2).alias("mean_before"),
         (
             (F.col("row_count") == 0) | F.coalesce(F.col("row_count") < VOLUME_SHARE * usual, F.lit(False))
         ).alias("is_anomaly"),

@@ -81,8 +81,8 @@ def compared(rates: DataFrame) -> DataFrame:
     rate, mean = F.col(RATE), F.col("network_mean")
     return with_network_average(rates).select(
         *rates.columns,
-        F.round(mean, 2).alias("media_geral_rede_perc"),
-        F.round(rate - mean, 2).alias("delta_vs_media"),
+        rules.rounded(mean).alias("media_geral_rede_perc"),
+        rules.rounded(rate - mean).alias("delta_vs_media"),
         rules.engagement_status(rate, mean).alias("status_de_engajamento"),
     )
 
@@ -142,6 +142,6 @@ def space_performance_monthly(fact: DataFrame, dim_spaces: DataFrame) -> DataFra
         "available_seats",
         weekdays_in_month(F.col("date_month")).alias("weekdays"),
         rules.percent(F.col("check_ins"), capacity).alias("taxa_ocupacao_mensal_perc"),
-        F.round("revenue", 2).alias("receita_bruta_gerada_brl"),
+        rules.rounded(F.col("revenue")).alias("receita_bruta_gerada_brl"),
         rules.percent(F.col("no_shows"), F.col("bookings")).alias("no_show_rate_perc"),
     )

@@ -85,17 +85,17 @@ def wide_booking_features(fact: DataFrame, dim_spaces: DataFrame) -> DataFrame:
         "occupancy_rate_pct",
         rules.distance_km(*[F.col(c) for c in (*_POINT, "_latitude", "_longitude")]).alias("distance_km"),
         "prior_bookings",
-        F.round(rules.ratio(F.col("_no_shows"), F.col("prior_bookings")), 4).alias("prior_no_show_rate"),
-        F.round(rules.ratio(F.col("_minutes"), F.col("_timed")), 2).alias("prior_mean_duration"),
+        rules.rounded(rules.ratio(F.col("_no_shows"), F.col("prior_bookings")), 4).alias("prior_no_show_rate"),
+        rules.rounded(rules.ratio(F.col("_minutes"), F.col("_timed"))).alias("prior_mean_duration"),
     )
 
 
 def _behaviour() -> list[Column]:
     return [
         F.count("*").alias("bookings"),
-        F.round(F.avg(F.col("is_no_show").cast("double")), 4).alias("no_show_rate"),
-        F.round(F.avg(F.col("is_cancelled").cast("double")), 4).alias("cancellation_rate"),
-        F.round(F.avg("duration_minutes"), 2).alias("mean_duration"),
+        rules.rounded(F.avg(F.col("is_no_show").cast("double")), 4).alias("no_show_rate"),
+        rules.rounded(F.avg(F.col("is_cancelled").cast("double")), 4).alias("cancellation_rate"),
+        rules.rounded(F.avg("duration_minutes")).alias("mean_duration"),
     ]
 
 
@@ -125,7 +125,7 @@ def user_profile_features(fact: DataFrame, dim_spaces: DataFrame) -> DataFrame:
         *_behaviour(),
         F.mode(F.hour(CHECK_IN), deterministic=True).alias("preferred_hour"),
         F.mode("neighborhood", deterministic=True).alias("favourite_neighborhood"),
-        F.round(
+        rules.rounded(
             F.avg(rules.great_circle_km(*[F.col(c) for c in (*_POINT, "_latitude", "_longitude")])), 3
         ).alias("mean_distance_km"),
         F.array(

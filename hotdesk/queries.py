@@ -36,10 +36,23 @@ CHURN_THRESHOLD = 30.0
 
 
 class Layers:
-    """The layers over one data folder, each built on demand as a lazy DataFrame."""
+    """The layers over one data folder, each built on demand as a lazy DataFrame.
+
+    ``lookup`` and ``space_history`` are stored once in the shared folder, since the
+    joins that use them look at their size first.
+    """
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
+        self._stored: dict[str, DataFrame] = {}
+
+    def stored(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        """The rows of ``build``, written once to the shared folder and read back."""
+        if name not in self._stored:
+            rows, folder = build(), new_folder(self.spark, name)
+            rows.write.mode("errorifexists").parquet(folder)
+            self._stored[name] = self.spark.read.schema(rows.schema).parquet(folder)
+        return self._stored[name]
 
     def raw(self, name: str) -> DataFrame:
         return landing.landed(self.spark, self.sf_dir, name)
@@ -47,32 +60,40 @@ class Layers:
     def clean(self, name: str) -> DataFrame:
         return clean(SOURCES[name], self.raw(name))
 
-    def stg(self, name: str) -> DataFrame:
-        extra = {"bookings": ["status", "booking_types"], "spaces": ["office_groups"]}.get(name, [])
-        return getattr(staging, name)(self.clean(name), *[self.clean(e) for e in extra])
+    def lookup(self, name: str) -> DataFrame:
+        return self.stored(f"clean_{name}", lambda: self.clean(name))
 
-    def fact(self) -> DataFrame:
-        return core.fact_bookings(self.stg("bookings"))
+    def stg(self, name: str) -> DataFrame:
+        if name == "bookings":
+            return staging.bookings(self.clean(name), self.lookup("status"), self.lookup("booking_types"))
+        if name == "spaces":
+            return self.spaces()
+        return getattr(staging, name)(self.clean(name))
 
     def spaces(self) -> DataFrame:
         """All landed versions, staged (the history that accumulates over loads)."""
-        return staging.spaces(typed(SOURCES["spaces"], self.raw("spaces")), self.clean("office_groups"))
+        return staging.spaces(typed(SOURCES["spaces"], self.raw("spaces")), self.lookup("office_groups"))
+
+    def fact(self) -> DataFrame:
+        return core.fact_bookings(self.stg("bookings"))
 
     def dim(self, name: str) -> DataFrame:
-        if name == "spaces":
-            return core.dim_spaces(self.spaces())
         return getattr(core, f"dim_{name}")(self.stg(name))
 
+    def space_history(self) -> DataFrame:
+        return self.stored("dim_spaces", lambda: self.dim("spaces"))
+
     def changes(self) -> DataFrame:
         """Several staged versions per booking."""
         rows = typed(SOURCES["bookings"], landing.booking_changes(self.spark, self.sf_dir))
-        return staging.bookings(rows, self.clean("status"), self.clean("booking_types"))
+        return staging.bookings(rows, self.lookup("status"), self.lookup("booking_types"))
 
     def credits(self) -> DataFrame:
         return analytics.credits_by_company_plan(self.fact(), self.dim("companies"), self.dim("plans"), AS_OF)
 
     def rates(self) -> DataFrame:
-        return analytics.utilization(self.credits())
+        """Utilisation rates, stored: the network mean is compared with every one of them."""
+        return self.stored("rates", lambda: analytics.utilization(self.credits()))
 
     def mart(self) -> DataFrame:
         return analytics.credit_utilization_l3m(self.fact(), self.dim("companies"), self.dim("plans"), AS_OF)
@@ -84,19 +105,33 @@ class Layers:
         layer, name = table.split("_", 1)
         if layer == "fact":
             return self.fact()
-        if table == "stg_spaces":
-            return self.spaces()
         return {"clean": self.clean, "stg": self.stg, "dim": self.dim}[layer](name)
 
-    def models(self, declared: list[quality.Check]) -> dict[str, DataFrame]:
-        names = {c.table for c in declared} | {c.parent[0] for c in declared if c.parent}
-        return {name: self.model(name) for name in sorted(names)}
-
     def warehouse(self) -> Warehouse:
         """An empty warehouse in a fresh part of the shared folder."""
         return Warehouse(self.spark, new_folder(self.spark, "warehouse"), f"hotdesk_{uuid4().hex[:12]}")
 
 
+class StoredLayers(Layers):
+    """The same layers at rest: every table is computed once, from the stored one below it."""
+
+    def clean(self, name: str) -> DataFrame:
+        return self.stored(f"clean_{name}", lambda: Layers.clean(self, name))
+
+    def stg(self, name: str) -> DataFrame:
+        return self.stored(f"stg_{name}", lambda: Layers.stg(self, name))
+
+    def fact(self) -> DataFrame:
+        return self.stored("fact_bookings", lambda: Layers.fact(self))
+
+    def dim(self, name: str) -> DataFrame:
+        return self.stored(f"dim_{name}", lambda: Layers.dim(self, name))
+
+    def models(self, declared: list[quality.Check]) -> dict[str, DataFrame]:
+        names = {c.table for c in declared} | {c.parent[0] for c in declared if c.parent}
+        return {name: self.model(name) for name in sorted(names)}
+
+
 def _before(rows: DataFrame, column: str) -> DataFrame:
     return rows.where(F.col(column) < incremental.timestamp_literal(SPLIT))
 
@@ -133,7 +168,7 @@ def surrogate_keys(at: Layers) -> DataFrame:
 
 
 def read_json_array(at: Layers) -> DataFrame:
-    mart, path = at.mart(), new_folder(at.spark, "json-array")
+    mart, path = at.stored(MART, at.mart), new_folder(at.spark, "json-array")
     files.write_json_arrays(mart, path, rows_per_file=500)
     return files.read_json_array(at.spark, path, mart.schema)
 
@@ -185,12 +220,12 @@ def safe_ratio(at: Layers) -> DataFrame:
 
 
 def network_average(at: Layers) -> DataFrame:
-    return analytics.network_average(at.rates()).select(F.round("network_mean", 2).alias("media_geral_rede_perc"))
+    return analytics.network_average(at.rates()).select(rules.rounded(F.col("network_mean")).alias("media_geral_rede_perc"))
 
 
 def scalar_cross_join(at: Layers) -> DataFrame:
     return analytics.with_network_average(at.rates()).select(
-        "company_id", "plan_name", analytics.RATE, F.round("network_mean", 2).alias("media_geral_rede_perc")
+        "company_id", "plan_name", analytics.RATE, rules.rounded(F.col("network_mean")).alias("media_geral_rede_perc")
     )
 
 
@@ -219,7 +254,7 @@ def utilization_sorted(at: Layers) -> DataFrame:
 
 def left_lookup_status(at: Layers) -> DataFrame:
     named = lookup_join(
-        at.clean("bookings"), at.clean("status"), "status_id", "status_id", {"status_name": "status_name"}
+        at.clean("bookings"), at.lookup("status"), "status_id", "status_id", {"status_name": "status_name"}
     )
     return named.select("booking_id", "status_id", "status_name")
 
@@ -227,7 +262,7 @@ def left_lookup_status(at: Layers) -> DataFrame:
 def left_lookup_types(at: Layers) -> DataFrame:
     named = lookup_join(
         at.clean("bookings"),
-        at.clean("booking_types"),
+        at.lookup("booking_types"),
         "booking_type_id",
         "booking_type_id",
         {"type_name": "booking_type_name"},
@@ -237,7 +272,7 @@ def left_lookup_types(at: Layers) -> DataFrame:
 
 def left_lookup_groups(at: Layers) -> DataFrame:
     named = lookup_join(
-        at.clean("spaces"), at.clean("office_groups"), "space_id", "group_id", {"group_name": "office_group_name"}
+        at.clean("spaces"), at.lookup("office_groups"), "space_id", "group_id", {"group_name": "office_group_name"}
     )
     return named.select("space_id", "office_group_name")
 
@@ -290,7 +325,7 @@ def dim_spaces(at: Layers) -> DataFrame:
 
 
 def point_in_time_join(at: Layers) -> DataFrame:
-    return features.booking_at_the_time(at.fact(), at.dim("spaces"))
+    return features.booking_at_the_time(at.fact(), at.space_history())
 
 
 # ---- churn -------------------------------------------------------------------
@@ -307,7 +342,7 @@ def export_json_roundtrip(at: Layers) -> DataFrame:
 
 
 def export_csv_roundtrip(at: Layers) -> DataFrame:
-    candidates, path = at.churn(), new_folder(at.spark, "csv")
+    candidates, path = at.stored("churn", at.churn), new_folder(at.spark, "csv")
     return files.read_csv(at.spark, path, candidates.schema) if files.export_csv(candidates, path) else candidates
 
 
@@ -358,7 +393,7 @@ def schema_sync(at: Layers) -> DataFrame:
 def mat_full_rebuild(at: Layers) -> DataFrame:
     """The mart written twice; the second run replaces the first."""
     warehouse = at.warehouse()
-    mart = at.mart()
+    mart = at.stored("mart", at.mart)
     warehouse.rebuild(MART, mart)
     warehouse.rebuild(MART, mart)
     return warehouse.read(MART)
@@ -380,7 +415,7 @@ def partition_pruned_scan(at: Layers) -> DataFrame:
 
 def check_report(at: Layers, *kinds: str) -> DataFrame:
     declared = checks.of_kind(*kinds) if kinds else list(checks.CHECKS)
-    return quality.report(at.models(declared), declared)
+    return quality.report(StoredLayers(at.spark, at.sf_dir).models(declared), declared)
 
 
 def dq_no_checkin_on_cancelled(at: Layers) -> DataFrame:
@@ -405,7 +440,7 @@ def dq_volume_anomaly(at: Layers) -> DataFrame:
 
 def dq_circuit_breaker(at: Layers) -> DataFrame:
     declared = checks.of_kind(*quality.ROW_KINDS)
-    return quality.circuit_breaker(at.models(declared), declared)
+    return quality.circuit_breaker(StoredLayers(at.spark, at.sf_dir).models(declared), declared)
 
 
 def dq_contract(at: Layers) -> DataFrame:
@@ -486,10 +521,10 @@ _PLANS: dict[str, Callable[[Layers], DataFrame]] = {
     "dq_no_checkin_on_cancelled": dq_no_checkin_on_cancelled,
     "dq_report": check_report,
     "source_freshness": source_freshness,
-    "space_performance_monthly": lambda at: analytics.space_performance_monthly(at.fact(), at.dim("spaces")),
+    "space_performance_monthly": lambda at: analytics.space_performance_monthly(at.fact(), at.space_history()),
     "user_behavior_features": lambda at: features.user_behavior_features(at.fact()),
-    "wide_booking_features": lambda at: features.wide_booking_features(at.fact(), at.dim("spaces")),
-    "user_profile_features": lambda at: features.user_profile_features(at.fact(), at.dim("spaces")),
+    "wide_booking_features": lambda at: features.wide_booking_features(at.fact(), at.space_history()),
+    "user_profile_features": lambda at: features.user_profile_features(at.fact(), at.space_history()),
     "dim_date": lambda at: features.dim_date(at.fact()),
     "dq_volume_anomaly": dq_volume_anomaly,
     "dq_circuit_breaker": dq_circuit_breaker,

@@ -22,7 +22,7 @@ from collections.abc import Callable
 from datetime import datetime
 from uuid import uuid4
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from hotdesk.operators import incremental
@@ -144,14 +144,13 @@ class Warehouse:
         """Replaces the whole table, laid out by a partition column."""
         run = self._new_run()
         folder = self._folder(table, f"run={run}")
-        _write_partitioned(rows, folder, partition_by)
-        written = self.spark.read.schema(rows.schema).parquet(folder)
+        filled = _write_partitioned(rows, folder, partition_by)
         if gate:
-            gate(written)
+            gate(self.spark.read.schema(rows.schema).parquet(folder))
         kind = rows.schema[partition_by].dataType.simpleString()
         previous = self._property(table, "files") if self.exists(table) else None
         files = self._create_files_table(table, rows.schema, (partition_by, kind))
-        self._point(files, partition_by, _values(written, partition_by), folder)
+        self._point(files, partition_by, filled, folder)
         self._publish(table, self._name(files), rows.columns, loaded_through, files)
         if previous:
             self.spark.sql(f"DROP TABLE IF EXISTS {self._name(previous)}")
@@ -184,11 +183,9 @@ class Warehouse:
             return
         rows = incremental.upsert(target.where(_is_one_of(partition_by, touched)), batch, keys)
         folder = self._folder(table, f"run={self._new_run()}")
-        _write_partitioned(rows, folder, partition_by)
-        written = self.spark.read.schema(rows.schema).parquet(folder)
+        filled = _write_partitioned(rows, folder, partition_by)
         if gate:
-            gate(written)
-        filled = _values(written, partition_by)
+            gate(self.spark.read.schema(rows.schema).parquet(folder))
         self._add_columns(files, batch.schema)
         self._point(files, partition_by, filled, folder)
         self._drop(files, partition_by, [v for v in touched if v not in filled])
@@ -250,10 +247,16 @@ def merge_into(table: str, batch: DataFrame, keys: list[str]) -> None:
     batch.alias("batch").mergeInto(table, condition).whenMatched().updateAll().whenNotMatched().insertAll().merge()
 
 
-def _write_partitioned(rows: DataFrame, folder: str, partition_by: str) -> None:
-    """One folder per partition value; busy values are split over tasks, quiet ones share one."""
-    balanced = rows.hint("rebalance", F.col(partition_by))
+def _write_partitioned(rows: DataFrame, folder: str, partition_by: str) -> list:
+    """Writes one folder per partition value and returns the values, seen while writing.
+
+    Busy values are split over several tasks, quiet ones share a task.
+    """
+    value, seen = F.col(partition_by), Observation()
+    observed = rows.observe(seen, F.collect_set(value).alias("filled"), F.count_if(value.isNull()).alias("nulls"))
+    balanced = observed.hint("rebalance", value)
     balanced.write.mode("errorifexists").partitionBy(partition_by).parquet(folder)
+    return list(seen.get["filled"]) + ([None] if seen.get["nulls"] else [])
 
 
 def _values(rows: DataFrame, column: str) -> list:

@@ -33,13 +33,18 @@ def newer_than(rows: DataFrame, column: str, watermark: datetime | None) -> Data
     return rows.where(F.col(column) > timestamp_literal(watermark))
 
 
-def latest_per_key(rows: DataFrame, keys: list[str], order_by: list[str]) -> DataFrame:
+def latest_per_key(
+    rows: DataFrame, keys: list[str], order_by: list[str], unique_order: bool = False
+) -> DataFrame:
     """One row per key: the greatest by ``order_by``, ties broken by all other columns.
 
+    Where the order is already unique within a key, say so: the tie-break would make
+    every column part of the sort, and so keep unused ones from being pruned.
+
     ``row_number() = 1`` is planned with a group limit before the shuffle, so a
     key with very many versions sends at most one row per map task.
     """
-    ties = [c for c in rows.columns if c not in keys and c not in order_by]
+    ties = [] if unique_order else [c for c in rows.columns if c not in keys and c not in order_by]
     newest_first = [F.col(c).desc_nulls_last() for c in [*order_by, *ties]]
     ranked = Window.partitionBy(*keys).orderBy(*newest_first)
     return rows.withColumn("_rank", F.row_number().over(ranked)).where("_rank = 1").drop("_rank")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
 from hotdesk.functions.keys import surrogate_key
 from hotdesk.operators.incremental import latest_per_key, newer_than
@@ -16,11 +16,8 @@ _RENAMED = {"created_at": "source_created_at", "updated_at": "source_updated_at"
 
 def typed(source: SourceTable, landed: DataFrame) -> DataFrame:
     """One cast per declared column; a value that does not fit raises (ANSI)."""
-    return landed.select(
-        *[
-            F.col(field.name).cast(field.dataType).alias(_RENAMED.get(field.name, field.name))
-            for field in source.schema
-        ]
+    return landed.selectExpr(
+        *[f"CAST({name} AS {kind}) AS {_RENAMED.get(name, name)}" for name, kind in source.columns]
     )
 
 

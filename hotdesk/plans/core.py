@@ -12,8 +12,11 @@ _RENAMED = {"source_created_at": "created_at", "source_updated_at": "updated_at"
 
 
 def _current(staged: DataFrame, id_column: str, staging_sk: str, sk: str) -> DataFrame:
-    """Latest staged version per id under the names of the star schema."""
-    latest = latest_per_key(staged.drop(staging_sk), [id_column], ["source_updated_at"])
+    """Latest staged version per id under the names of the star schema.
+
+    Staged rows are unique by (id, source_updated_at).
+    """
+    latest = latest_per_key(staged.drop(staging_sk), [id_column], ["source_updated_at"], unique_order=True)
     return latest.select(
         surrogate_key(id_column).alias(sk),
         *[F.col(c).alias(_RENAMED.get(c, c)) for c in latest.columns],

@@ -17,14 +17,32 @@ START = "TIMESTAMP_NTZ'1995-01-01 00:00:00'"
 UNMATCHED_STATUS = 99
 
 
+# Column names and types of the given tables (fixed values).
+GIVEN = {
+    "customer": "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, c_mktsegment STRING",
+    "orders": """o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE,
+        o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING""",
+    "lineitem": """l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, l_quantity DOUBLE,
+        l_extendedprice DOUBLE, l_discount DOUBLE, l_tax DOUBLE, l_returnflag STRING, l_linestatus STRING,
+        l_shipdate TIMESTAMP_NTZ""",
+    "part": "p_partkey BIGINT, p_name STRING, p_brand STRING, p_type STRING, p_size INT, p_retailprice DOUBLE",
+    "supplier": "s_suppkey BIGINT, s_name STRING, s_nationkey INT, s_acctbal DOUBLE",
+    "nation": "n_nationkey INT, n_name STRING, n_regionkey INT",
+    "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(GIVEN[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def landed(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One landed table in its declared schema."""
-    rows = _DERIVATIONS[name](spark, sf_dir)
-    return rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in SOURCES[name].schema])
+    return _in_schema(name, _DERIVATIONS[name](spark, sf_dir))
+
+
+def _in_schema(name: str, rows: DataFrame) -> DataFrame:
+    return rows.selectExpr(*[f"CAST({column} AS {kind}) AS {column}" for column, kind in SOURCES[name].columns])
 
 
 def all_landed(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
@@ -45,9 +63,7 @@ def booking_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     bookings = bookings.withColumns(
         {"credits": F.col("shipped_quantity"), "is_cancelled": F.col("returned"), "updated_at": F.col("l_shipdate")}
     )
-    return bookings.select(
-        *[F.col(f.name).cast(f.dataType).alias(f.name) for f in SOURCES["bookings"].schema]
-    )
+    return _in_schema("bookings", bookings)
 
 
 def _minutes_after(day: Column, minutes: Column) -> Column:

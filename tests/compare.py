@@ -33,6 +33,7 @@ def session(cores: str = "8") -> SparkSession:
         SparkSession.builder.master(f"local[{cores}]")
         .appName("hotdesk")
         .config("spark.ui.enabled", "false")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")

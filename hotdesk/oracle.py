@@ -480,7 +480,8 @@ _FINAL: dict[str, str] = {
         l_discount DESC, l_tax DESC, l_returnflag DESC, l_linestatus DESC) = 1""",
     "incremental_filter": f"""SELECT booking_id, updated_at FROM raw_bookings
         WHERE updated_at > (SELECT max(updated_at) FROM raw_bookings WHERE updated_at < {SPLIT})""",
-    "upsert_merge": "SELECT * FROM fact_changes",
+    "upsert_merge": """SELECT *, CAST(date_trunc('month', check_in_date) AS DATE) AS check_in_month
+        FROM fact_changes""",
     "append_only": "SELECT * FROM stg_spaces",
     "schema_sync": f"""SELECT booking_id, credits, CASE WHEN updated_at >= {SPLIT} THEN app_type END AS app_type,
         updated_at AS source_updated_at FROM raw_bookings""",

@@ -46,8 +46,10 @@ def gate_for(warehouse: Warehouse, table: str) -> Gate:
     return gate
 
 
-def _latest(rows: DataFrame, column: str) -> datetime | None:
-    return rows.agg(F.max(column)).first()[0]
+def _extent(rows: DataFrame, column: str) -> tuple[int, datetime | None]:
+    """Number of rows and their latest time, in one pass."""
+    found = rows.agg(F.count("*").alias("n"), F.max(column).alias("latest")).first()
+    return found["n"], found["latest"]
 
 
 def run(
@@ -76,14 +78,19 @@ def run(
         else:
             warehouse.upsert(table, batch, [key], through, gate(table))
 
+    def nothing_new(table: str, count: int) -> bool:
+        return count == 0 and not full_refresh and warehouse.exists(table)
+
     for name, source in SOURCES.items():
         table = f"clean_{name}"
         batch = warehouse.stage(table, clean(source, landed[name], since(table)))
-        through = _latest(batch, source.target_watermark)
+        count, through = _extent(batch, source.target_watermark)
+        if nothing_new(table, count):
+            continue
         keyed(table, batch, source.sk_column, through, CLEAN_PARTITION.get(name))
 
-    _stage_layer(warehouse, since, gate, keyed, full_refresh)
-    _core_layer(warehouse, since, gate, keyed, full_refresh)
+    _stage_layer(warehouse, since, gate, keyed, nothing_new, full_refresh)
+    _core_layer(warehouse, since, gate, keyed, nothing_new)
 
     mart = analytics.credit_utilization_l3m(
         warehouse.read("fact_bookings"), warehouse.read("dim_companies"), warehouse.read("dim_plans"), as_of
@@ -96,6 +103,7 @@ def _stage_layer(
     since: Callable[[str], datetime | None],
     gate: Callable[[str], Gate | None],
     keyed: Callable[..., None],
+    nothing_new: Callable[[str, int], bool],
     full_refresh: bool,
 ) -> None:
     extra = {
@@ -107,7 +115,9 @@ def _stage_layer(
         new = newer_than(warehouse.read(f"clean_{name}"), watermark, since(table))
         batch = getattr(staging, name)(new, *[warehouse.read(t) for t in extra.get(name, [])])
         batch = warehouse.stage(table, batch)
-        through = _latest(batch, watermark)
+        count, through = _extent(batch, watermark)
+        if nothing_new(table, count):
+            continue
         if name in HISTORIES:
             warehouse.append(table, batch, through, gate(table), restart=full_refresh)
         else:
@@ -119,7 +129,7 @@ def _core_layer(
     since: Callable[[str], datetime | None],
     gate: Callable[[str], Gate | None],
     keyed: Callable[..., None],
-    full_refresh: bool,
+    nothing_new: Callable[[str, int], bool],
 ) -> None:
     watermark = "source_updated_at"
     for table, name, build, partition in (
@@ -130,11 +140,16 @@ def _core_layer(
     ):
         new = newer_than(warehouse.read(f"stg_{name}"), watermark, since(table))
         batch = warehouse.stage(table, build(new))
-        keyed(table, batch, batch.columns[0], _latest(batch, "updated_at"), partition)
+        count, through = _extent(batch, "updated_at")
+        if nothing_new(table, count):
+            continue
+        keyed(table, batch, batch.columns[0], through, partition)
 
     # A new version also closes the one before it, so all versions of the spaces
     # that changed are rebuilt and replaced.
     history = warehouse.read("stg_spaces")
     changed = newer_than(history, watermark, since("dim_spaces"))
     versions = warehouse.stage("dim_spaces", core.versions_of_changed_spaces(history, changed))
-    keyed("dim_spaces", versions, "space_id", _latest(versions, "valid_from"), None)
+    count, through = _extent(versions, "valid_from")
+    if not nothing_new("dim_spaces", count):
+        keyed("dim_spaces", versions, "space_id", through, None)

@@ -16,6 +16,7 @@ from hotdesk.functions import business as rules
 from hotdesk.functions.keys import surrogate_key
 from hotdesk.functions.masking import mask_email, mask_phone
 from hotdesk.operators import incremental, quality
+from hotdesk.operators.dates import month_of
 from hotdesk.operators.history import with_next
 from hotdesk.operators.lookups import lookup_join
 from hotdesk.plans import analytics, checks, core, features, staging
@@ -362,13 +363,19 @@ def incremental_filter(at: Layers) -> DataFrame:
 
 
 def upsert_merge(at: Layers) -> DataFrame:
-    """Two loads of booking changes into the fact, partition by partition."""
-    warehouse = at.warehouse()
+    """Two loads of booking changes into a fact laid out by month of check-in.
+
+    The second load moves most of the bookings that it updates to another month.
+    """
+    warehouse, month = at.warehouse(), "check_in_month"
+
+    def fact(staged: DataFrame) -> DataFrame:
+        return core.fact_bookings(staged).withColumn(month, month_of(F.col(FACT_PARTITION)))
+
     staged = warehouse.stage("changes", at.changes())
-    first = core.fact_bookings(_before(staged, "source_updated_at"))
-    warehouse.rebuild_partitions("fact_bookings", first, FACT_PARTITION)
-    batch = warehouse.stage("batch", core.fact_bookings(_after(staged, "source_updated_at")))
-    warehouse.upsert_partitions("fact_bookings", batch, ["booking_dw_sk"], FACT_PARTITION)
+    warehouse.rebuild_partitions("fact_bookings", fact(_before(staged, "source_updated_at")), month)
+    batch = warehouse.stage("batch", fact(_after(staged, "source_updated_at")))
+    warehouse.upsert_partitions("fact_bookings", batch, ["booking_dw_sk"], month)
     return warehouse.read("fact_bookings")
 
 

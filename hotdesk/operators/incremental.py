@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import StructType
@@ -66,11 +67,17 @@ def append(target: DataFrame, batch: DataFrame) -> DataFrame:
     return sync_columns(target, batch.schema).unionByName(batch)
 
 
-def upsert(target: DataFrame, batch: DataFrame, keys: list[str]) -> DataFrame:
-    """Target rows whose key is absent from the batch, plus the batch.
+def by_key(target: DataFrame, batch: DataFrame, keys: list[str], how: str) -> DataFrame:
+    """Target rows whose key is (``left_semi``) or is not (``left_anti``) in the batch.
 
-    Keys are never NULL (surrogate or natural ids).  Only the key columns of
-    the batch take part in the join; Spark broadcasts them when they are small.
+    Only the key columns of the batch take part.  NULL equals NULL, as it does in
+    the surrogate key made of the same columns.
     """
-    untouched = target.join(batch.select(*keys).distinct(), keys, "left_anti")
-    return append(untouched, batch)
+    other = batch.select(*[F.col(k).alias(f"_batch_{k}") for k in keys])
+    same = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_batch_{k}")) for k in keys])
+    return target.join(other, same, how)
+
+
+def upsert(target: DataFrame, batch: DataFrame, keys: list[str]) -> DataFrame:
+    """Target rows whose key is absent from the batch, plus the batch."""
+    return append(by_key(target, batch, keys, "left_anti"), batch)

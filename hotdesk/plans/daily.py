@@ -3,6 +3,8 @@
 Each step reads what is new since its own watermark, checks the result, and
 publishes it.  A failed error-level check raises before the table is published,
 so nothing downstream runs on bad rows and readers keep yesterday's table.
+
+Merges go by natural id: the surrogate key is a hash of it, at four times the bytes.
 """
 
 from __future__ import annotations
@@ -14,7 +16,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from hotdesk.operators import quality
 from hotdesk.operators.incremental import newer_than
-from hotdesk.plans import analytics, core, staging
+from hotdesk.plans import analytics, core, features, staging
 from hotdesk.plans.checks import of_table
 from hotdesk.plans.clean import clean
 from hotdesk.schemas import SOURCES
@@ -87,7 +89,7 @@ def run(
         count, through = _extent(batch, source.target_watermark)
         if nothing_new(table, count):
             continue
-        keyed(table, batch, source.sk_column, through, CLEAN_PARTITION.get(name))
+        keyed(table, batch, source.id_column, through, CLEAN_PARTITION.get(name))
 
     _stage_layer(warehouse, since, gate, keyed, nothing_new, full_refresh)
     _core_layer(warehouse, since, gate, keyed, nothing_new)
@@ -121,7 +123,7 @@ def _stage_layer(
         if name in HISTORIES:
             warehouse.append(table, batch, through, gate(table), restart=full_refresh)
         else:
-            keyed(table, batch, batch.columns[0], through, None)
+            keyed(table, batch, source.id_column, through, None)
 
 
 def _core_layer(
@@ -138,12 +140,13 @@ def _core_layer(
         ("dim_users", "users", core.dim_users, None),
         ("fact_bookings", "bookings", core.fact_bookings, FACT_PARTITION),
     ):
+        id_column = SOURCES[name].id_column
         new = newer_than(warehouse.read(f"stg_{name}"), watermark, since(table))
         batch = warehouse.stage(table, build(new))
         count, through = _extent(batch, "updated_at")
         if nothing_new(table, count):
             continue
-        keyed(table, batch, batch.columns[0], through, partition)
+        keyed(table, batch, id_column, through, partition)
 
     # A new version also closes the one before it, so all versions of the spaces
     # that changed are rebuilt and replaced.
@@ -153,3 +156,25 @@ def _core_layer(
     count, through = _extent(versions, "valid_from")
     if not nothing_new("dim_spaces", count):
         keyed("dim_spaces", versions, "space_id", through, None)
+
+
+def refresh_features(warehouse: Warehouse) -> DataFrame:
+    """Rebuilds the feature tables unless the circuit breaker is open for what feeds them.
+
+    Returns the breaker's report.  With too many failing rows in any source, all
+    feature tables stay as they were.
+    """
+    sources = ("stg_bookings", "fact_bookings", "dim_spaces")
+    tables = {name: warehouse.read(name) for name in sources}
+    breaker = warehouse.stage("circuit_breaker", quality.circuit_breaker(tables, [c for t in sources for c in of_table(t)]))
+    if breaker.where(~F.col("publish")).isEmpty():
+        fact, spaces = tables["fact_bookings"], tables["dim_spaces"]
+        for table, rows in {
+            "dim_date": features.dim_date(fact),
+            "space_performance_monthly": analytics.space_performance_monthly(fact, spaces),
+            "user_behavior_features": features.user_behavior_features(fact),
+            "user_profile_features": features.user_profile_features(fact, spaces),
+            "wide_booking_features": features.wide_booking_features(fact, spaces),
+        }.items():
+            warehouse.rebuild(table, rows)
+    return breaker

@@ -375,7 +375,7 @@ def upsert_merge(at: Layers) -> DataFrame:
     staged = warehouse.stage("changes", at.changes())
     warehouse.rebuild_partitions("fact_bookings", fact(_before(staged, "source_updated_at")), month)
     batch = warehouse.stage("batch", fact(_after(staged, "source_updated_at")))
-    warehouse.upsert_partitions("fact_bookings", batch, ["booking_dw_sk"], month)
+    warehouse.upsert_partitions("fact_bookings", batch, ["booking_id"], month)
     return warehouse.read("fact_bookings")
 
 

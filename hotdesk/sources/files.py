@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
@@ -16,17 +19,21 @@ def read_json_array(spark: SparkSession, path: str, schema: StructType) -> DataF
 
 
 def write_json_arrays(rows: DataFrame, path: str, rows_per_file: int = 10_000) -> None:
-    """Writes JSON arrays of about ``rows_per_file`` objects, one array per file.
+    """Writes JSON arrays of at most ``rows_per_file`` objects, one array per file.
 
-    Rows are dealt out by the hash of the whole row, so equal content lands the
-    same way when a task is run again.  Rows should be distinct.
+    Arrays are cut from the rows where they lie: no shuffle, and never more than one
+    Arrow batch in memory.
     """
-    files = max(1, -(-rows.count() // rows_per_file))
-    slot = F.pmod(F.xxhash64(*rows.columns), F.lit(files))
-    arrays = rows.groupBy(slot.alias("slot")).agg(
-        F.to_json(F.collect_list(F.struct(*rows.columns))).alias("value")
-    )
-    arrays.select("value").write.option("maxRecordsPerFile", 1).mode("errorifexists").text(path)
+
+    def arrays(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for start in range(0, len(batch), rows_per_file):
+                objects = batch["object"].iloc[start : start + rows_per_file]
+                yield pd.DataFrame({"value": ["[" + ",".join(objects) + "]"]})
+
+    objects = rows.select(F.to_json(F.struct(*rows.columns)).alias("object"))
+    documents = objects.mapInPandas(arrays, "value STRING")
+    documents.write.option("maxRecordsPerFile", 1).mode("errorifexists").text(path)
 
 
 def export_json(rows: DataFrame, path: str) -> None:

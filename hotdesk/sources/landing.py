@@ -216,7 +216,7 @@ def _booking_types(spark: SparkSession, sf_dir: str) -> DataFrame:
     priority = F.col("o_orderpriority")
     return table(spark, sf_dir, "orders").groupBy(priority).agg(F.min("o_orderdate").alias("created_at")).select(
         F.substring(priority, 1, 1).alias("booking_type_id"),
-        F.substring(priority, 3, 100).alias("type_name"),
+        F.substr(priority, F.lit(3)).alias("type_name"),
         F.lit(True).alias("is_active"),
         "created_at",
     )

@@ -12,8 +12,7 @@ job writes depends on how its rows can collide with loaded ones:
 
 The view also records ``loaded_through``, the watermark of the last complete load.
 It is set last, so a load that broke off is simply run again: it reads the same
-batch and ends in the same rows.  Where the catalog offers a table format with
-``MERGE INTO``, ``merge_into`` gives the same result in one transaction.
+batch and ends in the same rows.
 """
 
 from __future__ import annotations
@@ -174,9 +173,8 @@ class Warehouse:
             self.rebuild_partitions(table, batch, partition_by, loaded_through, gate)
             return
         files = self._property(table, "files")
-        batch_keys = batch.select(*keys).distinct()
         target = self.read(table)
-        replaced = target.select(*keys, partition_by).join(batch_keys, keys, "left_semi")
+        replaced = incremental.by_key(target.select(*keys, partition_by), batch, keys, "left_semi")
         touched = _values(replaced.select(partition_by).union(batch.select(partition_by)), partition_by)
         if not touched:
             self._publish(table, self._name(files), batch.columns, loaded_through, files)
@@ -232,19 +230,13 @@ class Warehouse:
     # ---- intermediate results ------------------------------------------------
 
     def stage(self, name: str, rows: DataFrame) -> DataFrame:
-        """Stores intermediate rows in the shared folder and reads them back."""
-        folder = f"{self.root}/_stage/{name}-{self._new_run()}"
-        rows.write.mode("errorifexists").parquet(folder)
-        return self.spark.read.schema(rows.schema).parquet(folder)
-
+        """Stores intermediate rows and reads them back; the last ones of each name are kept.
 
-def merge_into(table: str, batch: DataFrame, keys: list[str]) -> None:
-    """The same keyed merge on a catalog table of a format that supports ``MERGE INTO``."""
-    same = [F.col(f"{table}.{k}") == F.col(f"batch.{k}") for k in keys]
-    condition: Column = same[0]
-    for part in same[1:]:
-        condition = condition & part
-    batch.alias("batch").mergeInto(table, condition).whenMatched().updateAll().whenNotMatched().insertAll().merge()
+        Never stage rows that are read from the stage of the same name.
+        """
+        folder = f"{self.root}/_stage/{name}"
+        rows.write.mode("overwrite").parquet(folder)
+        return self.spark.read.schema(rows.schema).parquet(folder)
 
 
 def _write_partitioned(rows: DataFrame, folder: str, partition_by: str) -> list:

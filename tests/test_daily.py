@@ -6,6 +6,7 @@ import random
 from datetime import date
 
 import pytest
+from pyspark.sql import functions as F
 
 from hotdesk.operators import quality
 from hotdesk.plans import core, daily
@@ -88,6 +89,23 @@ def test_every_declared_check_passes_and_personal_data_is_gone(loaded):
     assert len(report) == 68 and {r["status"] for r in report} == {"pass"}
 
 
+FEATURES = ["dim_date", "space_performance_monthly", "user_behavior_features", "user_profile_features",
+            "wide_booking_features"]
+
+
+def test_features_are_kept_when_the_breaker_opens(spark, loaded):
+    warehouse, _ = loaded
+    assert all(r["publish"] for r in daily.refresh_features(warehouse).collect())
+    before = {t: content(warehouse, t) for t in FEATURES}
+    assert len(before["wide_booking_features"]) > 0
+    spaces = warehouse.stage("spaces_now", warehouse.read("dim_spaces"))
+    warehouse.rebuild("dim_spaces", spaces.withColumn("space_id", F.lit(None).cast("bigint")))
+    report = {r["table_name"]: r["publish"] for r in daily.refresh_features(warehouse).collect()}
+    assert report == {"stg_bookings": True, "fact_bookings": True, "dim_spaces": False}
+    assert {t: content(warehouse, t) for t in FEATURES} == before
+    warehouse.rebuild("dim_spaces", spaces)
+
+
 def test_a_failed_check_blocks_the_table_and_what_follows(spark, loaded):
     warehouse, rows = loaded
     before = {t: content(warehouse, t) for t in ("stg_bookings", *STAR)}

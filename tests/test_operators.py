@@ -142,6 +142,13 @@ def test_upsert_replaces_adds_and_syncs_columns(spark):
     assert {tuple(r) for r in got.collect()} == {(1, "old", None), (2, "new", True), (3, "new", False)}
 
 
+def test_merge_keys_treat_null_as_a_value(spark):
+    target = spark.createDataFrame([(None, "old"), (1, "old")], "k INT, v STRING")
+    batch = spark.createDataFrame([(None, "new")], "k INT, v STRING")
+    got = {tuple(r) for r in incremental.upsert(target, batch, ["k"]).collect()}
+    assert got == {(None, "new"), (1, "old")}
+
+
 @pytest.mark.parametrize("max_rows", [100, 1])
 def test_lookup_join_keeps_rows_without_a_match(spark, max_rows):
     rows = spark.createDataFrame([(1, 10), (2, 99), (3, None)], "i INT, k INT")

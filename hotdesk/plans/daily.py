@@ -20,6 +20,7 @@ from hotdesk.plans import analytics, core, features, staging
 from hotdesk.plans.checks import of_table
 from hotdesk.plans.clean import clean
 from hotdesk.schemas import SOURCES
+from hotdesk.sources.files import export_csv, export_json
 from hotdesk.sources.warehouse import Gate, Warehouse
 
 HISTORIES = ("bookings", "spaces", "companies", "plans", "users")
@@ -178,3 +179,18 @@ def refresh_features(warehouse: Warehouse) -> DataFrame:
         }.items():
             warehouse.rebuild(table, rows)
     return breaker
+
+
+def export_churn(
+    warehouse: Warehouse, path: str, threshold: float = 30.0, output: str = "json"
+) -> DataFrame:
+    """Exports the companies under the threshold and returns their number per risk level.
+
+    Nothing is written when no company is under it.
+    """
+    candidates = warehouse.stage("churn_candidates", analytics.churn_candidates(warehouse.read(MART), threshold))
+    if output == "csv":
+        export_csv(candidates, path)
+    elif not candidates.isEmpty():
+        export_json(candidates, path)
+    return analytics.churn_summary(candidates)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+from functools import cache
 from uuid import uuid4
 
 from pyspark.sql import SparkSession
@@ -10,14 +11,18 @@ from pyspark.sql import SparkSession
 SHARED_FOLDER = "spark.checkpoint.dir"
 
 
+@cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="hotdesk-")
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors reach; local runs without one get a temporary folder."""
+    """The folder all executors reach; only local runs may go without one."""
     folder = spark.conf.get(SHARED_FOLDER, None)
     if folder:
         return folder.rstrip("/")
     if spark.conf.get("spark.master", "").startswith("local"):
-        spark.conf.set(SHARED_FOLDER, tempfile.mkdtemp(prefix="hotdesk-"))
-        return spark.conf.get(SHARED_FOLDER)
+        return _local_folder()
     raise ValueError(f"set {SHARED_FOLDER} to a folder that every executor can reach")
 
 

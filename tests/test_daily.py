@@ -106,6 +106,20 @@ def test_features_are_kept_when_the_breaker_opens(spark, loaded):
     warehouse.rebuild("dim_spaces", spaces)
 
 
+def test_churn_export(spark, loaded, tmp_path):
+    warehouse, _ = loaded
+    mart = warehouse.read(daily.MART)
+    low = mart.where("taxa_utilizacao_perc < 1000").count()
+    assert low > 0
+    for output in ("json", "csv"):
+        summary = daily.export_churn(warehouse, str(tmp_path / output), 1000.0, output)
+        assert sum(r["candidates"] for r in summary.collect()) == low
+        read = spark.read.json if output == "json" else spark.read.option("header", True).csv
+        assert read(str(tmp_path / output)).count() == low
+        assert daily.export_churn(warehouse, str(tmp_path / f"no-{output}"), -1.0, output).count() == 0
+        assert not (tmp_path / f"no-{output}").exists()
+
+
 def test_a_failed_check_blocks_the_table_and_what_follows(spark, loaded):
     warehouse, rows = loaded
     before = {t: content(warehouse, t) for t in ("stg_bookings", *STAR)}

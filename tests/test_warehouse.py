@@ -142,8 +142,19 @@ def test_rebuild_while_reading_itself(spark, warehouse):
     assert rows_of(warehouse, "r") == {(2,)}
 
 
+class Session:
+    """Just the settings of a session."""
+
+    def __init__(self, **settings):
+        self.conf = {k.replace("_", "."): v for k, v in settings.items()}
+
+
 def test_writes_go_to_the_shared_folder(spark):
     from hotdesk.sources.storage import new_folder
 
-    shared = spark.conf.get("spark.checkpoint.dir")
-    assert new_folder(spark, "x").startswith(f"{shared.rstrip('/')}/hotdesk/x-")
+    assert spark.conf.get("spark.master").startswith("local")
+    on_cluster = Session(spark_checkpoint_dir="hdfs:///shared/", spark_master="yarn")
+    assert new_folder(on_cluster, "x").startswith("hdfs:///shared/hotdesk/x-")
+    with pytest.raises(ValueError):
+        new_folder(Session(spark_master="yarn"), "x")
+    assert "hotdesk-" in new_folder(Session(spark_master="local[2]"), "x")

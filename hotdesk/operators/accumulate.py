@@ -10,7 +10,7 @@ def prior_totals(
 ) -> DataFrame:
     """Adds, per row, the sum of each measure over all earlier rows of its key.
 
-    The current row is left out (no look-ahead).  Sums are taken in two levels:
+    Key and time are not NULL.  The current row is left out (no look-ahead).  Sums are taken in two levels:
     within (key, day), and over one pre-aggregated row per (key, day), so the
     rows of one busy key are never sorted in a single task.
     """

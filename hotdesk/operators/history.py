@@ -21,7 +21,10 @@ VERSIONS_PER_KEY = 1_000
 
 
 def with_next(rows: DataFrame, key: str, at: str, name: str) -> DataFrame:
-    """Adds the following timestamp of the same key (``lead``), NULL on the last row."""
+    """Adds the following timestamp of the same key (``lead``), NULL on the last row.
+
+    Rows without a key or a timestamp have no place in a history: they get NULL.
+    """
     by_day = rows.withColumn("_day", F.to_date(at))
     first_of_day = by_day.groupBy(key, "_day").agg(F.min(at).alias("_first"))
     following = first_of_day.select(
@@ -96,10 +99,26 @@ def _range_join(facts: DataFrame, versions: DataFrame, key: str, columns: dict[s
 def _merge_by_time(facts: DataFrame, versions: DataFrame, key: str, columns: dict[str, str], how: str) -> DataFrame:
     """Linear merge: each fact takes the last version started up to its moment.
 
-    Never forms (fact, version) pairs, so its work is the sum of both sides.
+    Never forms (fact, version) pairs, so its work is the sum of both sides.  Facts
+    without a key or a moment cannot match and take no part in the shuffle.
     """
+    placeable = F.col(key).isNotNull() & F.col("_at").isNotNull()
+    merged = _last_started(facts.where(placeable), versions, key, columns)
     if how == "inner":
-        facts = facts.where(F.col(key).isNotNull() & F.col("_at").isNotNull())
+        return merged.where(F.col("_found").isNotNull()).select(
+            *facts.columns, *[F.col(f"_found.{new}").alias(new) for new in columns.values()]
+        )
+    types = {f.name: f.dataType for f in versions.schema}
+    unplaced = facts.where(~placeable).select(
+        "*", *[F.lit(None).cast(types[old]).alias(new) for old, new in columns.items()]
+    )
+    return merged.select(
+        *facts.columns, *[F.col(f"_found.{new}").alias(new) for new in columns.values()]
+    ).unionByName(unplaced)
+
+
+def _last_started(facts: DataFrame, versions: DataFrame, key: str, columns: dict[str, str]) -> DataFrame:
+    """Adds ``_found``: the version that is valid at ``_at``, or NULL."""
     started = versions.select(
         F.col(key),
         F.col("valid_from").alias("_at"),
@@ -121,19 +140,14 @@ def _merge_by_time(facts: DataFrame, versions: DataFrame, key: str, columns: dic
     last_of_day = timeline.groupBy(key, "_day").agg(
         F.max_by("_version", F.when(F.col("_is_fact").isNull(), F.col("_at"))).alias("_last")
     )
-    earlier_days = (
-        Window.partitionBy(key).orderBy("_day").rowsBetween(Window.unboundedPreceding, -1)
-    )
+    earlier_days = Window.partitionBy(key).orderBy("_day").rowsBetween(Window.unboundedPreceding, -1)
     carried = last_of_day.select(
         key, "_day", F.last("_last", ignorenulls=True).over(earlier_days).alias("_carried")
     )
-    found = (
+    return (
         timeline.withColumn("_same_day", F.last("_version", ignorenulls=True).over(so_far))
         .where("_is_fact")
         .join(carried, [key, "_day"], "left")
         .withColumn("_found", F.coalesce("_same_day", "_carried"))
         .withColumn("_found", F.when(F.col("_at") < F.col("_found._to"), F.col("_found")))
     )
-    if how == "inner":
-        found = found.where(F.col("_found").isNotNull())
-    return found.select(*facts.columns, *[F.col(f"_found.{new}").alias(new) for new in columns.values()])

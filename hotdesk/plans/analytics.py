@@ -91,8 +91,16 @@ def credit_utilization_l3m(
     fact: DataFrame, companies: DataFrame, plans: DataFrame, as_of: date | None = None
 ) -> DataFrame:
     """One row per company and plan attributes, least used first."""
-    rates = utilization(credits_by_company_plan(fact, companies, plans, as_of))
-    return compared(rates).orderBy(F.col(RATE).asc_nulls_last())
+    return least_used_first(compared(utilization(credits_by_company_plan(fact, companies, plans, as_of))))
+
+
+def least_used_first(rates: DataFrame) -> DataFrame:
+    """Sorted by rate, unknown rates last.
+
+    Equal rates go on by company and plan, which lets the sort split a rate that very
+    many rows share over several range partitions.
+    """
+    return rates.orderBy(F.col(RATE).asc_nulls_last(), "company_id", *PLAN)
 
 
 def churn_candidates(mart: DataFrame, threshold: float = 30.0) -> DataFrame:

@@ -247,7 +247,7 @@ def engagement_status(at: Layers) -> DataFrame:
 
 
 def utilization_sorted(at: Layers) -> DataFrame:
-    return at.rates().orderBy(F.col(analytics.RATE).asc_nulls_last()).select("company_id", "plan_name", analytics.RATE)
+    return analytics.least_used_first(at.rates()).select("company_id", "plan_name", analytics.RATE)
 
 
 # ---- staging columns ---------------------------------------------------------

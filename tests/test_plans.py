@@ -7,6 +7,7 @@ from datetime import date
 
 import pytest
 
+from hotdesk.operators.incremental import newer_than
 from hotdesk.plans import analytics
 from hotdesk.queries import AS_OF, QUERIES, Layers
 
@@ -44,6 +45,30 @@ def test_mart_sums_before_it_joins(at):
     assert "keys=[company_id" in line and "plan_id" in line and "company_name" not in line
 
 
+def test_mart_over_stored_tables_scans_the_fact_once(at, warehouse):
+    warehouse.rebuild("fact_bookings", at.fact())
+    warehouse.rebuild("dim_companies", at.dim("companies"))
+    warehouse.rebuild("dim_plans", at.dim("plans"))
+    mart = analytics.credit_utilization_l3m(*[warehouse.read(t) for t in (
+        "fact_bookings", "dim_companies", "dim_plans")], AS_OF)
+    mart.collect()
+    plan = executed(mart).split("== Initial Plan ==")[0]
+    assert "ReusedExchange" in plan
+    scans = [line for line in plan.splitlines() if "FileScan" in line and "credits_used" in line]
+    assert len(scans) == 1
+    columns = scans[0].split("FileScan parquet [")[1].split("]")[0].split(",")
+    assert {c.split("#")[0] for c in columns} == {
+        "company_id", "plan_id", "credits_used", "check_in_date", "is_cancelled", "is_no_show"}
+
+
+def test_watermark_reaches_the_scan_behind_a_published_view(at, warehouse):
+    from datetime import datetime
+
+    warehouse.append("stg_spaces", at.spaces(), datetime(2001, 1, 1))
+    new = newer_than(warehouse.read("stg_spaces"), "source_updated_at", warehouse.loaded_through("stg_spaces"))
+    assert "GreaterThan(source_updated_at" in executed(new)
+
+
 def test_scans_read_only_what_is_asked(spark, sf_dir):
     plan = executed(QUERIES["seats_cdc_latest"](spark, sf_dir))
     scan = plan[plan.index("ReadSchema") :]

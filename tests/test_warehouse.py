@@ -55,6 +55,21 @@ def test_merge_leaves_other_partitions_alone(spark, loaded):
     assert rows_of(loaded) == {(1, "z", D1), (2, "b", D1), (3, "c", D2), (4, "d", None), (5, "e", D3)}
 
 
+def test_a_busy_day_is_written_by_several_tasks(spark, warehouse):
+    day = F.when(F.col("id") % 3 == 0, F.lit(D1)).otherwise(F.date_add(F.lit(D2), (F.col("id") % 4).cast("int")))
+    rows = spark.range(0, 600_000, 1, 8).select("id", F.sha2(F.col("id").cast("string"), 256).alias("v"), day.alias("day"))
+    before = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1m")
+    try:
+        warehouse.rebuild_partitions("busy", rows, "day")
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", before)
+    published = warehouse.read("busy")
+    assert published.count() == 600_000
+    files = {r[0] for r in published.where(F.col("day") == F.lit(D1)).select(F.input_file_name()).distinct().collect()}
+    assert len(files) > 1
+
+
 def test_empty_merge_changes_nothing(spark, loaded):
     before = rows_of(loaded)
     loaded.upsert_partitions("t", spark.createDataFrame([], SCHEMA), ["k"], "day")

@@ -9,7 +9,7 @@ Merges go by natural id: the surrogate key is a hash of it, at four times the by
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Mapping
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame, functions as F
@@ -24,6 +24,7 @@ from hotdesk.sources.files import export_csv, export_json
 from hotdesk.sources.warehouse import Gate, Warehouse
 
 HISTORIES = ("bookings", "spaces", "companies", "plans", "users")
+LOOKUPS = {"bookings": ("clean_status", "clean_booking_types"), "spaces": ("clean_office_groups",)}
 CLEAN_PARTITION = {"bookings": "date_id"}
 FACT_PARTITION = "check_in_date"
 MART = "mart_credit_utilization_l3m"
@@ -49,12 +50,6 @@ def gate_for(warehouse: Warehouse, table: str) -> Gate:
     return gate
 
 
-def _extent(rows: DataFrame, column: str) -> tuple[int, datetime | None]:
-    """Number of rows and their latest time, in one pass."""
-    found = rows.agg(F.count("*").alias("n"), F.max(column).alias("latest")).first()
-    return found["n"], found["latest"]
-
-
 def run(
     warehouse: Warehouse,
     landed: Mapping[str, DataFrame],
@@ -70,93 +65,54 @@ def run(
     def since(table: str) -> datetime | None:
         return None if full_refresh else warehouse.loaded_through(table)
 
-    def keyed(table: str, batch: DataFrame, key: str, through: datetime | None, partition: str | None) -> None:
+    def keyed(table: str, rows: DataFrame, key: str, watermark: str, partition: str | None = None) -> None:
         if full_refresh or not warehouse.exists(table):
             if partition:
-                warehouse.rebuild_partitions(table, batch, partition, through, gate(table))
+                warehouse.rebuild_partitions(table, rows, partition, watermark, gate(table))
             else:
-                warehouse.rebuild(table, batch, through, gate(table))
-        elif partition:
-            warehouse.upsert_partitions(table, batch, [key], partition, through, gate(table))
+                warehouse.rebuild(table, rows, watermark, gate(table))
+            return
+        batch = warehouse.stage(table, rows)
+        if batch.isEmpty():
+            return
+        if partition:
+            warehouse.upsert_partitions(table, batch, [key], partition, watermark, gate(table))
         else:
-            warehouse.upsert(table, batch, [key], through, gate(table))
-
-    def nothing_new(table: str, count: int) -> bool:
-        return count == 0 and not full_refresh and warehouse.exists(table)
+            warehouse.upsert(table, batch, [key], watermark, gate(table))
 
     for name, source in SOURCES.items():
         table = f"clean_{name}"
-        batch = warehouse.stage(table, clean(source, landed[name], since(table)))
-        count, through = _extent(batch, source.target_watermark)
-        if nothing_new(table, count):
-            continue
-        keyed(table, batch, source.id_column, through, CLEAN_PARTITION.get(name))
-
-    _stage_layer(warehouse, since, gate, keyed, nothing_new, full_refresh)
-    _core_layer(warehouse, since, gate, keyed, nothing_new)
-
-    mart = analytics.credit_utilization_l3m(
-        warehouse.read("fact_bookings"), warehouse.read("dim_companies"), warehouse.read("dim_plans"), as_of
-    )
-    warehouse.rebuild(MART, mart, gate=gate(MART))
+        batch = clean(source, landed[name], since(table))
+        keyed(table, batch, source.id_column, source.target_watermark, CLEAN_PARTITION.get(name))
 
-
-def _stage_layer(
-    warehouse: Warehouse,
-    since: Callable[[str], datetime | None],
-    gate: Callable[[str], Gate | None],
-    keyed: Callable[..., None],
-    nothing_new: Callable[[str, int], bool],
-    full_refresh: bool,
-) -> None:
-    extra = {
-        "bookings": ["clean_status", "clean_booking_types"],
-        "spaces": ["clean_office_groups"],
-    }
     for name, source in SOURCES.items():
-        table, watermark = f"stg_{name}", source.target_watermark
-        new = newer_than(warehouse.read(f"clean_{name}"), watermark, since(table))
-        batch = getattr(staging, name)(new, *[warehouse.read(t) for t in extra.get(name, [])])
-        batch = warehouse.stage(table, batch)
-        count, through = _extent(batch, watermark)
-        if nothing_new(table, count):
-            continue
+        table = f"stg_{name}"
+        new = newer_than(warehouse.read(f"clean_{name}"), source.target_watermark, since(table))
+        batch = getattr(staging, name)(new, *[warehouse.read(t) for t in LOOKUPS.get(name, ())])
         if name in HISTORIES:
-            warehouse.append(table, batch, through, gate(table), restart=full_refresh)
+            warehouse.append(table, batch, source.target_watermark, gate(table), restart=full_refresh)
         else:
-            keyed(table, batch, source.id_column, through, None)
+            keyed(table, batch, source.id_column, source.target_watermark)
 
-
-def _core_layer(
-    warehouse: Warehouse,
-    since: Callable[[str], datetime | None],
-    gate: Callable[[str], Gate | None],
-    keyed: Callable[..., None],
-    nothing_new: Callable[[str, int], bool],
-) -> None:
-    watermark = "source_updated_at"
     for table, name, build, partition in (
         ("dim_companies", "companies", core.dim_companies, None),
         ("dim_plans", "plans", core.dim_plans, None),
         ("dim_users", "users", core.dim_users, None),
         ("fact_bookings", "bookings", core.fact_bookings, FACT_PARTITION),
     ):
-        id_column = SOURCES[name].id_column
-        new = newer_than(warehouse.read(f"stg_{name}"), watermark, since(table))
-        batch = warehouse.stage(table, build(new))
-        count, through = _extent(batch, "updated_at")
-        if nothing_new(table, count):
-            continue
-        keyed(table, batch, id_column, through, partition)
+        new = newer_than(warehouse.read(f"stg_{name}"), "source_updated_at", since(table))
+        keyed(table, build(new), SOURCES[name].id_column, "updated_at", partition)
 
     # A new version also closes the one before it, so all versions of the spaces
     # that changed are rebuilt and replaced.
     history = warehouse.read("stg_spaces")
-    changed = newer_than(history, watermark, since("dim_spaces"))
-    versions = warehouse.stage("dim_spaces", core.versions_of_changed_spaces(history, changed))
-    count, through = _extent(versions, "valid_from")
-    if not nothing_new("dim_spaces", count):
-        keyed("dim_spaces", versions, "space_id", through, None)
+    changed = newer_than(history, "source_updated_at", since("dim_spaces"))
+    keyed("dim_spaces", core.versions_of_changed_spaces(history, changed), "space_id", "valid_from")
+
+    mart = analytics.credit_utilization_l3m(
+        warehouse.read("fact_bookings"), warehouse.read("dim_companies"), warehouse.read("dim_plans"), as_of
+    )
+    warehouse.rebuild(MART, mart, gate=gate(MART))
 
 
 def refresh_features(warehouse: Warehouse) -> DataFrame:

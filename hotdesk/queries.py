@@ -383,8 +383,8 @@ def append_only(at: Layers) -> DataFrame:
     """Two loads of a history table."""
     warehouse = at.warehouse()
     history = warehouse.stage("history", at.spaces())
-    warehouse.append("stg_spaces", _before(history, "source_updated_at"), SPLIT)
-    warehouse.append("stg_spaces", _after(history, "source_updated_at"))
+    warehouse.append("stg_spaces", _before(history, "source_updated_at"), "source_updated_at")
+    warehouse.append("stg_spaces", _after(history, "source_updated_at"), "source_updated_at")
     return warehouse.read("stg_spaces")
 
 

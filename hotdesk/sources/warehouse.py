@@ -10,8 +10,8 @@ job writes depends on how its rows can collide with loaded ones:
 ``upsert``              keyed merge that rewrites the table (small tables);
 ``upsert_partitions``   keyed merge that rewrites only the partitions touched.
 
-The view also records ``loaded_through``, the watermark of the last complete load.
-It is set last, so a load that broke off is simply run again: it reads the same
+The view also records ``loaded_through``, the watermark of the last complete load,
+so that no later run scans the table for it.  It is set last, so a load that broke off is simply run again: it reads the same
 batch and ends in the same rows.
 """
 
@@ -83,33 +83,41 @@ class Warehouse:
             f"CREATE OR REPLACE VIEW {self._name(table)} TBLPROPERTIES ({properties}) AS SELECT {names} FROM {relation}"
         )
 
+    def _extent(self, rows: DataFrame, watermark: str | None) -> tuple[int, datetime | None]:
+        """Number of rows and their latest time, in one pass over one column."""
+        latest = F.max(watermark) if watermark else F.lit(None)
+        found = rows.agg(F.count("*").alias("n"), latest.alias("latest")).first()
+        return found["n"], found["latest"]
+
     def rebuild(
-        self, table: str, rows: DataFrame, loaded_through: datetime | None = None, gate: Gate | None = None
+        self, table: str, rows: DataFrame, watermark: str | None = None, gate: Gate | None = None
     ) -> None:
-        """Replaces the whole table."""
+        """Replaces the whole table.  ``watermark`` names the load-time column, if it has one."""
         folder = self._folder(table, f"run={self._new_run()}")
         rows.write.mode("errorifexists").parquet(folder)
+        written = self.spark.read.schema(rows.schema).parquet(folder)
         if gate:
-            gate(self.spark.read.parquet(folder))
-        self._publish(table, f"parquet.`{folder}`", rows.columns, loaded_through)
+            gate(written)
+        through = self._extent(written, watermark)[1] if watermark else None
+        self._publish(table, f"parquet.`{folder}`", rows.columns, through)
 
     def upsert(
         self,
         table: str,
         batch: DataFrame,
         keys: list[str],
-        loaded_through: datetime | None = None,
+        watermark: str | None = None,
         gate: Gate | None = None,
     ) -> None:
         """Replaces the rows whose key is in the batch and adds the batch."""
         rows = incremental.upsert(self.read(table), batch, keys) if self.exists(table) else batch
-        self.rebuild(table, rows, loaded_through, gate)
+        self.rebuild(table, rows, watermark, gate)
 
     def append(
         self,
         table: str,
         batch: DataFrame,
-        loaded_through: datetime | None = None,
+        watermark: str,
         gate: Gate | None = None,
         restart: bool = False,
     ) -> None:
@@ -123,34 +131,37 @@ class Warehouse:
         files = files or self._create_files_table(table, batch.schema, (LOAD_ID, "string"))
         folder = self._folder(table, f"{files}/{LOAD_ID}={load}")
         batch.write.mode("overwrite").parquet(folder)
-        if gate:
-            gate(self.spark.read.parquet(folder))
+        written = self.spark.read.schema(batch.schema).parquet(folder)
+        count, through = self._extent(written, watermark)
+        if gate and count:
+            gate(written)
         self._add_columns(files, batch.schema)
-        self.spark.sql(
-            f"ALTER TABLE {self._name(files)} ADD IF NOT EXISTS PARTITION ({LOAD_ID} = '{load}') LOCATION '{folder}'"
-        )
-        self.spark.catalog.refreshTable(self._name(files))
-        self._publish(table, self._name(files), batch.columns, loaded_through, files)
+        if count:
+            self.spark.sql(
+                f"ALTER TABLE {self._name(files)} ADD IF NOT EXISTS "
+                f"PARTITION ({LOAD_ID} = '{load}') LOCATION '{folder}'"
+            )
+            self.spark.catalog.refreshTable(self._name(files))
+        self._publish(table, self._name(files), batch.columns, through, files)
 
     def rebuild_partitions(
         self,
         table: str,
         rows: DataFrame,
         partition_by: str,
-        loaded_through: datetime | None = None,
+        watermark: str | None = None,
         gate: Gate | None = None,
     ) -> None:
         """Replaces the whole table, laid out by a partition column."""
-        run = self._new_run()
-        folder = self._folder(table, f"run={run}")
-        filled = _write_partitioned(rows, folder, partition_by)
+        folder = self._folder(table, f"run={self._new_run()}")
+        filled, through = _write_partitioned(rows, folder, partition_by, watermark)
         if gate:
             gate(self.spark.read.schema(rows.schema).parquet(folder))
         kind = rows.schema[partition_by].dataType.simpleString()
         previous = self._property(table, "files") if self.exists(table) else None
         files = self._create_files_table(table, rows.schema, (partition_by, kind))
         self._point(files, partition_by, filled, folder)
-        self._publish(table, self._name(files), rows.columns, loaded_through, files)
+        self._publish(table, self._name(files), rows.columns, through, files)
         if previous:
             self.spark.sql(f"DROP TABLE IF EXISTS {self._name(previous)}")
 
@@ -160,7 +171,7 @@ class Warehouse:
         batch: DataFrame,
         keys: list[str],
         partition_by: str,
-        loaded_through: datetime | None = None,
+        watermark: str | None = None,
         gate: Gate | None = None,
     ) -> None:
         """Keyed merge that rewrites the partitions of the batch and of the rows it replaces.
@@ -170,24 +181,23 @@ class Warehouse:
         ``batch`` is used several times: pass a stored one.
         """
         if not self.exists(table):
-            self.rebuild_partitions(table, batch, partition_by, loaded_through, gate)
+            self.rebuild_partitions(table, batch, partition_by, watermark, gate)
             return
         files = self._property(table, "files")
         target = self.read(table)
         replaced = incremental.by_key(target.select(*keys, partition_by), batch, keys, "left_semi")
         touched = _values(replaced.select(partition_by).union(batch.select(partition_by)), partition_by)
         if not touched:
-            self._publish(table, self._name(files), batch.columns, loaded_through, files)
             return
         rows = incremental.upsert(target.where(_is_one_of(partition_by, touched)), batch, keys)
         folder = self._folder(table, f"run={self._new_run()}")
-        filled = _write_partitioned(rows, folder, partition_by)
+        filled, through = _write_partitioned(rows, folder, partition_by, watermark)
         if gate:
             gate(self.spark.read.schema(rows.schema).parquet(folder))
         self._add_columns(files, batch.schema)
         self._point(files, partition_by, filled, folder)
         self._drop(files, partition_by, [v for v in touched if v not in filled])
-        self._publish(table, self._name(files), batch.columns, loaded_through, files)
+        self._publish(table, self._name(files), batch.columns, through, files)
 
     # ---- catalog statements --------------------------------------------------
 
@@ -239,16 +249,27 @@ class Warehouse:
         return self.spark.read.schema(rows.schema).parquet(folder)
 
 
-def _write_partitioned(rows: DataFrame, folder: str, partition_by: str) -> list:
-    """Writes one folder per partition value and returns the values, seen while writing.
+def _write_partitioned(
+    rows: DataFrame, folder: str, partition_by: str, watermark: str | None
+) -> tuple[list, datetime | None]:
+    """Writes one folder per partition value.
 
-    Busy values are split over several tasks, quiet ones share a task.
+    Busy values are split over several tasks, quiet ones share a task.  Returns the
+    partition values and the latest load time, both seen while writing.
     """
     value, seen = F.col(partition_by), Observation()
-    observed = rows.observe(seen, F.collect_set(value).alias("filled"), F.count_if(value.isNull()).alias("nulls"))
+    latest = F.max(watermark) if watermark else F.max(F.lit(None).cast("timestamp_ntz"))
+    observed = rows.observe(
+        seen,
+        F.collect_set(value).alias("filled"),
+        F.count_if(value.isNull()).alias("nulls"),
+        latest.cast("string").alias("latest"),
+    )
     balanced = observed.hint("rebalance", value)
     balanced.write.mode("errorifexists").partitionBy(partition_by).parquet(folder)
-    return list(seen.get["filled"]) + ([None] if seen.get["nulls"] else [])
+    found = seen.get
+    values = list(found["filled"]) + ([None] if found["nulls"] else [])
+    return values, datetime.fromisoformat(found["latest"]) if found["latest"] else None
 
 
 def _values(rows: DataFrame, column: str) -> list:

@@ -12,8 +12,13 @@ SCHEMA = "k INT, v STRING, day DATE"
 W1, W2 = datetime(2001, 1, 1, 5), datetime(2001, 1, 2, 5)
 
 
+def frame(spark, rows, at=W2, schema=SCHEMA):
+    """Rows of one load: all of them were loaded at the same time."""
+    return spark.createDataFrame(rows, schema).withColumn("at", F.lit(str(at)).cast("timestamp_ntz"))
+
+
 def rows_of(warehouse, table: str = "t") -> set:
-    return {tuple(r) for r in warehouse.read(table).collect()}
+    return {tuple(r) for r in warehouse.read(table).drop("at").collect()}
 
 
 def partitions_of(spark, warehouse, table: str = "t") -> dict[str, str]:
@@ -27,15 +32,13 @@ def partitions_of(spark, warehouse, table: str = "t") -> dict[str, str]:
 @pytest.fixture
 def loaded(spark, warehouse):
     first = [(1, "a", D1), (2, "b", D1), (3, "c", D2), (4, "d", None), (5, "e", D3)]
-    warehouse.rebuild_partitions("t", spark.createDataFrame(first, SCHEMA), "day", W1)
+    warehouse.rebuild_partitions("t", frame(spark, first, W1), "day", "at")
     return warehouse
 
 
 def test_merge_moves_rows_between_partitions(spark, loaded):
-    batch = spark.createDataFrame(
-        [(3, "moved", D1), (4, "dated", D3), (2, "undated", None), (9, "new", date(2001, 2, 1))], SCHEMA
-    )
-    loaded.upsert_partitions("t", batch, ["k"], "day", W2)
+    batch = frame(spark, [(3, "moved", D1), (4, "dated", D3), (2, "undated", None), (9, "new", date(2001, 2, 1))])
+    loaded.upsert_partitions("t", batch, ["k"], "day", "at")
     assert rows_of(loaded) == {
         (1, "a", D1), (2, "undated", None), (3, "moved", D1), (4, "dated", D3), (5, "e", D3),
         (9, "new", date(2001, 2, 1)),
@@ -50,7 +53,7 @@ def test_merge_moves_rows_between_partitions(spark, loaded):
 def test_merge_leaves_other_partitions_alone(spark, loaded):
     file_of = lambda k: loaded.read("t").where(F.col("k") == k).select(F.input_file_name()).first()[0]
     before = file_of(5), file_of(1)
-    loaded.upsert_partitions("t", spark.createDataFrame([(1, "z", D1)], SCHEMA), ["k"], "day", W2)
+    loaded.upsert_partitions("t", frame(spark, [(1, "z", D1)]), ["k"], "day", "at")
     assert file_of(5) == before[0] and file_of(1) != before[1]
     assert rows_of(loaded) == {(1, "z", D1), (2, "b", D1), (3, "c", D2), (4, "d", None), (5, "e", D3)}
 
@@ -72,12 +75,12 @@ def test_a_busy_day_is_written_by_several_tasks(spark, warehouse):
 
 def test_empty_merge_changes_nothing(spark, loaded):
     before = rows_of(loaded)
-    loaded.upsert_partitions("t", spark.createDataFrame([], SCHEMA), ["k"], "day")
+    loaded.upsert_partitions("t", frame(spark, []), ["k"], "day", "at")
     assert rows_of(loaded) == before and loaded.loaded_through("t") == W1
 
 
 def test_a_broken_off_merge_can_be_run_again(spark, loaded, monkeypatch):
-    batch = spark.createDataFrame([(3, "moved", D1), (4, "dated", D3)], SCHEMA)
+    batch = frame(spark, [(3, "moved", D1), (4, "dated", D3)])
 
     def lost(*_):
         raise RuntimeError("driver lost")
@@ -85,9 +88,9 @@ def test_a_broken_off_merge_can_be_run_again(spark, loaded, monkeypatch):
     with monkeypatch.context() as broken:
         broken.setattr(loaded, "_drop", lost)
         with pytest.raises(RuntimeError):
-            loaded.upsert_partitions("t", batch, ["k"], "day", W2)
+            loaded.upsert_partitions("t", batch, ["k"], "day", "at")
     assert loaded.loaded_through("t") == W1  # so the same batch is read again
-    loaded.upsert_partitions("t", batch, ["k"], "day", W2)
+    loaded.upsert_partitions("t", batch, ["k"], "day", "at")
     assert rows_of(loaded) == {(1, "a", D1), (2, "b", D1), (3, "moved", D1), (4, "dated", D3), (5, "e", D3)}
 
 
@@ -100,24 +103,24 @@ def test_partition_filter_prunes(spark, loaded):
 
 
 def test_columns_come_and_go(spark, loaded):
-    batch = spark.createDataFrame([(1, D1, True)], "k INT, day DATE, fresh BOOLEAN")
-    loaded.upsert_partitions("t", batch, ["k"], "day", W2)
-    assert loaded.read("t").columns == ["k", "day", "fresh"]
+    batch = frame(spark, [(1, D1, True)], schema="k INT, day DATE, fresh BOOLEAN")
+    loaded.upsert_partitions("t", batch, ["k"], "day", "at")
+    assert loaded.read("t").columns == ["k", "day", "fresh", "at"]
     assert rows_of(loaded) == {(1, D1, True), (2, D1, None), (3, D2, None), (4, None, None), (5, D3, None)}
 
 
 def test_upsert_rewrites_small_tables(spark, warehouse):
     schema = "k INT, v STRING"
-    warehouse.upsert("s", spark.createDataFrame([(1, "a"), (2, "b")], schema), ["k"], W1)
-    warehouse.upsert("s", spark.createDataFrame([(2, "c"), (3, "d")], schema), ["k"], W2)
+    warehouse.upsert("s", frame(spark, [(1, "a"), (2, "b")], W1, schema), ["k"], "at")
+    warehouse.upsert("s", frame(spark, [(2, "c"), (3, "d")], W2, schema), ["k"], "at")
     assert rows_of(warehouse, "s") == {(1, "a"), (2, "c"), (3, "d")}
     assert warehouse.loaded_through("s") == W2 and warehouse.loaded_through("none") is None
 
 
 def test_append_is_repeatable(spark, warehouse, monkeypatch):
     schema = "k INT, v STRING"
-    warehouse.append("h", spark.createDataFrame([(1, "a")], schema), W1)
-    second = spark.createDataFrame([(1, "b"), (2, "c")], schema)
+    warehouse.append("h", frame(spark, [(1, "a")], W1, schema), "at")
+    second = frame(spark, [(1, "b"), (2, "c")], W2, schema)
 
     def lost(*_):
         raise RuntimeError("driver lost")
@@ -125,10 +128,13 @@ def test_append_is_repeatable(spark, warehouse, monkeypatch):
     with monkeypatch.context() as broken:
         broken.setattr(warehouse, "_publish", lost)
         with pytest.raises(RuntimeError):
-            warehouse.append("h", second, W2)
-    warehouse.append("h", second, W2)
-    assert sorted(map(tuple, warehouse.read("h").collect())) == [(1, "a"), (1, "b"), (2, "c")]
-    warehouse.append("h", spark.createDataFrame([(7, "z")], schema), W1, restart=True)
+            warehouse.append("h", second, "at")
+    assert warehouse.loaded_through("h") == W1
+    warehouse.append("h", second, "at")
+    warehouse.append("h", frame(spark, [], W2, schema), "at")
+    assert sorted(map(tuple, warehouse.read("h").drop("at").collect())) == [(1, "a"), (1, "b"), (2, "c")]
+    assert warehouse.loaded_through("h") == W2
+    warehouse.append("h", frame(spark, [(7, "z")], W1, schema), "at", restart=True)
     assert rows_of(warehouse, "h") == {(7, "z")}
 
 
@@ -138,12 +144,12 @@ def test_gate_keeps_the_published_table(spark, loaded):
         raise ValueError("refused")
 
     before = rows_of(loaded)
-    batch = spark.createDataFrame([(1, "z", D1)], SCHEMA)
+    batch = frame(spark, [(1, "z", D1)])
     for publish in (
-        lambda: loaded.upsert_partitions("t", batch, ["k"], "day", W2, refuse),
-        lambda: loaded.rebuild_partitions("t", batch, "day", W2, refuse),
-        lambda: loaded.rebuild("t", batch, W2, refuse),
-        lambda: loaded.append("t2", batch, W2, refuse),
+        lambda: loaded.upsert_partitions("t", batch, ["k"], "day", "at", refuse),
+        lambda: loaded.rebuild_partitions("t", batch, "day", "at", refuse),
+        lambda: loaded.rebuild("t", batch, "at", refuse),
+        lambda: loaded.append("t2", batch, "at", refuse),
     ):
         with pytest.raises(ValueError):
             publish()

@@ -259,14 +259,14 @@ def _write_partitioned(
     """
     value, seen = F.col(partition_by), Observation()
     latest = F.max(watermark) if watermark else F.max(F.lit(None).cast("timestamp_ntz"))
-    observed = rows.observe(
+    balanced = rows.hint("rebalance", value)
+    observed = balanced.observe(
         seen,
         F.collect_set(value).alias("filled"),
         F.count_if(value.isNull()).alias("nulls"),
         latest.cast("string").alias("latest"),
     )
-    balanced = observed.hint("rebalance", value)
-    balanced.write.mode("errorifexists").partitionBy(partition_by).parquet(folder)
+    observed.write.mode("errorifexists").partitionBy(partition_by).parquet(folder)
     found = seen.get
     values = list(found["filled"]) + ([None] if found["nulls"] else [])
     return values, datetime.fromisoformat(found["latest"]) if found["latest"] else None

@@ -79,6 +79,18 @@ def test_empty_merge_changes_nothing(spark, loaded):
     assert rows_of(loaded) == before and loaded.loaded_through("t") == W1
 
 
+@pytest.mark.parametrize("lazy", [True, False])
+def test_a_table_may_start_empty(spark, warehouse, lazy):
+    none = frame(spark, [(1, "a", D1)]).where(F.col("k") > 5) if lazy else frame(spark, [])
+    warehouse.rebuild_partitions("e", none, "day", "at")
+    assert warehouse.read("e").count() == 0 and warehouse.loaded_through("e") == datetime(1900, 1, 1)
+    warehouse.upsert_partitions("e", frame(spark, [(1, "a", D1)]), ["k"], "day", "at")
+    assert rows_of(warehouse, "e") == {(1, "a", D1)} and warehouse.loaded_through("e") == W2
+    # A batch that empties the only partition of the row it moves.
+    warehouse.upsert_partitions("e", frame(spark, [(1, "b", None)]), ["k"], "day", "at")
+    assert rows_of(warehouse, "e") == {(1, "b", None)}
+
+
 def test_a_broken_off_merge_can_be_run_again(spark, loaded, monkeypatch):
     batch = frame(spark, [(3, "moved", D1), (4, "dated", D3)])
 

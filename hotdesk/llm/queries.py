@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hotdesk.llm import exact_search, packing, pii, secret_scan, sharding, token_output
+from hotdesk.llm import exact_search, ngram_join, packing, pii, secret_scan, sharding, token_output
 from hotdesk.llm.tables import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,6 +18,7 @@ def over(table: str, operator: Callable[[DataFrame], DataFrame]) -> Query:
 
 QUERIES: dict[str, Query] = {
     "op1_cost_balanced_packing": over("documents", packing.digest),
+    "op2_ngram_jaccard_join": over("documents", ngram_join.digest),
     "op3_secret_ownership": over("documents", secret_scan.digest),
     "op5_balanced_label_propagation": over("documents", sharding.digest),
     "op6_personal_data": over("documents", pii.digest),

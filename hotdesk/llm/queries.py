@@ -6,7 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hotdesk.llm import exact_search, ngram_join, packing, pii, secret_scan, sharding, token_output
+from hotdesk.llm import (
+    exact_search,
+    language_id,
+    ngram_join,
+    packing,
+    pii,
+    quality,
+    secret_scan,
+    sharding,
+    token_output,
+)
 from hotdesk.llm.tables import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,12 +26,18 @@ def over(table: str, operator: Callable[[DataFrame], DataFrame]) -> Query:
     return lambda spark, sf_dir: operator(read(spark, sf_dir, table))
 
 
+def _quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.digest(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_cost_balanced_packing": over("documents", packing.digest),
     "op2_ngram_jaccard_join": over("documents", ngram_join.digest),
     "op3_secret_ownership": over("documents", secret_scan.digest),
+    "op4_partial_matching_language": over("documents", language_id.identify),
     "op5_balanced_label_propagation": over("documents", sharding.digest),
     "op6_personal_data": over("documents", pii.digest),
+    "op7_co_training_quality": _quality,
     "op9_packed_matrices": over("documents", token_output.matrices),
     "op10_exact_top_k": over("embeddings", exact_search.nearest),
 }

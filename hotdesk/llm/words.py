@@ -7,7 +7,8 @@ all words of a block at once from one running sum.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -16,7 +17,7 @@ import pyarrow.compute as pc
 #: Bytes that are hashed at a time; a block ends at the next white space.
 BLOCK = 1 << 20
 
-_WHITE = [0x20, *range(0x09, 0x0E)]
+WHITE = (0x20, *range(0x09, 0x0E))
 _BASE = 0x9E3779B97F4A7C15
 
 
@@ -27,19 +28,35 @@ def mixed(hashes: np.ndarray) -> np.ndarray:
     return hashes ^ (hashes >> np.uint64(32))
 
 
-def _tables() -> tuple[np.ndarray, np.ndarray]:
+#: With these as white space too, words are runs of ASCII letters, digits and bytes beyond ASCII.
+SIGNS = tuple(byte for byte in range(128) if not chr(byte).isalnum())
+
+
+def _tables(white_bytes: Sequence[int]) -> tuple[np.ndarray, np.ndarray]:
     values = mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(_BASE))
     values[ord("A") : ord("Z") + 1] = values[ord("a") : ord("z") + 1]
     white = np.zeros(256, bool)
-    white[_WHITE] = True
+    white[list(white_bytes)] = True
     return values, white
 
 
+class Spans(NamedTuple):
+    """Words in the bytes of several texts; ``offsets`` and ``bounds`` tell each text's bytes and words."""
+
+    data: np.ndarray
+    offsets: np.ndarray
+    begins: np.ndarray
+    ends: np.ndarray
+    hashes: np.ndarray
+    prefixes: np.ndarray
+    bounds: np.ndarray
+
+
 class Words:
     """Hashes the words of text columns; keeps its tables between batches."""
 
-    def __init__(self):
-        self.values, self.white = _tables()
+    def __init__(self, white: Sequence[int] = WHITE):
+        self.values, self.white = _tables(white)
         self.powers = self.inverses = np.ones(0, np.uint64)
 
     def _grow(self, size: int) -> None:
@@ -49,8 +66,8 @@ class Words:
             steps[0] = back[0] = 1
             self.powers, self.inverses = np.cumprod(steps), np.cumprod(back)
 
-    def _block(self, data: np.ndarray, fresh: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Starts and hashes of the words of a block; ``fresh`` marks where a text begins."""
+    def _block(self, data: np.ndarray, fresh: np.ndarray, prefix: int) -> tuple[np.ndarray, ...]:
+        """Begins, ends, hashes and prefix hashes of the words; ``fresh`` marks where a text begins."""
         self._grow(len(data) + 1)
         white = self.white[data]
         after_gap = np.ones(len(data) + 1, bool)
@@ -59,26 +76,35 @@ class Words:
         ends = np.flatnonzero(~white & (np.append(white[1:], True) | after_gap[1:])) + 1
         sums = np.zeros(len(data) + 1, np.uint64)
         np.cumsum(self.values[data] * self.powers[: len(data)], out=sums[1:])
-        return begins, mixed((sums[ends] - sums[begins]) * self.inverses[begins])
 
-    def of(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """Word hashes of all texts in a row, and where each text's words begin (and the end)."""
+        def hashed(upto: np.ndarray) -> np.ndarray:
+            return mixed((sums[upto] - sums[begins]) * self.inverses[begins])
+
+        return begins, ends, hashed(ends), hashed(np.minimum(ends, begins + prefix)) if prefix else begins[:0]
+
+    def spans(self, texts: pa.Array, prefix: int = 0) -> Spans:
+        """The words of all texts, one after the other; ``prefix`` bytes are also hashed on their own."""
         texts = pc.fill_null(texts, "").cast(pa.large_binary())
         offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
         data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[offsets[0] : offsets[-1]]
         offsets = offsets - offsets[0]
         fresh = np.zeros(len(data) + 1, bool)
         fresh[offsets] = True
-        begins, hashes, at = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)], 0
+        parts, at = [(np.zeros(0, np.int64),) * 2 + (np.zeros(0, np.uint64),) * 2], 0
         while at < len(data):
             end = min(at + BLOCK, len(data))
             while end < len(data) and not (fresh[end] or self.white[data[end]]):
                 end += 1
-            found, hashed = self._block(data[at:end], fresh[at:end])
-            begins.append(found + at)
-            hashes.append(hashed)
+            begins, ends, hashes, prefixes = self._block(data[at:end], fresh[at:end], prefix)
+            parts.append((begins + at, ends + at, hashes, prefixes if prefix else hashes[:0]))
             at = end
-        return np.concatenate(hashes), np.searchsorted(np.concatenate(begins), offsets)
+        begins, ends, hashes, prefixes = (np.concatenate(p) for p in zip(*parts, strict=True))
+        return Spans(data, offsets, begins, ends, hashes, prefixes, np.searchsorted(begins, offsets))
+
+    def of(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Word hashes of all texts in a row, and where each text's words begin (and the end)."""
+        found = self.spans(texts)
+        return found.hashes, found.bounds
 
 
 def grams(words: np.ndarray, size: int) -> np.ndarray:

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from hotdesk.llm import (
+    decontaminate,
     exact_search,
     language_id,
     ngram_join,
@@ -30,6 +31,10 @@ def _quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.digest(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def _leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_cost_balanced_packing": over("documents", packing.digest),
     "op2_ngram_jaccard_join": over("documents", ngram_join.digest),
@@ -38,6 +43,7 @@ QUERIES: dict[str, Query] = {
     "op5_balanced_label_propagation": over("documents", sharding.digest),
     "op6_personal_data": over("documents", pii.digest),
     "op7_co_training_quality": _quality,
+    "op8_aligned_decontamination": _leaks,
     "op9_packed_matrices": over("documents", token_output.matrices),
     "op10_exact_top_k": over("embeddings", exact_search.nearest),
 }

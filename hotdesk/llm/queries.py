@@ -18,8 +18,11 @@ from hotdesk.llm import (
     sharding,
     token_output,
 )
+from hotdesk.llm.oracle import ORACLE
 from hotdesk.llm.tables import read
 
+__all__ = ["ORACLE", "QUERIES"]
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -47,6 +50,3 @@ QUERIES: dict[str, Query] = {
     "op9_packed_matrices": over("documents", token_output.matrices),
     "op10_exact_top_k": over("embeddings", exact_search.nearest),
 }
-
-#: The same results as SQL, where SQL can express them.
-ORACLE: dict[str, str] = {}

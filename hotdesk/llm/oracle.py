@@ -39,7 +39,7 @@ _SECRET_KINDS = (
     ("assign", 0, _KEYWORD + r"""["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)"""),
     ("access", 1, "AKIA[A-Z0-9]{16,}"),
     ("hex", 2, "[0-9a-f]{24,}"),
-    ("live", 3, "[A-Za-z0-9+/_=-]{20,}"),
+    ("live", 3, "[A-Za-z0-9+/_-]{20,}={0,2}"),
 )
 
 

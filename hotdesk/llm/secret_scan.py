@@ -27,14 +27,15 @@ BASE = (
     Kind("access", r"AKIA[A-Z0-9]{16,}+", hint=lambda t: t.contains("AKIA")),
     Kind("hex", r"(?<![0-9a-f])[0-9a-f]{24,}+"),
 )
-#: Opaque values: long runs that mix digits and letters; words and numbers alone do not pass.
+#: Opaque values: long runs that mix digits and letters; words and numbers alone do not pass. The
+#: sign of an assignment is no part of them, so a value has one hash with and without its key word.
 OPAQUE = Kind(
     "live",
-    r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}+",
+    r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}+={0,2}",
     lambda s: (F.regexp_count(s["value"], F.lit("[0-9]")) >= 4)
     & (F.regexp_count(s["value"], F.lit("[A-Za-z]")) >= 4)
     & (F.size(F.array_distinct(F.split(s["value"], ""))) >= 10),
-    lambda t: t.rlike(r"[A-Za-z0-9+/_=-]{20}"),
+    lambda t: t.rlike(r"[A-Za-z0-9+/_-]{20}"),
 )
 MAX_OWNERS = 1
 MAX_REPOSITORIES = 3

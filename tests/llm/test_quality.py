@@ -1,0 +1,48 @@
+"""Co-training: accuracy on labels that it did not see, and odd rows."""
+
+from __future__ import annotations
+
+import numpy as np
+from pyspark.sql import functions as F
+
+from hotdesk.llm import quality
+from hotdesk.llm.tables import read
+
+
+def test_unseen_labels(spark):
+    folder = "/root/testdata/sf0.1"
+    docs, labels = read(spark, folder, "documents"), read(spark, folder, "labels")
+    known = {r.doc_id: (r.quality, r.toxic) for r in labels.collect()}
+    rows = quality.digest(docs, labels.where("doc_id % 2 = 0")).collect()
+    assert len(rows) == docs.count()
+    unseen = [(known[r.doc_id], r.keep) for r in rows if r.doc_id in known and r.doc_id % 2]
+    for label, keep, least in (((1, 0), True, 0.97), ((0, 0), False, 0.95), ((1, 1), False, 0.85)):
+        own = [k == keep for found, k in unseen if found == label]
+        assert np.mean(own) >= least
+
+
+def test_views_teach_each_other():
+    """A metadata view that the labelled rows barely cover learns from the content view."""
+    rng = np.random.default_rng(0)
+    y = rng.integers(0, 2, 2000)
+    content = np.column_stack([y + rng.normal(0, 0.3, 2000), rng.normal(size=2000)])
+    codes = np.column_stack([y * 5 + rng.integers(0, 5, 2000), np.full(2000, 128), np.full(2000, 160)])
+    seen = np.where(np.arange(2000) < 60, y, -1)
+    model = quality.co_train(content, codes, [np.zeros(0, np.int32)] * 2000, seen)
+    by_source = model["metadata"][:10]
+    assert by_source[5:].min() > by_source[:5].max()
+    odds = quality.logits(quality._one_hot(codes), model["metadata"])
+    assert np.mean((odds > 0) == y) > 0.95
+
+
+def test_odd_rows(spark):
+    rows = [(1, None, None, None, None), (1, "a b", None, "x", 3), (None, "", None, None, 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    docs = docs.withColumn("keep", F.lit(1)).withColumn("quality", F.lit("q")).withColumn("h", F.lit(1))
+    labels = spark.createDataFrame([(1, 1, None), (1, 0, None), (None, 1, 1)], "doc_id long, quality int, toxic int")
+    found = quality.digest(docs, labels).collect()
+    assert {(r.quality_score, r.toxic_score, r.keep) for r in found} == {(1.0, 0.5, True)} and len(found) == 3
+    kept = quality.keep_good(docs, labels)
+    assert kept.columns == docs.columns and kept.count() == 3
+    assert {r.quality_score for r in quality.digest(docs, labels.limit(0)).collect()} == {0.5}
+    assert quality.digest(docs.limit(0), labels).collect() == []

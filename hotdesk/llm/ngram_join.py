@@ -7,7 +7,7 @@ shingles. Equal sets are one class from the start, so copies cost nothing furthe
    bands differs in at most D shingles. The hash space is cut into more than D slices; a slice
    that no difference touches has the same content in both. Slices are hashed, and
    classes without a slice in common with another class are done (pigeonhole: none is lost).
-2. The others are partitioned into groups of similar documents: those whose smallest shared
+2. The others are partitioned into groups of similar documents: those whose most widely shared
    slice is the same, in groups of bounded size. Each group keeps the union of its tokens.
 3. Pairs of groups that share a slice meet in one task. A document queries the other group:
    its overlap with the group's union bounds its overlap with every member, so only groups
@@ -37,8 +37,11 @@ from hotdesk.llm.components import components
 from hotdesk.llm.tables import stored
 from hotdesk.llm.words import Words, mixed, shingle_sets
 
-#: Members of a group; tokens of an incidence matrix at a time; classes that a task remembers.
-GROUP, TOKENS, REMEMBERED = 256, 4096, 1 << 20
+#: About so many members and tokens has a group at most; tokens of an incidence matrix at a time;
+#: classes that a task remembers.
+GROUP, GROUP_TOKENS, TOKENS, REMEMBERED = 512, 1 << 18, 4096, 1 << 20
+#: Numbers that a task gathers before it hands them on.
+HELD = 1 << 19
 
 
 def class_of(shingles: np.ndarray) -> int:
@@ -116,24 +119,29 @@ def _signatures(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, bands, seen = Words(), Bands(percent), set()
+        names, found, held = [], [], 0
+
+        def rows() -> pa.RecordBatch:
+            classes = np.repeat(np.array(names, np.int64), [len(f) for f in found])
+            columns = [pa.array(np.concatenate(found).view(np.int64)), pa.array(classes)]
+            return pa.RecordBatch.from_arrays(columns, ["signature", "class"])
+
         for batch in batches:
-            names, found = [], []
             for shingles in shingle_sets(batch.column("text"), shingle, words):
                 name = class_of(shingles)
-                if len(shingles) and name not in seen:
-                    seen.add(name)
-                    names.append(name)
-                    found.append(bands.signatures(shingles))
+                if not len(shingles) or name in seen:
+                    continue
+                seen.add(name)
+                names.append(name)
+                found.append(bands.signatures(shingles))
+                held += len(found[-1])
+                if held > HELD:
+                    yield rows()
+                    names, found, held = [], [], 0
             if len(seen) > REMEMBERED:
                 seen.clear()
-            if found:
-                classes = np.repeat(np.array(names, np.int64), [len(f) for f in found])
-                signatures = np.concatenate(found).view(np.int64)
-                for low in range(0, len(classes), 1 << 18):
-                    part = slice(low, low + (1 << 18))
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(signatures[part]), pa.array(classes[part])], ["signature", "class"]
-                    )
+        if found:
+            yield rows()
 
     return docs.select("text").mapInArrow(work, "signature long, class long")
 
@@ -143,12 +151,22 @@ def _tokens(docs: DataFrame, shingle: int) -> DataFrame:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = Words()
+        names, found, held = [], [], 0
+
+        def rows() -> pa.RecordBatch:
+            columns = [pa.array(names, pa.int64()), pa.array([f.tobytes() for f in found], pa.binary())]
+            return pa.RecordBatch.from_arrays(columns, ["class", "tokens"])
+
         for batch in batches:
-            found = list(shingle_sets(batch.column("text"), shingle, words))
-            names = pa.array([class_of(f) for f in found], pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [names, pa.array([f.tobytes() for f in found], pa.binary())], ["class", "tokens"]
-            )
+            for shingles in shingle_sets(batch.column("text"), shingle, words):
+                names.append(class_of(shingles))
+                found.append(shingles)
+                held += len(shingles)
+                if held > HELD:
+                    yield rows()
+                    names, found, held = [], [], 0
+        if found:
+            yield rows()
 
     return docs.select("text").mapInArrow(work, "class long, tokens binary")
 
@@ -214,7 +232,7 @@ def _compare(percent: int):
 
     def work(table: pa.Table) -> pa.Table:
         names = table.column("class").to_numpy()
-        _, first = np.unique(names, return_index=True)
+        _, first = np.unique(names, return_index=True)  # a row read twice has its class twice
         table, names = table.take(first), names[first]
         groups = table.column("group").to_numpy()
         sets = [np.frombuffer(t.as_py(), np.uint64) for t in table.column("tokens")]
@@ -234,34 +252,38 @@ def _compare(percent: int):
 def class_links(docs: DataFrame, classes: DataFrame, shingle: int, percent: int) -> DataFrame:
     """Links between classes whose components are those of all links.
 
-    ``docs``: doc_id, text, at. ``classes``: class, doc_id and at of one of its rows.
+    ``docs``: doc_id, text, at. ``classes``: class, size, doc_id and at of one of its rows.
     """
     by_signature = Window.partitionBy("signature")
     shared = (
         _signatures(docs, shingle, percent)
         .withColumn("low", F.min("class").over(by_signature))
         .withColumn("high", F.max("class").over(by_signature))
+        .withColumn("many", F.count("*").over(by_signature))
         .where("low <> high")
-        .select("signature", "class")
-        .distinct()
+        .groupBy("signature", "class")
+        .agg(F.max("many").alias("many"))
     )
     shared = stored(shared, "signatures")
-    keyed = shared.groupBy("class").agg(F.min("signature").alias("key"))
-    sized = keyed.groupBy("key").agg(F.ceil(F.count("*") / GROUP).alias("parts"))
+    # The most widely shared slice brings nearly all of a family together.
+    keyed = shared.groupBy("class").agg(F.max(F.struct("many", "signature"))["signature"].alias("key"))
+    keyed = keyed.join(classes.select("class", "size"), "class")
+    parts = F.greatest(F.ceil(F.count("*") / GROUP), F.ceil(F.sum("size") / GROUP_TOKENS)).alias("parts")
     part = F.pmod(F.xxhash64("class"), F.col("parts"))
-    groups = stored(keyed.join(sized, "key").select("class", F.xxhash64("key", part).alias("group")), "groups")
+    grouped = keyed.join(keyed.groupBy("key").agg(parts), "key")
+    groups = stored(grouped.select("class", F.xxhash64("key", part).alias("group")), "groups")
     # The members' sets: one row of each class that can link is read again.
-    rows = groups.join(classes, "class").select("doc_id", "at").hint("shuffle_hash")
+    rows = groups.join(classes.select("class", "doc_id", "at"), "class").select("doc_id", "at").hint("shuffle_hash")
     again = docs.join(rows, (docs["at"] == rows["at"]) & docs["doc_id"].eqNullSafe(rows["doc_id"]), "left_semi")
     members = stored(_tokens(again, shingle).join(groups, "class"), "members")
-    meeting = shared.join(groups, "class").select("signature", "group").distinct()
-    other = meeting.select("signature", F.col("group").alias("other"))
-    pairs = meeting.join(other, "signature").where("group < other").select("group", "other").distinct()
+    # Of two groups that share a slice those members meet that share it; a group meets itself whole.
+    named = shared.join(groups, "class").select("signature", "class", "group")
+    other = named.select("signature", F.col("group").alias("other")).distinct()
+    pair = F.xxhash64(F.least("group", "other"), F.greatest("group", "other")).alias("pair")
+    sides = named.join(other, "signature").where("group <> other").select(pair, "class").distinct()
     alone = groups.groupBy("group").agg(F.count("*").alias("n")).where("n > 1")
-    pairs = pairs.unionByName(alone.select("group", F.col("group").alias("other")))
-    pairs = pairs.select(F.xxhash64("group", "other").alias("pair"), "group", "other")
-    sides = pairs.select("pair", F.explode(F.array_distinct(F.array("group", "other"))).alias("group"))
-    met = sides.join(members, "group").select("pair", "group", "class", "tokens")
+    sides = sides.unionByName(groups.join(alone, "group", "left_semi").select(F.col("group").alias("pair"), "class"))
+    met = sides.join(members, "class").select("pair", "group", "class", "tokens")
     return met.groupBy("pair").applyInArrow(_compare(percent), "a long, b long")
 
 
@@ -272,9 +294,9 @@ def join(docs: DataFrame, shingle: int, percent: int, doc_id: str = "doc_id", te
     rows = stored(_sets(docs, shingle), "sets")
     worded = rows.where("size > 0")
     classes = worded.groupBy("class").agg(
-        F.min("doc_id").alias("least"), F.min(F.struct("doc_id", "at")).alias("row")
+        F.min("doc_id").alias("least"), F.min(F.struct("doc_id", "at")).alias("row"), F.first("size").alias("size")
     )
-    classes = stored(classes.select("class", "least", "row.doc_id", "row.at"), "classes")
+    classes = stored(classes.select("class", "size", "least", "row.doc_id", "row.at"), "classes")
     linked = components(class_links(docs, classes, shingle, percent))
     found = classes.join(linked.withColumnRenamed("node", "class"), "class", "left").select(
         "class", "least", F.coalesce("component", "class").alias("component")

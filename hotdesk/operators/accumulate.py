@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 
@@ -10,23 +12,30 @@ def prior_totals(
 ) -> DataFrame:
     """Adds, per row, the sum of each measure over all earlier rows of its key.
 
-    Key and time are not NULL.  The current row is left out (no look-ahead).  Sums are taken in two levels:
-    within (key, day), and over one pre-aggregated row per (key, day), so the
-    rows of one busy key are never sorted in a single task.
+    NULL is a key like any other.  The current row is left out (no look-ahead).  Sums are
+    taken in two levels: within (key, day, hour), and over one row per (key, day, hour), so
+    the rows of one busy key, or of its busiest day, are never sorted in a single task.  The
+    total of an hour is read off its last row: the input is computed and shuffled once.
     """
-    day = rows.withColumn("_day", F.to_date(at))
-    within = (
-        Window.partitionBy(key, "_day").orderBy(*order_by).rowsBetween(Window.unboundedPreceding, -1)
+    zero, hour = F.lit(0), [key, "_day", "_hour"]
+    slotted = rows.withColumns({"_day": F.to_date(at), "_hour": F.hour(at)})
+    in_order = Window.partitionBy(*hour).orderBy(*order_by)
+    before = in_order.rowsBetween(Window.unboundedPreceding, -1)
+    within = slotted.select(
+        "*",
+        *[F.coalesce(F.sum(m).over(before), zero).alias(f"_within_{n}") for n, m in measures.items()],
+        F.lead(F.lit(True)).over(in_order).isNull().alias("_is_last"),
+    )
+    earlier = Window.partitionBy(key).orderBy("_day", "_hour").rowsBetween(Window.unboundedPreceding, -1)
+    carried = (
+        within.where("_is_last")
+        .select(*hour, *[(F.col(f"_within_{n}") + F.coalesce(m, zero)).alias(f"_{n}") for n, m in measures.items()])
+        .select(
+            *[F.col(c).alias(f"_at_{c}") for c in hour],
+            *[F.coalesce(F.sum(f"_{n}").over(earlier), zero).alias(f"_carried_{n}") for n in measures],
+        )
     )
-    earlier_days = Window.partitionBy(key).orderBy("_day").rowsBetween(Window.unboundedPreceding, -1)
-    per_day = day.groupBy(key, "_day").agg(*[F.sum(m).alias(f"_{n}") for n, m in measures.items()])
-    carried = per_day.select(key, "_day", *[F.sum(f"_{n}").over(earlier_days).alias(f"_carried_{n}") for n in measures])
-    today = day.select("*", *[F.sum(m).over(within).alias(f"_today_{n}") for n, m in measures.items()])
-    zero = F.lit(0)
-    return today.join(carried, [key, "_day"], "left").select(
-        *rows.columns,
-        *[
-            (F.coalesce(F.col(f"_today_{n}"), zero) + F.coalesce(F.col(f"_carried_{n}"), zero)).alias(n)
-            for n in measures
-        ],
+    same_hour = reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"_at_{c}")) for c in hour])
+    return within.join(carried, same_hour, "left").select(
+        *rows.columns, *[(F.col(f"_within_{n}") + F.col(f"_carried_{n}")).alias(n) for n in measures]
     )

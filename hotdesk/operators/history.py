@@ -16,9 +16,6 @@ from hotdesk.operators.incremental import timestamp_literal
 # Fixed value: end of a version that is still open.
 OPEN_END = datetime(9999, 12, 31)
 
-BROADCAST_VERSIONS = 200_000
-VERSIONS_PER_KEY = 1_000
-
 
 def with_next(rows: DataFrame, key: str, at: str, name: str) -> DataFrame:
     """Adds the following timestamp of the same key (``lead``), NULL on the last row.
@@ -30,7 +27,8 @@ def with_next(rows: DataFrame, key: str, at: str, name: str) -> DataFrame:
     following = first_of_day.select(
         key, "_day", F.lead("_first").over(Window.partitionBy(key).orderBy("_day")).alias("_following")
     )
-    same_day = F.lead(at).over(Window.partitionBy(key, "_day").orderBy(at))
+    placed = F.col(key).isNotNull() & F.col(at).isNotNull()
+    same_day = F.when(placed, F.lead(at).over(Window.partitionBy(key, "_day").orderBy(at)))
     return (
         by_day.withColumn("_same_day", same_day)
         .join(following, [key, "_day"], "left")
@@ -60,40 +58,19 @@ def point_in_time_join(
     at: str | Column,
     columns: dict[str, str],
     how: str = "inner",
-    broadcast_rows: int = BROADCAST_VERSIONS,
-    versions_per_key: int = VERSIONS_PER_KEY,
 ) -> DataFrame:
     """Adds the columns of the version that was valid at the moment of the fact.
 
     ``columns`` maps version columns to their new names.  ``versions`` carries
-    ``valid_from`` and ``valid_to`` and does not overlap within a key.  A history
-    counted to be small is broadcast, which leaves the facts unshuffled; a larger
-    one is merged with the facts by time.  Both ways return the same rows.
+    ``valid_from`` and ``valid_to`` and does not overlap within a key.  Facts and versions
+    are merged by time at every size: (fact, version) pairs are never formed, so a key with
+    very many versions costs no more than they are, and no job runs while the plan is built.
     """
     moment = F.col(at) if isinstance(at, str) else at
     slim = versions.where(F.col(key).isNotNull() & F.col("valid_from").isNotNull()).select(
         F.col(key), "valid_from", "valid_to", *columns
     )
-    size = (
-        slim.groupBy(key)
-        .agg(F.count("*").alias("n"))
-        .agg(F.sum("n").alias("total"), F.max("n").alias("widest"))
-        .first()
-    )
-    small = (size["total"] or 0) <= broadcast_rows and (size["widest"] or 0) <= versions_per_key
-    join = _range_join if small else _merge_by_time
-    return join(facts.withColumn("_at", moment), slim, key, columns, how).drop("_at")
-
-
-def _range_join(facts: DataFrame, versions: DataFrame, key: str, columns: dict[str, str], how: str) -> DataFrame:
-    side = versions.select(
-        F.col(key).alias("_key"),
-        F.col("valid_from").alias("_from"),
-        F.col("valid_to").alias("_to"),
-        *[F.col(old).alias(new) for old, new in columns.items()],
-    )
-    valid = (F.col(key) == F.col("_key")) & (F.col("_at") >= F.col("_from")) & (F.col("_at") < F.col("_to"))
-    return facts.join(F.broadcast(side), valid, how).drop("_key", "_from", "_to")
+    return _merge_by_time(facts.withColumn("_at", moment), slim, key, columns, how).drop("_at")
 
 
 def _merge_by_time(facts: DataFrame, versions: DataFrame, key: str, columns: dict[str, str], how: str) -> DataFrame:

@@ -4,33 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-BROADCAST_ROWS = 100_000
-
-
-def broadcast_when_small(lookup: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Adds a broadcast hint only after counting that the table fits the bound.
-
-    The count stops at ``max_rows + 1`` rows.  Beyond the bound the join stays a
-    shuffled one, where adaptive execution splits skewed partitions.
-    """
-    if lookup.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(lookup)
-    return lookup
-
 
 def lookup_join(
-    rows: DataFrame,
-    lookup: DataFrame,
-    column: str,
-    lookup_key: str,
-    columns: dict[str, str],
-    max_rows: int = BROADCAST_ROWS,
+    rows: DataFrame, lookup: DataFrame, column: str, lookup_key: str, columns: dict[str, str]
 ) -> DataFrame:
-    """Adds lookup columns (``{source name: new name}``); rows without a match keep NULLs."""
+    """Adds lookup columns (``{source name: new name}``); rows without a match keep NULLs.
+
+    No hint and no count: Spark broadcasts the lookup when its own statistics, at planning
+    or at run time, show that it is small; else adaptive execution splits skewed partitions.
+    """
     side = lookup.select(
         F.col(lookup_key).alias("_lookup_key"), *[F.col(old).alias(new) for old, new in columns.items()]
     )
-    joined = rows.join(
-        broadcast_when_small(side, max_rows), F.col(column) == F.col("_lookup_key"), "left"
-    )
-    return joined.drop("_lookup_key")
+    return rows.join(side, F.col(column) == F.col("_lookup_key"), "left").drop("_lookup_key")

@@ -7,8 +7,74 @@ are common table expressions, and each query pulls in the ones that it names.
 from __future__ import annotations
 
 import re
-
-from hotdesk.schemas import SOURCES
+from typing import NamedTuple
+
+class _Landed(NamedTuple):
+    """A landed table as the twin expects it: id, surrogate key, load time, columns with types."""
+
+    name: str
+    id_column: str
+    sk_column: str
+    watermark: str
+    ddl: str
+
+    @property
+    def columns(self) -> list[list[str]]:
+        return [column.split() for column in self.ddl.split(",")]
+
+
+# ---- fixed values: landed column names and types, spelled out on purpose ----
+_LANDED = (
+    _Landed(
+        "bookings", "booking_id", "booking_sk", "updated_at",
+        "booking_id bigint, date_id bigint, space_id bigint, user_id bigint, company_id bigint, group_id "
+        "bigint, plan_id bigint, booking_type_id bigint, status_id bigint, credits double, "
+        "credits_in_money double, check_in_datetime timestamp_ntz, check_out_datetime timestamp_ntz, "
+        "check_in_latitude double, check_in_longitude double, is_cancelled boolean, is_no_show boolean, "
+        "is_future boolean, app_type string, created_at timestamp_ntz, updated_at timestamp_ntz",
+    ),
+    _Landed(
+        "spaces", "space_id", "space_sk", "updated_at",
+        "space_id bigint, space_name string, vanity_name string, country string, city string, "
+        "neighborhood string, address string, latitude double, longitude double, timezone string, "
+        "space_type string, category string, level string, tier string, total_seats int, available_seats "
+        "int, total_private_rooms int, is_active boolean, created_at timestamp_ntz, updated_at "
+        "timestamp_ntz",
+    ),
+    _Landed(
+        "companies", "company_id", "company_sk", "updated_at",
+        "company_id bigint, company_name string, industry string, employee_count int, is_active boolean, "
+        "created_at timestamp_ntz, updated_at timestamp_ntz",
+    ),
+    _Landed(
+        "plans", "plan_id", "plan_sk", "updated_at",
+        "plan_id bigint, plan_name string, plan_type string, monthly_credits int, plan_value double, "
+        "is_active boolean, created_at timestamp_ntz, updated_at timestamp_ntz",
+    ),
+    _Landed(
+        "users", "user_id", "user_sk", "updated_at",
+        "user_id bigint, full_name string, email string, phone string, is_active boolean, created_at "
+        "timestamp_ntz, updated_at timestamp_ntz",
+    ),
+    _Landed(
+        "status", "status_id", "status_sk", "created_at",
+        "status_id bigint, status_name string, status_description string, created_at timestamp_ntz",
+    ),
+    _Landed(
+        "booking_types", "booking_type_id", "booking_type_sk", "created_at",
+        "booking_type_id bigint, type_name string, is_active boolean, created_at timestamp_ntz",
+    ),
+    _Landed(
+        "office_groups", "group_id", "group_sk", "updated_at",
+        "group_id bigint, group_name string, created_at timestamp_ntz, updated_at timestamp_ntz",
+    ),
+    _Landed(
+        "reasons", "reason_id", "reason_sk", "created_at",
+        "reason_id bigint, reason_description string, created_at timestamp_ntz",
+    ),
+)
+# ---- end of fixed values ----------------------------------------------------
+SOURCES = {t.name: t for t in _LANDED}
 
 NULL_KEY = "_dbt_utils_surrogate_key_null_"
 AS_OF = "DATE '2001-08-01'"
@@ -360,8 +426,8 @@ def _freshness() -> str:
 
 def _volume() -> str:
     lines = " UNION ALL ".join(
-        f"SELECT '{name}' AS table_name, CAST(updated_at AS DATE) AS day FROM raw_{name}"
-        for name in ("bookings", "companies", "plans", "users")
+        f"SELECT '{t.name}' AS table_name, CAST({t.watermark} AS DATE) AS day FROM raw_{t.name}"
+        for t in SOURCES.values()
     )
     return f"""WITH loads AS ({lines}),
         counts AS (SELECT table_name, day, count(*) AS n FROM loads WHERE day IS NOT NULL GROUP BY ALL),
@@ -464,6 +530,7 @@ _FINAL: dict[str, str] = {
     **{f"stg_{name}": f"SELECT * FROM stg_{name}" for name in SOURCES},
     "fact_bookings": "SELECT * FROM fact_bookings",
     **{f"dim_{name}": f"SELECT * FROM dim_{name}" for name in ("companies", "plans", "users", "spaces")},
+    "daily_dim_spaces": "SELECT * FROM dim_spaces",
     "scd2_lead": """SELECT space_id, updated_at,
         lead(updated_at) OVER (PARTITION BY space_id ORDER BY updated_at) AS next_updated_at FROM raw_spaces""",
     "current_spaces": "SELECT space_dw_sk, space_id, tier, valid_from FROM dim_spaces WHERE is_current_version",

@@ -21,8 +21,20 @@ def typed(source: SourceTable, landed: DataFrame) -> DataFrame:
     )
 
 
-def clean(source: SourceTable, landed: DataFrame, since: datetime | None = None) -> DataFrame:
-    """The batch of one clean table: landed rows above the watermark ``since``."""
+def every_version(source: SourceTable, landed: DataFrame, since: datetime | None = None) -> DataFrame:
+    """Landed rows above the watermark, typed, one per id and load time."""
     rows = typed(source, newer_than(landed, source.watermark, since))
-    latest = latest_per_key(rows, [source.id_column], [source.target_watermark])
+    return latest_per_key(rows, [source.id_column, source.target_watermark], [])
+
+
+def clean(
+    source: SourceTable, landed: DataFrame, since: datetime | None = None, distinct_times: bool = False
+) -> DataFrame:
+    """The batch of one clean table: landed rows above the watermark ``since``.
+
+    Where no id has two rows of one load time, say so with ``distinct_times``: there are no
+    ties to break then, and columns that nobody reads are not read for it.
+    """
+    rows = typed(source, newer_than(landed, source.watermark, since))
+    latest = latest_per_key(rows, [source.id_column], [source.target_watermark], unique_order=distinct_times)
     return latest.select(surrogate_key(source.id_column).alias(source.sk_column), *rows.columns)

@@ -17,6 +17,10 @@ def _current(staged: DataFrame, id_column: str, staging_sk: str, sk: str) -> Dat
     Staged rows are unique by (id, source_updated_at).
     """
     latest = latest_per_key(staged.drop(staging_sk), [id_column], ["source_updated_at"], unique_order=True)
+    return _star(latest, id_column, sk)
+
+
+def _star(latest: DataFrame, id_column: str, sk: str) -> DataFrame:
     return latest.select(
         surrogate_key(id_column).alias(sk),
         *[F.col(c).alias(_RENAMED.get(c, c)) for c in latest.columns],
@@ -27,6 +31,11 @@ def fact_bookings(stg_bookings: DataFrame) -> DataFrame:
     return _current(stg_bookings, "booking_id", "booking_stg_sk", "booking_dw_sk")
 
 
+def fact_of_current_bookings(stg_bookings: DataFrame) -> DataFrame:
+    """The fact of staged rows that are one per booking already."""
+    return _star(stg_bookings.drop("booking_stg_sk"), "booking_id", "booking_dw_sk")
+
+
 def dim_companies(stg_companies: DataFrame) -> DataFrame:
     return _current(stg_companies, "company_id", "company_stg_sk", "company_dw_sk")
 

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from datetime import date, datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -18,15 +19,17 @@ from hotdesk.operators import quality
 from hotdesk.operators.incremental import newer_than
 from hotdesk.plans import analytics, core, features, staging
 from hotdesk.plans.checks import of_table
-from hotdesk.plans.clean import clean
+from hotdesk.plans.clean import clean, every_version
 from hotdesk.schemas import SOURCES
-from hotdesk.sources.files import export_csv, export_json
+from hotdesk.sources.files import export_csv, export_json, write_json_arrays
 from hotdesk.sources.warehouse import Gate, Warehouse
 
 HISTORIES = ("bookings", "spaces", "companies", "plans", "users")
 LOOKUPS = {"bookings": ("clean_status", "clean_booking_types"), "spaces": ("clean_office_groups",)}
 CLEAN_PARTITION = {"bookings": "date_id"}
 FACT_PARTITION = "check_in_date"
+# Bookings without a check-in, whatever their number, lie below the month they were made for.
+FACT_LAYOUT = [FACT_PARTITION, "_part_month"]
 MART = "mart_credit_utilization_l3m"
 
 
@@ -50,6 +53,11 @@ def gate_for(warehouse: Warehouse, table: str) -> Gate:
     return gate
 
 
+def laid_out_fact(stg_bookings: DataFrame) -> DataFrame:
+    fact = core.fact_bookings(stg_bookings)
+    return fact.withColumn(FACT_LAYOUT[1], F.floor(F.col("date_id") / 100).cast("int"))
+
+
 def run(
     warehouse: Warehouse,
     landed: Mapping[str, DataFrame],
@@ -57,7 +65,13 @@ def run(
     full_refresh: bool = False,
     blocking_checks: bool = True,
 ) -> None:
-    """Loads what is new in the landed tables into every layer."""
+    """Loads what is new in the landed tables into every layer.
+
+    A landed table that breaks its contract stops the load before anything is cast.  What
+    the checks of freshness and volume found is kept in ``source_report``.
+    """
+    if blocking_checks:
+        keep_contract(landed)
 
     def gate(table: str) -> Gate | None:
         return gate_for(warehouse, table) if blocking_checks else None
@@ -65,7 +79,9 @@ def run(
     def since(table: str) -> datetime | None:
         return None if full_refresh else warehouse.loaded_through(table)
 
-    def keyed(table: str, rows: DataFrame, key: str, watermark: str, partition: str | None = None) -> None:
+    def keyed(
+        table: str, rows: DataFrame, key: str, watermark: str, partition: str | list[str] | None = None
+    ) -> None:
         if full_refresh or not warehouse.exists(table):
             if partition:
                 warehouse.rebuild_partitions(table, rows, partition, watermark, gate(table))
@@ -87,7 +103,11 @@ def run(
 
     for name, source in SOURCES.items():
         table = f"stg_{name}"
-        new = newer_than(warehouse.read(f"clean_{name}"), source.target_watermark, since(table))
+        if name == "spaces":
+            # Every landed version belongs to the history; the clean table holds the current one alone.
+            new = every_version(source, landed[name], since(table))
+        else:
+            new = newer_than(warehouse.read(f"clean_{name}"), source.target_watermark, since(table))
         batch = getattr(staging, name)(new, *[warehouse.read(t) for t in LOOKUPS.get(name, ())])
         if name in HISTORIES:
             warehouse.append(table, batch, source.target_watermark, gate(table), restart=full_refresh)
@@ -98,13 +118,14 @@ def run(
         ("dim_companies", "companies", core.dim_companies, None),
         ("dim_plans", "plans", core.dim_plans, None),
         ("dim_users", "users", core.dim_users, None),
-        ("fact_bookings", "bookings", core.fact_bookings, FACT_PARTITION),
+        ("fact_bookings", "bookings", laid_out_fact, FACT_LAYOUT),
     ):
         new = newer_than(warehouse.read(f"stg_{name}"), "source_updated_at", since(table))
         keyed(table, build(new), SOURCES[name].id_column, "updated_at", partition)
 
     # A new version also closes the one before it, so all versions of the spaces
-    # that changed are rebuilt and replaced.
+    # that changed are rebuilt and replaced.  The bound is what the dimension was loaded
+    # through, so a load that broke off after staging is made up for by the next one.
     history = warehouse.read("stg_spaces")
     changed = newer_than(history, "source_updated_at", since("dim_spaces"))
     keyed("dim_spaces", core.versions_of_changed_spaces(history, changed), "space_id", "valid_from")
@@ -113,6 +134,27 @@ def run(
         warehouse.read("fact_bookings"), warehouse.read("dim_companies"), warehouse.read("dim_plans"), as_of
     )
     warehouse.rebuild(MART, mart, gate=gate(MART))
+    warehouse.rebuild("source_report", source_report(landed, as_of))
+
+
+def keep_contract(landed: Mapping[str, DataFrame]) -> None:
+    broken = quality.contract(landed, SOURCES).where("NOT is_kept").collect()
+    if broken:
+        raise ChecksFailed("; ".join(f"contract:{r['table_name']}.{r['column_name']}" for r in broken))
+
+
+def source_report(landed: Mapping[str, DataFrame], as_of: date | None = None) -> DataFrame:
+    """Per source its freshness, and the days on which too few rows arrived."""
+    moment = datetime(as_of.year, as_of.month, as_of.day) if as_of else None
+    fresh = quality.source_freshness(landed, SOURCES, moment)
+    volumes = [
+        quality.daily_volume(rows, name, F.to_date(SOURCES[name].watermark)) for name, rows in landed.items()
+    ]
+    odd = quality.volume_anomaly(reduce(DataFrame.unionByName, volumes)).where("is_anomaly")
+    odd = odd.groupBy(F.col("table_name").alias("source_name")).agg(
+        F.count("*").alias("odd_days"), F.max("day").alias("last_odd_day")
+    )
+    return fresh.join(odd, "source_name", "left").withColumn("odd_days", F.coalesce("odd_days", F.lit(0)))
 
 
 def refresh_features(warehouse: Warehouse) -> DataFrame:
@@ -142,11 +184,16 @@ def export_churn(
 ) -> DataFrame:
     """Exports the companies under the threshold and returns their number per risk level.
 
-    Nothing is written when no company is under it.
+    ``output``: ``json`` (lines), ``json_array`` (documents of one array) or ``csv``.  An
+    export replaces the one before it; nothing is written when no company is under the
+    threshold.
     """
     candidates = warehouse.stage("churn_candidates", analytics.churn_candidates(warehouse.read(MART), threshold))
-    if output == "csv":
-        export_csv(candidates, path)
-    elif not candidates.isEmpty():
-        export_json(candidates, path)
+    if not candidates.isEmpty():
+        if output == "csv":
+            export_csv(candidates, path, overwrite=True)
+        elif output == "json_array":
+            write_json_arrays(candidates, path, overwrite=True)
+        else:
+            export_json(candidates, path, overwrite=True)
     return analytics.churn_summary(candidates)

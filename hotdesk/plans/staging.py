@@ -20,11 +20,19 @@ def _columns_without(rows: DataFrame, *dropped: str) -> list[str]:
     return [c for c in rows.columns if c not in dropped]
 
 
-def bookings(clean_bookings: DataFrame, clean_status: DataFrame, clean_booking_types: DataFrame) -> DataFrame:
-    named = lookup_join(clean_bookings, clean_status, "status_id", "status_id", {"status_name": "status_name"})
-    named = lookup_join(
-        named, clean_booking_types, "booking_type_id", "booking_type_id", {"type_name": "booking_type_name"}
-    )
+def bookings(
+    clean_bookings: DataFrame, clean_status: DataFrame | None = None, clean_booking_types: DataFrame | None = None
+) -> DataFrame:
+    """Without the lookups the columns that they name are left out."""
+    named, names = clean_bookings, []
+    if clean_status is not None:
+        named = lookup_join(named, clean_status, "status_id", "status_id", {"status_name": "status_name"})
+        names.append("status_name")
+    if clean_booking_types is not None:
+        named = lookup_join(
+            named, clean_booking_types, "booking_type_id", "booking_type_id", {"type_name": "booking_type_name"}
+        )
+        names.append("booking_type_name")
     check_in, check_out = F.col("check_in_datetime"), F.col("check_out_datetime")
     return named.select(
         surrogate_key("booking_id", VERSION).alias("booking_stg_sk"),
@@ -37,8 +45,7 @@ def bookings(clean_bookings: DataFrame, clean_status: DataFrame, clean_booking_t
         "plan_id",
         "booking_type_id",
         "status_id",
-        "status_name",
-        "booking_type_name",
+        *names,
         "credits",
         "credits_in_money",
         rules.revenue_brl(F.col("credits_in_money")).alias("revenue_brl"),

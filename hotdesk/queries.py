@@ -21,7 +21,8 @@ from hotdesk.operators.history import with_next
 from hotdesk.operators.lookups import lookup_join
 from hotdesk.plans import analytics, checks, core, features, staging
 from hotdesk.plans.clean import clean, typed
-from hotdesk.plans.daily import FACT_PARTITION, MART
+from hotdesk.plans import daily
+from hotdesk.plans.daily import FACT_LAYOUT, FACT_PARTITION, MART, laid_out_fact
 from hotdesk.schemas import SOURCES
 from hotdesk.sources import files, landing
 from hotdesk.sources.storage import new_folder
@@ -32,6 +33,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 # Run parameters of the registered queries.
 AS_OF = date(2001, 8, 1)
+EARLIER = date(2001, 6, 1)
 SPLIT = datetime(2000, 1, 1)
 CHURN_THRESHOLD = 30.0
 
@@ -39,8 +41,8 @@ CHURN_THRESHOLD = 30.0
 class Layers:
     """The layers over one data folder, each built on demand as a lazy DataFrame.
 
-    ``lookup`` and ``space_history`` are stored once in the shared folder, since the
-    joins that use them look at their size first.
+    Products that show no lookup's names are built over ``slim_fact``: without lookup joins,
+    with one window, reading only the columns that they use.
     """
 
     def __init__(self, spark: SparkSession, sf_dir: str):
@@ -62,7 +64,7 @@ class Layers:
         return clean(SOURCES[name], self.raw(name))
 
     def lookup(self, name: str) -> DataFrame:
-        return self.stored(f"clean_{name}", lambda: self.clean(name))
+        return self.clean(name)
 
     def stg(self, name: str) -> DataFrame:
         if name == "bookings":
@@ -78,11 +80,16 @@ class Layers:
     def fact(self) -> DataFrame:
         return core.fact_bookings(self.stg("bookings"))
 
+    def slim_fact(self) -> DataFrame:
+        """The fact without names; an order is landed once, so no booking has two rows of one load time."""
+        bookings = clean(SOURCES["bookings"], self.raw("bookings"), distinct_times=True)
+        return core.fact_of_current_bookings(staging.bookings(bookings))
+
     def dim(self, name: str) -> DataFrame:
         return getattr(core, f"dim_{name}")(self.stg(name))
 
     def space_history(self) -> DataFrame:
-        return self.stored("dim_spaces", lambda: self.dim("spaces"))
+        return self.dim("spaces")
 
     def changes(self) -> DataFrame:
         """Several staged versions per booking."""
@@ -90,14 +97,14 @@ class Layers:
         return staging.bookings(rows, self.lookup("status"), self.lookup("booking_types"))
 
     def credits(self) -> DataFrame:
-        return analytics.credits_by_company_plan(self.fact(), self.dim("companies"), self.dim("plans"), AS_OF)
+        return analytics.credits_by_company_plan(self.slim_fact(), self.dim("companies"), self.dim("plans"), AS_OF)
 
     def rates(self) -> DataFrame:
         """Utilisation rates, stored: the network mean is compared with every one of them."""
         return self.stored("rates", lambda: analytics.utilization(self.credits()))
 
     def mart(self) -> DataFrame:
-        return analytics.credit_utilization_l3m(self.fact(), self.dim("companies"), self.dim("plans"), AS_OF)
+        return analytics.credit_utilization_l3m(self.slim_fact(), self.dim("companies"), self.dim("plans"), AS_OF)
 
     def churn(self) -> DataFrame:
         return analytics.churn_candidates(self.mart(), CHURN_THRESHOLD)
@@ -204,12 +211,12 @@ def booking_status(at: Layers) -> DataFrame:
 
 
 def rolling_3m_filter(at: Layers) -> DataFrame:
-    return analytics.recent_bookings(at.fact(), AS_OF).select("booking_id", "check_in_date")
+    return analytics.recent_bookings(at.slim_fact(), AS_OF).select("booking_id", "check_in_date")
 
 
 def star_join(at: Layers) -> DataFrame:
     joined = analytics.star_join(
-        at.fact().select("booking_id", "company_id", "plan_id", "credits_used"),
+        at.slim_fact().select("booking_id", "company_id", "plan_id", "credits_used"),
         at.dim("companies").select("company_id", "company_name", "company_size_tier"),
         at.dim("plans").select("plan_id", "plan_name", "plan_type"),
     )
@@ -325,8 +332,21 @@ def dim_spaces(at: Layers) -> DataFrame:
     return warehouse.read("dim_spaces")
 
 
+def daily_dim_spaces(at: Layers) -> DataFrame:
+    """The dimension as the daily load builds it: two loads, the second with all landed spaces.
+
+    What the dimension is not built from lands nothing.
+    """
+    warehouse, landed = at.warehouse(), landing.all_landed(at.spark, at.sf_dir)
+    landed = {n: rows if n in ("spaces", "office_groups") else rows.where("false") for n, rows in landed.items()}
+    first = {**landed, "spaces": _before(landed["spaces"], SOURCES["spaces"].watermark)}
+    for rows in (first, landed):
+        daily.run(warehouse, rows, AS_OF, blocking_checks=False)
+    return warehouse.read("dim_spaces")
+
+
 def point_in_time_join(at: Layers) -> DataFrame:
-    return features.booking_at_the_time(at.fact(), at.space_history())
+    return features.booking_at_the_time(at.slim_fact(), at.space_history())
 
 
 # ---- churn -------------------------------------------------------------------
@@ -389,27 +409,30 @@ def append_only(at: Layers) -> DataFrame:
 
 
 def schema_sync(at: Layers) -> DataFrame:
-    """The target has a column the batch lost and lacks one the batch gained."""
+    """Two appends to a stored table: it has a column the batch lost and lacks one the batch gained."""
     rows = typed(SOURCES["bookings"], at.raw("bookings")).select(
         "booking_id", "credits", "app_type", "source_updated_at"
     )
     target = _before(rows, "source_updated_at").drop("app_type").withColumn("channel", F.lit("old"))
-    return incremental.append(target, _after(rows, "source_updated_at"))
+    warehouse = at.warehouse()
+    warehouse.append("synced", target, "source_updated_at")
+    warehouse.append("synced", _after(rows, "source_updated_at"), "source_updated_at")
+    return warehouse.read("synced")
 
 
 def mat_full_rebuild(at: Layers) -> DataFrame:
-    """The mart written twice; the second run replaces the first."""
+    """The mart of a month earlier, replaced as a whole by the mart of the day."""
     warehouse = at.warehouse()
-    mart = at.stored("mart", at.mart)
-    warehouse.rebuild(MART, mart)
-    warehouse.rebuild(MART, mart)
+    inputs = (at.slim_fact(), at.dim("companies"), at.dim("plans"))
+    warehouse.rebuild(MART, analytics.credit_utilization_l3m(*inputs, EARLIER))
+    warehouse.rebuild(MART, analytics.credit_utilization_l3m(*inputs, AS_OF))
     return warehouse.read(MART)
 
 
 def partition_pruned_scan(at: Layers) -> DataFrame:
     """Daily totals of the window, read from the fact laid out by check-in date."""
     warehouse = at.warehouse()
-    warehouse.rebuild_partitions("fact_bookings", at.fact(), FACT_PARTITION)
+    warehouse.rebuild_partitions("fact_bookings", laid_out_fact(at.stg("bookings")), FACT_LAYOUT)
     return (
         analytics.recent_bookings(warehouse.read("fact_bookings"), AS_OF)
         .groupBy("check_in_date")
@@ -440,7 +463,7 @@ def source_freshness(at: Layers) -> DataFrame:
 def dq_volume_anomaly(at: Layers) -> DataFrame:
     volumes = [
         quality.daily_volume(at.raw(name), name, F.to_date(SOURCES[name].watermark))
-        for name in ("bookings", "companies", "plans", "users")
+        for name in SOURCES
     ]
     return quality.volume_anomaly(reduce(DataFrame.unionByName, volumes))
 
@@ -507,6 +530,7 @@ _PLANS: dict[str, Callable[[Layers], DataFrame]] = {
     "scd2_lead": scd2_lead,
     "current_spaces": current_spaces,
     "dim_spaces": dim_spaces,
+    "daily_dim_spaces": daily_dim_spaces,
     "point_in_time_join": point_in_time_join,
     "churn_candidates": Layers.churn,
     "churn_summary": churn_summary,
@@ -528,11 +552,11 @@ _PLANS: dict[str, Callable[[Layers], DataFrame]] = {
     "dq_no_checkin_on_cancelled": dq_no_checkin_on_cancelled,
     "dq_report": check_report,
     "source_freshness": source_freshness,
-    "space_performance_monthly": lambda at: analytics.space_performance_monthly(at.fact(), at.space_history()),
-    "user_behavior_features": lambda at: features.user_behavior_features(at.fact()),
-    "wide_booking_features": lambda at: features.wide_booking_features(at.fact(), at.space_history()),
-    "user_profile_features": lambda at: features.user_profile_features(at.fact(), at.space_history()),
-    "dim_date": lambda at: features.dim_date(at.fact()),
+    "space_performance_monthly": lambda at: analytics.space_performance_monthly(at.slim_fact(), at.space_history()),
+    "user_behavior_features": lambda at: features.user_behavior_features(at.slim_fact()),
+    "wide_booking_features": lambda at: features.wide_booking_features(at.slim_fact(), at.space_history()),
+    "user_profile_features": lambda at: features.user_profile_features(at.slim_fact(), at.space_history()),
+    "dim_date": lambda at: features.dim_date(at.slim_fact()),
     "dq_volume_anomaly": dq_volume_anomaly,
     "dq_circuit_breaker": dq_circuit_breaker,
     "dq_contract": dq_contract,

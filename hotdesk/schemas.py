@@ -21,7 +21,6 @@ class SourceTable:
     sk_column: str
     watermark: str
     ddl: str
-    accepted: tuple[tuple[str, tuple], ...] = ()
 
     @property
     def columns(self) -> list[tuple[str, str]]:
@@ -50,7 +49,6 @@ _TABLES = (
            check_in_latitude DOUBLE, check_in_longitude DOUBLE,
            is_cancelled BOOLEAN, is_no_show BOOLEAN, is_future BOOLEAN,
            app_type STRING, created_at TIMESTAMP_NTZ, updated_at TIMESTAMP_NTZ""",
-        (("is_cancelled", (True, False)),),
     ),
     SourceTable(
         "spaces", "space_id", "space_sk", "updated_at",

@@ -16,12 +16,17 @@ def _local_folder() -> str:
     return tempfile.mkdtemp(prefix="hotdesk-")
 
 
+def one_process(spark: SparkSession) -> bool:
+    """Whether driver and executor are one process (``local``, ``local[8]``; not ``local-cluster``)."""
+    return spark.conf.get("spark.master", "").split("[")[0] == "local"
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors reach; only local runs may go without one."""
     folder = spark.conf.get(SHARED_FOLDER, None)
     if folder:
         return folder.rstrip("/")
-    if spark.conf.get("spark.master", "").startswith("local"):
+    if one_process(spark):
         return _local_folder()
     raise ValueError(f"set {SHARED_FOLDER} to a folder that every executor can reach")
 

@@ -25,16 +25,21 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions
 from pyspark.sql.types import StructType
 
 from hotdesk.operators import incremental
+from hotdesk.sources.storage import one_process
 
 Gate = Callable[[DataFrame], None]
 NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
 LOAD_ID = "_load"
+# Columns of this prefix lay out the files and are not part of the table.
+HIDDEN = "_part_"
 
 
 class Warehouse:
     """The tables of one catalog database, with their files below ``root``."""
 
     def __init__(self, spark: SparkSession, root: str, database: str):
+        if spark.conf.get("spark.sql.catalogImplementation") == "in-memory" and not one_process(spark):
+            raise ValueError("tables live in the catalog: use one that outlives the session")
         self.spark, self.root, self.database = spark, root.rstrip("/"), database
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{self.root}/catalog'")
 
@@ -128,7 +133,7 @@ class Warehouse:
         before = None if restart else self.loaded_through(table)
         load = "first" if before is None else before.strftime("after_%Y%m%d_%H%M%S_%f")
         files = self._property(table, "files") if before is not None else None
-        files = files or self._create_files_table(table, batch.schema, (LOAD_ID, "string"))
+        files = files or self._create_files_table(table, batch.schema, {LOAD_ID: "string"})
         folder = self._folder(table, f"{files}/{LOAD_ID}={load}")
         batch.write.mode("overwrite").parquet(folder)
         written = self.spark.read.schema(batch.schema).parquet(folder)
@@ -148,20 +153,24 @@ class Warehouse:
         self,
         table: str,
         rows: DataFrame,
-        partition_by: str,
+        partition_by: str | list[str],
         watermark: str | None = None,
         gate: Gate | None = None,
     ) -> None:
-        """Replaces the whole table, laid out by a partition column."""
+        """Replaces the whole table, laid out by one or more partition columns.
+
+        Partition columns whose name begins with ``HIDDEN`` are not shown by the table.
+        """
+        layout = _layout(partition_by)
         folder = self._folder(table, f"run={self._new_run()}")
-        filled, through = _write_partitioned(rows, folder, partition_by, watermark)
+        filled, through = _write_partitioned(rows, folder, layout, watermark)
         if gate:
             gate(self.spark.read.schema(rows.schema).parquet(folder))
-        kind = rows.schema[partition_by].dataType.simpleString()
+        kinds = {c: rows.schema[c].dataType.simpleString() for c in layout}
         previous = self._property(table, "files") if self.exists(table) else None
-        files = self._create_files_table(table, rows.schema, (partition_by, kind))
-        self._point(files, partition_by, filled, folder)
-        self._publish(table, self._name(files), rows.columns, through, files)
+        files = self._create_files_table(table, rows.schema, kinds)
+        self._point(files, layout, filled, folder)
+        self._publish(table, self._name(files), _shown(rows), through, files)
         if previous:
             self.spark.sql(f"DROP TABLE IF EXISTS {self._name(previous)}")
 
@@ -170,7 +179,7 @@ class Warehouse:
         table: str,
         batch: DataFrame,
         keys: list[str],
-        partition_by: str,
+        partition_by: str | list[str],
         watermark: str | None = None,
         gate: Gate | None = None,
     ) -> None:
@@ -183,30 +192,31 @@ class Warehouse:
         if not self.exists(table):
             self.rebuild_partitions(table, batch, partition_by, watermark, gate)
             return
-        files = self._property(table, "files")
-        target = self.read(table)
-        replaced = incremental.by_key(target.select(*keys, partition_by), batch, keys, "left_semi")
-        touched = _values(replaced.select(partition_by).union(batch.select(partition_by)), partition_by)
+        files, layout = self._property(table, "files"), _layout(partition_by)
+        target = self.read(files)
+        replaced = incremental.by_key(target.select(*keys, *layout), batch, keys, "left_semi")
+        touched = _values(replaced.select(*layout).union(batch.select(*layout)), layout)
         if not touched:
             return
-        rows = incremental.upsert(target.where(_is_one_of(partition_by, touched)), batch, keys)
+        rows = incremental.upsert(target.where(_is_one_of(layout, touched)), batch, keys)
         folder = self._folder(table, f"run={self._new_run()}")
-        filled, through = _write_partitioned(rows, folder, partition_by, watermark)
+        filled, through = _write_partitioned(rows, folder, layout, watermark)
         if gate:
             gate(self.spark.read.schema(rows.schema).parquet(folder))
         self._add_columns(files, batch.schema)
-        self._point(files, partition_by, filled, folder)
-        self._drop(files, partition_by, [v for v in touched if v not in filled])
-        self._publish(table, self._name(files), batch.columns, through, files)
+        self._point(files, layout, filled, folder)
+        self._drop(files, layout, [v for v in touched if v not in filled])
+        self._publish(table, self._name(files), _shown(batch), through, files)
 
     # ---- catalog statements --------------------------------------------------
 
-    def _create_files_table(self, table: str, schema: StructType, partition: tuple[str, str]) -> str:
+    def _create_files_table(self, table: str, schema: StructType, layout: dict[str, str]) -> str:
         files = f"{table}__{self._new_run()}"
-        columns = [f"`{f.name}` {f.dataType.simpleString()}" for f in schema if f.name != partition[0]]
+        columns = {f.name: f.dataType.simpleString() for f in schema if f.name not in layout} | layout
         self.spark.sql(
-            f"CREATE TABLE {self._name(files)} ({', '.join(columns)}, `{partition[0]}` {partition[1]}) USING parquet "
-            f"PARTITIONED BY (`{partition[0]}`) LOCATION '{self._folder(table, files)}'"
+            f"CREATE TABLE {self._name(files)} ({', '.join(f'`{c}` {kind}' for c, kind in columns.items())}) "
+            f"USING parquet PARTITIONED BY ({', '.join(f'`{c}`' for c in layout)}) "
+            f"LOCATION '{self._folder(table, files)}'"
         )
         return files
 
@@ -216,24 +226,21 @@ class Warehouse:
         if new:
             self.spark.sql(f"ALTER TABLE {self._name(files)} ADD COLUMNS ({', '.join(new)})")
 
-    def _point(self, files: str, column: str, values: list, folder: str) -> None:
+    def _point(self, files: str, layout: list[str], values: list[tuple], folder: str) -> None:
         """Lets the partitions with these values read from below ``folder``."""
         known = {r["partition"] for r in self.spark.sql(f"SHOW PARTITIONS {self._name(files)}").toLocalIterator()}
-        place = {v: f"LOCATION '{folder}/{column}={NULL_FOLDER if v is None else v}'" for v in values}
-        new = [v for v in values if f"{column}={NULL_FOLDER if v is None else v}" not in known]
+        place = {v: f"LOCATION '{folder}/{_path(layout, v)}'" for v in values}
+        new = [v for v in values if _path(layout, v) not in known]
         for start in range(0, len(new), 500):
-            added = " ".join(f"PARTITION ({_equals(column, v)}) {place[v]}" for v in new[start : start + 500])
+            added = " ".join(f"PARTITION ({_equals(layout, v)}) {place[v]}" for v in new[start : start + 500])
             self.spark.sql(f"ALTER TABLE {self._name(files)} ADD IF NOT EXISTS {added}")
-        for value in values:
-            if value not in new:
-                self.spark.sql(
-                    f"ALTER TABLE {self._name(files)} PARTITION ({_equals(column, value)}) SET {place[value]}"
-                )
+        for value in set(values) - set(new):
+            self.spark.sql(f"ALTER TABLE {self._name(files)} PARTITION ({_equals(layout, value)}) SET {place[value]}")
         self.spark.catalog.refreshTable(self._name(files))
 
-    def _drop(self, files: str, column: str, values: list) -> None:
+    def _drop(self, files: str, layout: list[str], values: list[tuple]) -> None:
         for start in range(0, len(values), 500):
-            dropped = ", ".join(f"PARTITION ({_equals(column, v)})" for v in values[start : start + 500])
+            dropped = ", ".join(f"PARTITION ({_equals(layout, v)})" for v in values[start : start + 500])
             self.spark.sql(f"ALTER TABLE {self._name(files)} DROP IF EXISTS {dropped}")
         self.spark.catalog.refreshTable(self._name(files))
 
@@ -249,39 +256,53 @@ class Warehouse:
         return self.spark.read.schema(rows.schema).parquet(folder)
 
 
+def _layout(partition_by: str | list[str]) -> list[str]:
+    return [partition_by] if isinstance(partition_by, str) else list(partition_by)
+
+
+def _shown(rows: DataFrame) -> list[str]:
+    return [c for c in rows.columns if not c.startswith(HIDDEN)]
+
+
 def _write_partitioned(
-    rows: DataFrame, folder: str, partition_by: str, watermark: str | None
-) -> tuple[list, datetime | None]:
-    """Writes one folder per partition value.
+    rows: DataFrame, folder: str, layout: list[str], watermark: str | None
+) -> tuple[list[tuple], datetime | None]:
+    """Writes one folder per combination of partition values.
 
     Busy values are split over several tasks, quiet ones share a task.  Returns the
     partition values and the latest load time, both seen while writing.
     """
-    value, seen = F.col(partition_by), Observation()
+    seen = Observation()
     latest = F.max(watermark) if watermark else F.max(F.lit(None).cast("timestamp_ntz"))
-    balanced = rows.hint("rebalance", value)
+    balanced = rows.hint("rebalance", *[F.col(c) for c in layout])
     observed = balanced.observe(
-        seen,
-        F.collect_set(value).alias("filled"),
-        F.count_if(value.isNull()).alias("nulls"),
-        latest.cast("string").alias("latest"),
+        seen, F.collect_set(F.struct(*layout)).alias("filled"), latest.cast("string").alias("latest")
     )
-    observed.write.mode("errorifexists").partitionBy(partition_by).parquet(folder)
+    observed.write.mode("errorifexists").partitionBy(*layout).parquet(folder)
     found = seen.get
-    values = list(found["filled"]) + ([None] if found["nulls"] else [])
-    return values, datetime.fromisoformat(found["latest"]) if found["latest"] else None
+    return [tuple(v) for v in found["filled"]], datetime.fromisoformat(found["latest"]) if found["latest"] else None
+
+
+def _values(rows: DataFrame, layout: list[str]) -> list[tuple]:
+    """Distinct partition values: one per day or month of data, never one per row."""
+    return [tuple(r) for r in rows.select(*layout).distinct().toLocalIterator()]
 
 
-def _values(rows: DataFrame, column: str) -> list:
-    """Distinct partition values: one per day of data, never one per row."""
-    return [r[0] for r in rows.select(column).distinct().toLocalIterator()]
+def _is_one_of(layout: list[str], values: list[tuple]) -> Column:
+    """Whether a row lies below one of these partitions; below its first value, where that is known."""
+    first = F.col(layout[0])
+    known = sorted({v[0] for v in values if v[0] is not None})
+    among = first.isin(known) if known else F.lit(False)
+    unknown = [v[1:] for v in values if v[0] is None]
+    if not unknown:
+        return among
+    below = _is_one_of(layout[1:], unknown) if len(layout) > 1 else F.lit(True)
+    return among | (first.isNull() & below)
 
 
-def _is_one_of(column: str, values: list) -> Column:
-    known = [v for v in values if v is not None]
-    among = F.col(column).isin(known) if known else F.lit(False)
-    return among | F.col(column).isNull() if None in values else among
+def _path(layout: list[str], value: tuple) -> str:
+    return "/".join(f"{c}={NULL_FOLDER if v is None else v}" for c, v in zip(layout, value, strict=True))
 
 
-def _equals(column: str, value) -> str:
-    return f"`{column}` = NULL" if value is None else f"`{column}` = '{value}'"
+def _equals(layout: list[str], value: tuple) -> str:
+    return ", ".join(f"`{c}` = " + ("NULL" if v is None else f"'{v}'") for c, v in zip(layout, value, strict=True))

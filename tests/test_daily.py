@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from hotdesk.operators import quality
-from hotdesk.plans import core, daily
+from hotdesk.plans import daily
 from hotdesk.plans.checks import CHECKS
 from hotdesk.schemas import SOURCES
 from hotdesk.sources.warehouse import Warehouse
@@ -59,23 +59,21 @@ def test_loads_in_parts_equal_one_full_load(spark, make, loaded):
     stepwise = make()
     for part in splits(rows, 3):
         daily.run(stepwise, frames(spark, part), AS_OF)
-    # Staging keeps the versions it saw, one per load and id, so the stepwise space
-    # history is longer; its current versions are the same.
     for table in CURRENT:
-        if table != "dim_spaces":
-            assert content(stepwise, table) == content(whole, table), table
+        assert content(stepwise, table) == content(whole, table), table
+    # Every landed version is there, in one load as in several.
+    landed = {(r[0], r[-1]) for r in rows["spaces"]}
+    versions = whole.read("dim_spaces").select("space_id", "valid_from").collect()
+    assert len(versions) == len(landed) == 16 and set(map(tuple, versions)) == landed
     current = stepwise.read("dim_spaces").where("is_current_version")
     assert {r["space_id"]: r["tier"] for r in current.collect()} == {
         r["space_id"]: r["tier"] for r in whole.read("clean_spaces").collect()
     }
-    rebuilt = core.dim_spaces(stepwise.read("stg_spaces"))
-    assert set(map(tuple, rebuilt.collect())) == set(map(tuple, stepwise.read("dim_spaces").collect()))
-    assert rebuilt.count() > whole.read("dim_spaces").count() == current.count() == 4
     # The same input once more changes nothing.
     before = {t: content(stepwise, t) for t in CURRENT}
     daily.run(stepwise, frames(spark, rows), AS_OF)
     assert {t: content(stepwise, t) for t in CURRENT} == before
-    # A full refresh forgets the history that only the stepwise loads saw.
+    # So does a full refresh.
     daily.run(stepwise, frames(spark, rows), AS_OF, full_refresh=True)
     for table in CURRENT:
         assert content(stepwise, table) == content(whole, table), table
@@ -111,11 +109,16 @@ def test_churn_export(spark, loaded, tmp_path):
     mart = warehouse.read(daily.MART)
     low = mart.where("taxa_utilizacao_perc < 1000").count()
     assert low > 0
-    for output in ("json", "csv"):
-        summary = daily.export_churn(warehouse, str(tmp_path / output), 1000.0, output)
-        assert sum(r["candidates"] for r in summary.collect()) == low
-        read = spark.read.json if output == "json" else spark.read.option("header", True).csv
-        assert read(str(tmp_path / output)).count() == low
+    readers = {
+        "json": spark.read.json,
+        "json_array": spark.read.option("multiLine", True).json,
+        "csv": spark.read.option("header", True).csv,
+    }
+    for output, read in readers.items():
+        for _ in range(2):  # an export replaces the one before it
+            summary = daily.export_churn(warehouse, str(tmp_path / output), 1000.0, output)
+            assert sum(r["candidates"] for r in summary.collect()) == low
+            assert read(str(tmp_path / output)).count() == low
         assert daily.export_churn(warehouse, str(tmp_path / f"no-{output}"), -1.0, output).count() == 0
         assert not (tmp_path / f"no-{output}").exists()
 
@@ -133,3 +136,37 @@ def test_a_failed_check_blocks_the_table_and_what_follows(spark, loaded):
     assert {t: content(warehouse, t) for t in ("stg_bookings", *STAR)} == before
     daily.run(warehouse, frames(spark, landed), AS_OF, blocking_checks=False)
     assert warehouse.read("stg_bookings").count() == len(before["stg_bookings"]) + 1
+
+
+def test_undated_bookings_are_merged_by_month(spark, loaded, make):
+    _, rows = loaded
+    warehouse = make()
+    daily.run(warehouse, frames(spark, rows), AS_OF)
+    undated = [r for r in rows["bookings"] if r[11] is None]
+    late = list(undated[-1])
+    late[0], late[1], late[20] = 900, 20010901, late[20].replace(year=2002)
+    late[15] = late[16] = False
+    before = {r["file"] for r in warehouse.read("fact_bookings").select(F.input_file_name().alias("file")).collect()}
+    daily.run(warehouse, frames(spark, {**rows, "bookings": [*rows["bookings"], tuple(late)]}), AS_OF)
+    fact = warehouse.read("fact_bookings").select("date_id", F.input_file_name().alias("file")).collect()
+    # Nothing but the one new month was written.
+    assert {r["date_id"] for r in fact if r["file"] not in before} == {20010901}
+    assert "_part_month" not in warehouse.read("fact_bookings").columns
+
+
+def test_a_broken_contract_stops_the_load_and_an_empty_day_is_reported(spark, loaded, make):
+    warehouse, rows = loaded
+    landed = frames(spark, rows)
+    broken = {**landed, "plans": landed["plans"].drop("plan_value")}
+    fresh = make()
+    with pytest.raises(daily.ChecksFailed, match="contract:plans.plan_value"):
+        daily.run(fresh, broken, AS_OF)
+    assert not fresh.exists("clean_bookings")
+    report = {r["source_name"]: r["status"] for r in warehouse.read("source_report").collect()}
+    assert report.keys() == SOURCES.keys()
+    assert {r["odd_days"] for r in daily.source_report(landed, AS_OF).collect()} == {0}
+    gap = landed["bookings"].where("updated_at < TIMESTAMP_NTZ '2001-04-01 12:00:00'").unionByName(
+        landed["bookings"].withColumn("updated_at", F.expr("updated_at + INTERVAL '4' DAY"))
+    )
+    odd = {r["source_name"]: r["odd_days"] for r in daily.source_report({**landed, "bookings": gap}, AS_OF).collect()}
+    assert odd["bookings"] > 0

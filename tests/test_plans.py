@@ -8,7 +8,7 @@ from datetime import date
 import pytest
 
 from hotdesk.operators.incremental import newer_than
-from hotdesk.plans import analytics
+from hotdesk.plans import analytics, staging
 from hotdesk.queries import AS_OF, QUERIES, Layers
 
 
@@ -31,11 +31,28 @@ def test_no_python_and_no_unkeyed_window_in_any_lazy_plan(spark, sf_dir):
                 assert "windowspecdefinition(" in line and "], []" not in line, line
 
 
-def test_lookups_are_broadcast(at):
-    plan = executed(at.stg("bookings"))
+def test_lookups_are_broadcast_by_their_size(at, warehouse):
+    """Stored lookups, as a load has them: their files tell Spark that they are small."""
+    for name in ("status", "booking_types"):
+        warehouse.rebuild(f"clean_{name}", at.clean(name))
+    plan = executed(staging.bookings(
+        at.clean("bookings"), warehouse.read("clean_status"), warehouse.read("clean_booking_types")))
     assert plan.count("BroadcastHashJoin") == 2 and "SortMergeJoin" not in plan
 
 
+@pytest.mark.parametrize("name, needed", [
+    ("credit_utilization_l3m", {"o_orderkey", "o_custkey", "o_orderdate"}),
+    ("wide_booking_features", {"o_orderkey", "o_custkey", "o_orderdate"}),
+])
+def test_products_read_the_bookings_once_without_lookups(spark, sf_dir, name, needed):
+    plan = executed(QUERIES[name](spark, sf_dir)).split("== Initial Plan ==")[0]
+    assert "status_name" not in plan and "type_name" not in plan
+    scans = [line for line in plan.splitlines() if "FileScan" in line and "orders.parquet" in line]
+    for line in scans:
+        columns = {c.split("#")[0] for c in line.split("FileScan parquet [")[1].split("]")[0].split(",")}
+        assert columns <= needed, columns
+
+
 def test_mart_sums_before_it_joins(at):
     plan = executed(at.mart())
     first_sum = plan.index("partial_sum(credits_used")

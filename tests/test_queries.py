@@ -6,9 +6,8 @@ import pytest
 
 import __spark_entry__ as registered
 from compare import differences, twin
-
-QUERIES = registered.queries()
-ORACLE = registered.oracle_sql()
+from hotdesk.oracle import ORACLE
+from hotdesk.queries import QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -18,6 +17,7 @@ def connection(sf_dir):
 
 def test_every_query_has_a_twin():
     assert QUERIES.keys() == ORACLE.keys()
+    assert QUERIES.keys() <= registered.queries().keys() and ORACLE.keys() <= registered.oracle_sql().keys()
 
 
 @pytest.mark.parametrize("name", QUERIES)

@@ -28,7 +28,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from hotdesk.llm.words import Spans, Words
+from hotdesk.llm.words import Spans, Words, portions
 
 LABELLED, UNLABELLED = 6000, 3000
 BUCKETS, CHOSEN, PREFIX = 1 << 20, 128, 5
@@ -245,14 +245,16 @@ def fit(docs: DataFrame, labels: DataFrame) -> dict[str, dict[str, np.ndarray]]:
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, kind = Words(), _kinds()
-        for batch in batches:
-            found = words.spans(batch.column("text"), PREFIX)
-            stats, hashed = statistics(found, kind), buckets(found)
-            codes = metadata(batch)
-            sets = [np.unique(hashed[:, a:b]).astype(np.int32) for a, b in zip(found.bounds[:-1], found.bounds[1:], strict=True)]
-            columns = [batch.column(n) for n in ("h", "quality", "toxic")]
-            columns += [pa.array([v.tobytes() for v in part], pa.binary()) for part in (stats, codes, sets)]
-            yield pa.RecordBatch.from_arrays(columns, ["h", "quality", "toxic", "stats", "codes", "words"])
+        for whole in batches:
+            for rows in portions(whole.column("text")):
+                batch = whole.slice(rows.start, rows.stop - rows.start)
+                found = words.spans(batch.column("text"), PREFIX)
+                hashed, bounds = buckets(found), zip(found.bounds[:-1], found.bounds[1:], strict=True)
+                sets = [np.unique(hashed[:, low:high]).astype(np.int32) for low, high in bounds]
+                numbers = (statistics(found, kind), metadata(batch), sets)
+                columns = [batch.column(n) for n in ("h", "quality", "toxic")]
+                columns += [pa.array([v.tobytes() for v in part], pa.binary()) for part in numbers]
+                yield pa.RecordBatch.from_arrays(columns, ["h", "quality", "toxic", "stats", "codes", "words"])
 
     def train(table: pa.Table) -> pa.Table:
         table = table.sort_by([("h", "ascending")])
@@ -284,24 +286,23 @@ def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
         batches: Iterator[tuple[pa.Array, pa.Array, pa.Array, pa.Array]],
     ) -> Iterator[pa.Array]:
         words, kind = Words(), _kinds()
+        targets = [models.get(t, {"prior": np.array([0.5])}) for t in ("quality", "toxic")]
         for columns in batches:
             batch = pa.RecordBatch.from_arrays(list(columns), names)
-            found = words.spans(batch.column("text"), PREFIX)
-            stats, hashed, codes = statistics(found, kind), buckets(found), metadata(batch)
-            chances = {
-                target: score(models.get(target, {"prior": np.array([0.5])}), stats, found, hashed, codes)
-                for target in ("quality", "toxic")
-            }
-            taught = {target: "prior" not in models.get(target, {"prior": 0}) for target in chances}
-            keep = np.ones(len(codes), bool)
-            if taught["quality"]:
-                keep &= chances["quality"] >= THRESHOLD
-            if taught["toxic"]:
-                keep &= chances["toxic"] < THRESHOLD
-            yield pa.StructArray.from_arrays(
-                [pa.array(chances["quality"]), pa.array(chances["toxic"]), pa.array(keep)],
-                ["quality", "toxic", "keep"],
-            )
+            chances = [np.zeros((2, 0))]
+            for rows in portions(batch.column("text")):
+                part = batch.slice(rows.start, rows.stop - rows.start)
+                found = words.spans(part.column("text"), PREFIX)
+                stats, hashed, codes = statistics(found, kind), buckets(found), metadata(part)
+                chances.append(np.stack([score(model, stats, found, hashed, codes) for model in targets]))
+            good, bad = np.concatenate(chances, axis=1)
+            keep = np.ones(len(good), bool)
+            if "prior" not in targets[0]:
+                keep &= good >= THRESHOLD
+            if "prior" not in targets[1]:
+                keep &= bad < THRESHOLD
+            columns = [pa.array(good), pa.array(bad), pa.array(keep)]
+            yield pa.StructArray.from_arrays(columns, ["quality", "toxic", "keep"])
 
     marked = judged(F.col("text"), source, lang, length).alias("judged")
     return docs.select(F.struct("*").alias("doc"), marked).select("doc", "judged.*")

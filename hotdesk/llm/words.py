@@ -16,11 +16,24 @@ import pyarrow.compute as pc
 
 #: Bytes that are hashed at a time; a block ends at the next white space.
 BLOCK = 1 << 20
+#: Bytes of text whose words are held at a time, but for a longer text.
+PORTION = 1 << 22
 
 WHITE = (0x20, *range(0x09, 0x0E))
 _BASE = 0x9E3779B97F4A7C15
 
 
+def portions(texts: pa.Array) -> Iterator[slice]:
+    """Stretches of rows whose texts have about ``PORTION`` bytes in all."""
+    sizes = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    low = 0
+    while low < len(sizes):
+        before = int(sizes[low - 1]) if low else 0
+        high = max(low + 1, int(np.searchsorted(sizes, before + PORTION, "right")))
+        yield slice(low, high)
+        low = high
+
+
 def mixed(hashes: np.ndarray) -> np.ndarray:
     """Spreads every bit over all bits."""
     hashes = (hashes ^ (hashes >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
@@ -121,11 +134,12 @@ def grams(words: np.ndarray, size: int) -> np.ndarray:
 
 def shingle_sets(texts: pa.Array, size: int, words: Words) -> Iterator[np.ndarray]:
     """The sorted distinct shingles of each text; of fewer words, one of them all; none without words."""
-    hashes, bounds = words.of(texts)
-    every = grams(hashes, size)
-    for low, high in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
-        if high - low >= size:
-            found = np.sort(every[low : high - size + 1])
-            yield found[np.append(True, found[1:] != found[:-1])]
-        else:
-            yield grams(hashes[low:high], high - low) if high > low else np.zeros(0, np.uint64)
+    for rows in portions(texts):
+        hashes, bounds = words.of(texts[rows])
+        every = grams(hashes, size)
+        for low, high in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+            if high - low >= size:
+                found = np.sort(every[low : high - size + 1])
+                yield found[np.append(True, found[1:] != found[:-1])]
+            else:
+                yield grams(hashes[low:high], high - low) if high > low else np.zeros(0, np.uint64)

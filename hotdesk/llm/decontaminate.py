@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from hotdesk.llm.tables import stored
-from hotdesk.llm.words import SIGNS, Words, grams
+from hotdesk.llm.words import SIGNS, Words, grams, portions
 
 #: Words of a seed, items that may share it, seeds every item keeps, words of a block of items.
 GRAM, RARE, LEAST, BLOCK = 3, 4, 8, 1 << 20
@@ -200,8 +200,10 @@ def matcher(items: Items, least: float):
     def matches(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         words = Words(SIGNS)
         for texts in batches:
-            hashes, bounds = words.of(texts)
-            yield pa.array(find(items, hashes, bounds, least), shape)
+            found = []
+            for rows in portions(texts):
+                found += find(items, *words.of(texts[rows]), least)
+            yield pa.array(found, shape)
 
     return matches
 

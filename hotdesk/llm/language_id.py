@@ -25,6 +25,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from hotdesk.llm.words import portions
+
 ORDER = 3
 SAMPLE, LANGUAGES = 300, 64
 #: Bytes that are scored at a time.
@@ -217,7 +219,9 @@ def predict(docs: DataFrame, model: Model | None) -> DataFrame:
             names = np.full(batch.num_rows, UNKNOWN, object)
             score = np.zeros(batch.num_rows)
             if model and lettered.any():
-                bits = model.lengths([t.as_buffer().to_pybytes() for t in batch.column("text").filter(lettered)])
+                texts = batch.column("text").filter(lettered)
+                parts = [model.lengths([t.as_py().encode() for t in texts[rows]]) for rows in portions(texts)]
+                bits = np.concatenate(parts)
                 names[lettered] = np.array(model.languages, object)[bits.argmin(axis=1)]
                 beyond = np.minimum(bits - bits.min(axis=1, keepdims=True), 1000)
                 score[lettered] = 1 / np.exp2(-beyond).sum(axis=1)

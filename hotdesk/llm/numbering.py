@@ -4,13 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-#: Rows of a group that one window partition is meant to hold.
-ROWS = 50_000
-
 
 def parts_of(size: Column) -> Column:
-    """Into how many parts a group of so many rows is cut."""
-    return F.ceil(size / ROWS).cast("long")
+    """Into how many parts a group of so many rows is cut: its square root, so that neither the
+    rows of a part nor the parts of a group, each sorted in one task, grow as the group does."""
+    return F.ceil(F.sqrt(size)).cast("long")
 
 
 def running_before(rows: DataFrame, by: list[str], part: str, order: list, weight: Column, out: str) -> DataFrame:

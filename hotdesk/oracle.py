@@ -154,6 +154,7 @@ def _stg_bookings(rows: str) -> str:
         LEFT JOIN clean_booking_types t ON b.booking_type_id = t.booking_type_id"""
 
 
+# The labels and classes of the rules, here and in the statements below.
 _STATUS = """CASE WHEN is_cancelled THEN 'cancelled' WHEN is_no_show THEN 'no_show' WHEN is_future THEN 'scheduled'
         WHEN check_in_datetime IS NOT NULL AND check_out_datetime IS NOT NULL THEN 'completed'
         WHEN check_in_datetime IS NOT NULL THEN 'checked_in' ELSE 'unknown' END"""
@@ -342,6 +343,7 @@ _NOT_NULL = [
 ]
 _BOTH = "true, false"
 _TIERS = "'Small', 'Medium', 'Large', 'Enterprise'"
+# The accepted labels.
 _ACCEPTED = [
     ("clean_bookings", "is_cancelled", _BOTH),
     ("stg_companies", "company_size_tier", _TIERS),

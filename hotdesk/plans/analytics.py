@@ -10,6 +10,7 @@ from hotdesk.functions import business as rules
 from hotdesk.operators.dates import date_of_id, month_of, weekdays_in_month
 from hotdesk.operators.history import point_in_time_join
 
+# Names of output columns, here and where rates are named below.
 RATE = "taxa_utilizacao_perc"
 CEILING = "teto_creditos_trimestre"
 CONSUMED = "creditos_consumidos_trimestre"

@@ -27,7 +27,7 @@ def booking_at_the_time(fact: DataFrame, dim_spaces: DataFrame) -> DataFrame:
         dim_spaces,
         "space_id",
         CHECK_IN,
-        {
+        {  # fixed values: names of output columns
             "tier": "tier_na_epoca",
             "total_seats": "seats_na_epoca",
             "city": "city",

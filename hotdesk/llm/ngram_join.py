@@ -4,15 +4,16 @@ Two documents link when ``100 * |A & B| >= percent * |A | B|`` for their sets of
 shingles. Equal sets are one class from the start, so copies cost nothing further.
 
 1. Which classes can link at all: a linked pair of sizes in one or two neighbouring size
-   bands differs in at most D shingles. The hash space is cut into more than D slices; a slice
-   that no difference touches has the same content in both. Slices are hashed, and
-   classes without a slice in common with another class are done (pigeonhole: none is lost).
+   bands differs in at most D shingles. The hash space is cut into S > D slices; a slice that no
+   difference touches has the same content in both, and at least S - D are untouched. Slices
+   are hashed; a class that has fewer in common with the other classes, its empty slices
+   allowed for, is done (pigeonhole: no link is lost).
 2. The others are partitioned into groups of similar documents: those whose most widely shared
    slice is the same, in groups of bounded size. Each group keeps the union of its tokens.
-3. Pairs of groups that share a slice meet in one task. A document queries the other group:
-   its overlap with the group's union bounds its overlap with every member, so only groups
-   that qualify are opened, and only qualifying documents are compared, as one product of
-   token incidence matrices. Pairs never become rows: a task returns the links that join the
+3. A document queries the groups that share enough slices with it, and what of two groups
+   queries the other meets in one task. Its overlap with the other group's union bounds its
+   overlap with every member, so only groups that qualify are opened, and only qualifying
+   documents are compared, as one product of token incidence matrices. Pairs never become rows: a task returns the links that join the
    two groups' own components.
 4. Components of the links are found in rounds of joins.
 
@@ -31,7 +32,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from hotdesk.llm.components import components
 from hotdesk.llm.tables import stored
@@ -39,9 +40,11 @@ from hotdesk.llm.words import Words, mixed, shingle_sets
 
 #: About so many members and tokens has a group at most; tokens of an incidence matrix at a time;
 #: classes that a task remembers.
-GROUP, GROUP_TOKENS, TOKENS, REMEMBERED = 512, 1 << 18, 4096, 1 << 20
+GROUP, GROUP_TOKENS, TOKENS, REMEMBERED = 2048, 1 << 19, 2048, 1 << 20
 #: Numbers that a task gathers before it hands them on.
 HELD = 1 << 19
+#: How often classes that share too little are left out, and with them what only they shared.
+FILTERS = 2
 
 
 def class_of(shingles: np.ndarray) -> int:
@@ -80,9 +83,10 @@ class Bands:
             self._slices[band] = (slices, differences) if differences else (0, 0)
         return self._slices[band]
 
-    def signatures(self, shingles: np.ndarray) -> np.ndarray:
-        """Hashes of the slices of a sorted set, for pairs within its band and to either side."""
-        band, found = self.band(len(shingles)), []
+    def signatures(self, shingles: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Hashes of the slices of a sorted set, for pairs within its band and to either side, and beside
+        each how many of its level a linked set has as well. The lowest bit tells the two levels apart."""
+        band, found, needs = self.band(len(shingles)), [], []
         for level in (band - 1, band):
             slices, differences = self.slices(level) if level >= 0 else (0, 0)
             if not slices:
@@ -91,11 +95,17 @@ class Bands:
             begins = np.flatnonzero(np.append(True, slice_of[1:] != slice_of[:-1]))
             at = slice_of[begins]
             content = np.add.reduceat(mixed(shingles), begins)
-            if slices - len(at) >= slices - differences:
+            need = len(at) - differences  # untouched slices less empty ones
+            if need < 1:
                 empty = np.setdiff1d(np.arange(slices, dtype=np.uint64), at)
                 at, content = np.append(at, empty), np.append(content, np.zeros(len(empty), np.uint64))
-            found.append(mixed(mixed(content + np.uint64(slices)) + at))
-        return np.concatenate(found) if found else np.zeros(0, np.uint64)
+                need = 1  # the other set may not name its empty ones
+            hashed = mixed(mixed(content + np.uint64(slices)) + at)
+            found.append((hashed & ~np.uint64(1)) | np.uint64(level & 1))
+            needs.append(np.full(len(at), need, np.int32))
+        if not found:
+            return np.zeros(0, np.uint64), np.zeros(0, np.int32)
+        return np.concatenate(found), np.concatenate(needs)
 
 
 def _sets(docs: DataFrame, shingle: int) -> DataFrame:
@@ -115,16 +125,17 @@ def _sets(docs: DataFrame, shingle: int) -> DataFrame:
 
 
 def _signatures(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """Rows (signature, class); a class is named once per task, and again when many lie between."""
+    """Rows (signature, class, need); a class is named once per task, and again when many lie between."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, bands, seen = Words(), Bands(percent), set()
         names, found, held = [], [], 0
 
         def rows() -> pa.RecordBatch:
-            classes = np.repeat(np.array(names, np.int64), [len(f) for f in found])
-            columns = [pa.array(np.concatenate(found).view(np.int64)), pa.array(classes)]
-            return pa.RecordBatch.from_arrays(columns, ["signature", "class"])
+            classes = np.repeat(np.array(names, np.int64), [len(hashes) for hashes, _ in found])
+            hashes, needs = (np.concatenate(part) for part in zip(*found, strict=True))
+            columns = [pa.array(hashes.view(np.int64)), pa.array(classes), pa.array(needs)]
+            return pa.RecordBatch.from_arrays(columns, ["signature", "class", "need"])
 
         for batch in batches:
             for shingles in shingle_sets(batch.column("text"), shingle, words):
@@ -134,7 +145,7 @@ def _signatures(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
                 seen.add(name)
                 names.append(name)
                 found.append(bands.signatures(shingles))
-                held += len(found[-1])
+                held += len(found[-1][0])
                 if held > HELD:
                     yield rows()
                     names, found, held = [], [], 0
@@ -143,7 +154,7 @@ def _signatures(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
         if found:
             yield rows()
 
-    return docs.select("text").mapInArrow(work, "signature long, class long")
+    return docs.select("text").mapInArrow(work, "signature long, class long, need int")
 
 
 def _tokens(docs: DataFrame, shingle: int) -> DataFrame:
@@ -171,23 +182,29 @@ def _tokens(docs: DataFrame, shingle: int) -> DataFrame:
     return docs.select("text").mapInArrow(work, "class long, tokens binary")
 
 
-def _incidence(sets: list[np.ndarray], tokens: np.ndarray) -> np.ndarray:
-    """A row per set, a column per token."""
-    out = np.zeros((len(sets), len(tokens)), np.float32)
-    for row, own in zip(out, sets, strict=True):
-        at = np.searchsorted(tokens, own)
-        at[at == len(tokens)] = 0
-        row[at[tokens[at] == own]] = 1
-    return out
+def _placed(sets: list[np.ndarray], tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Set and place in ``tokens`` of every token of the sets that is there, by place."""
+    every, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    at = np.searchsorted(tokens, every)
+    at[at == len(tokens)] = 0
+    there = np.flatnonzero(tokens[at] == every) if len(tokens) else at[:0]
+    there = there[np.argsort(at[there], kind="stable")]
+    return owner[there], at[there]
 
 
 def overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
     """How many tokens each set of the left has in common with each of the right."""
     shared = np.intersect1d(np.unique(np.concatenate(left)), np.unique(np.concatenate(right)), True)
     out = np.zeros((len(left), len(right)), np.float32)
+    sides = [(len(side), *_placed(side, shared)) for side in (left, right)]
     for low in range(0, len(shared), TOKENS):
-        tokens = shared[low : low + TOKENS]
-        out += _incidence(left, tokens) @ _incidence(right, tokens).T
+        matrices = []
+        for count, owner, at in sides:
+            own = slice(*np.searchsorted(at, [low, low + TOKENS]))
+            matrix = np.zeros((count, TOKENS), np.float32)
+            matrix[owner[own], at[own] - low] = 1
+            matrices.append(matrix)
+        out += matrices[0] @ matrices[1].T
     return out.astype(np.int64)
 
 
@@ -249,6 +266,20 @@ def _compare(percent: int):
     return work
 
 
+def _level() -> Column:
+    return F.col("signature").bitwiseAND(1).alias("level")
+
+
+def _with_enough(shared: DataFrame) -> DataFrame:
+    """The rows of classes that share, at a level, as many slices as a link takes; only those slices that
+    are still shared."""
+    enough = shared.groupBy("class", _level()).agg(F.count("*").alias("have"), F.max("need").alias("need"))
+    enough = enough.where("have >= need").select("class", "level")
+    rows = shared.withColumn("level", _level()).join(enough, ["class", "level"], "left_semi").drop("level")
+    several = rows.groupBy("signature").agg(F.min("class").alias("low"), F.max("class").alias("high"))
+    return rows.join(several.where("low <> high"), "signature", "left_semi")
+
+
 def class_links(docs: DataFrame, classes: DataFrame, shingle: int, percent: int) -> DataFrame:
     """Links between classes whose components are those of all links.
 
@@ -262,9 +293,11 @@ def class_links(docs: DataFrame, classes: DataFrame, shingle: int, percent: int)
         .withColumn("many", F.count("*").over(by_signature))
         .where("low <> high")
         .groupBy("signature", "class")
-        .agg(F.max("many").alias("many"))
+        .agg(F.max("many").alias("many"), F.max("need").alias("need"))
     )
     shared = stored(shared, "signatures")
+    for _ in range(FILTERS):
+        shared = stored(_with_enough(shared), "signatures")
     # The most widely shared slice brings nearly all of a family together.
     keyed = shared.groupBy("class").agg(F.max(F.struct("many", "signature"))["signature"].alias("key"))
     keyed = keyed.join(classes.select("class", "size"), "class")
@@ -276,11 +309,13 @@ def class_links(docs: DataFrame, classes: DataFrame, shingle: int, percent: int)
     rows = groups.join(classes.select("class", "doc_id", "at"), "class").select("doc_id", "at").hint("shuffle_hash")
     again = docs.join(rows, (docs["at"] == rows["at"]) & docs["doc_id"].eqNullSafe(rows["doc_id"]), "left_semi")
     members = stored(_tokens(again, shingle).join(groups, "class"), "members")
-    # Of two groups that share a slice those members meet that share it; a group meets itself whole.
-    named = shared.join(groups, "class").select("signature", "class", "group")
+    # Of two groups those members meet that share enough slices with the other; a group meets itself whole.
+    named = shared.join(groups, "class").select("signature", "class", "group", "need")
     other = named.select("signature", F.col("group").alias("other")).distinct()
     pair = F.xxhash64(F.least("group", "other"), F.greatest("group", "other")).alias("pair")
-    sides = named.join(other, "signature").where("group <> other").select(pair, "class").distinct()
+    asked = named.join(other, "signature").where("group <> other").groupBy("class", "group", "other", _level())
+    enough = asked.agg(F.count("*").alias("have"), F.max("need").alias("need")).where("have >= need")
+    sides = enough.select(pair, "class").distinct()
     alone = groups.groupBy("group").agg(F.count("*").alias("n")).where("n > 1")
     sides = sides.unionByName(groups.join(alone, "group", "left_semi").select(F.col("group").alias("pair"), "class"))
     met = sides.join(members, "class").select("pair", "group", "class", "tokens")

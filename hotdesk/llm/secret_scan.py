@@ -2,7 +2,8 @@
 
 Every value that looks like a credential is hashed; the corpus tells by how many distinct
 owners and repositories a hash is used. A value of many owners is an example that people
-copied; one of a single owner looks live. Base kinds (assign, access, hex) are reported
+copied; one of a single owner looks live, in however many of its repositories, documents or
+copies it stands. Base kinds (assign, access, hex) are reported
 whatever the corpus says; opaque values are added when they are live and touch no base span.
 
 Values are aggregated per (hash, owner, repository) before they are counted, so a value in a
@@ -38,7 +39,6 @@ OPAQUE = Kind(
     lambda t: t.rlike(r"[A-Za-z0-9+/_-]{20}"),
 )
 MAX_OWNERS = 1
-MAX_REPOSITORIES = 3
 
 
 def _assigned(value: Column) -> Column:
@@ -75,15 +75,16 @@ def candidates(docs: DataFrame, text: str, owner: str, repository: str, keep: tu
 
 
 def ownership(used: DataFrame) -> DataFrame:
-    """Rows (hash, owner, repository) to hash, owners, repositories and whether the value looks live."""
+    """Rows (hash, owner, repository) to hash, owners, repositories and whether the value looks live.
+
+    Owners alone decide: the number of repositories grows with the table.
+    """
     once = used.groupBy("hash", "owner", "repository").agg(F.lit(1).alias("one"))
     per_owner = once.groupBy("hash", "owner").agg(F.count("*").alias("repositories"))
     return (
         per_owner.groupBy("hash")
         .agg(F.count("*").alias("owners"), F.sum("repositories").alias("repositories"))
-        .withColumn(
-            "live", (F.col("owners") <= MAX_OWNERS) & (F.col("repositories") <= MAX_REPOSITORIES)
-        )
+        .withColumn("live", F.col("owners") <= MAX_OWNERS)
     )
 
 

@@ -105,6 +105,13 @@ def test_owner_specific_values_are_added_and_copied_ones_are_not(spark):
     assert secret_scan.digest(docs.limit(0)).collect() == []
 
 
+def test_a_value_of_one_owner_is_live_in_any_number_of_documents(spark):
+    live = "sk_live_9aF3kLm2Qw8ZxT5vB7nY"
+    docs = spark.createDataFrame([(i, f"use {live}", "a") for i in range(10)], "doc_id long, text string, source string")
+    found = {(r.spans, r.live_values, r.example_values) for r in secret_scan.digest(docs).collect()}
+    assert found == {("live:4:32", 1, 0)}
+
+
 def test_native_plans(spark, sf_dir):
     docs = read(spark, sf_dir, "documents")
     for rows in (pii.digest(docs), pii.redact(docs), secret_scan.digest(docs)):

@@ -19,7 +19,7 @@ BLOCK = 256
 class Kind:
     """A pattern and what else must hold.
 
-    ``valid`` gets a span (fields ``value``, ``before``, ``after``). ``hint`` is a cheap
+    ``valid`` gets a span (fields ``value``, ``before``, ``after`` and, with context, ``left``, ``right``). ``hint`` is a cheap
     necessary condition on the text. Patterns use possessive loops: Java matches those
     without recursion, so text length is no matter.
     """
@@ -31,13 +31,14 @@ class Kind:
 
 
 def with_hits(rows: DataFrame, text: str, kind: Kind, out: str, context: int = 0) -> DataFrame:
-    """Adds ``out``: array of struct(start, end, value, before, after), by position.
+    """Adds ``out``: array of struct(start, end, value, before, after and, with context, left, right), by position.
 
     Empty when nothing matches or the text is NULL. ``before`` and ``after`` hold up to
-    ``context`` characters between the hit and its neighbours.
+    ``context`` characters between the hit and its neighbours, ``left`` and ``right`` the
+    ``context`` characters of the text beside it, neighbours and all.
     """
-    made = {name: f"{out}__{name}" for name in ("pieces", "hits", "lengths", "sums")}
-    pieces, hits, lengths, sums = (F.col(made[n]) for n in ("pieces", "hits", "lengths", "sums"))
+    made = {name: f"{out}__{name}" for name in ("pieces", "hits", "lengths", "sums", "ended", "begun")}
+    pieces, hits, lengths, sums, ended, begun = (F.col(name) for name in made.values())
     body = F.col(text)
     split = F.split(body, kind.pattern, -1)
     rows = rows.withColumn(made["pieces"], F.when(kind.hint(body), split) if kind.hint else split)
@@ -57,20 +58,34 @@ def with_hits(rows: DataFrame, text: str, kind: Kind, out: str, context: int = 0
         ),
     )
 
+    # Each hit with the text before and with that after it. A hit is a character at least, so
+    # ``context`` neighbours fill a window.
+    rows = rows.withColumn(
+        made["ended"], F.transform(hits, lambda hit, i: F.concat(F.right(F.get(pieces, i), F.lit(context)), hit))
+    )
+    rows = rows.withColumn(
+        made["begun"], F.transform(hits, lambda hit, i: F.concat(hit, F.left(F.get(pieces, i + 1), F.lit(context))))
+    )
+
     def span(hit: Column, i: Column) -> Column:
         inside = i % BLOCK
         end = _total(F.slice(sums, 1, F.floor(i / BLOCK).cast("int"))) + _total(
             F.slice(lengths, i - inside + 1, inside + 1)
         )
-        return F.struct(
-            (end - F.length(hit)).alias("start"),
-            end.alias("end"),
-            hit.alias("value"),
-            F.right(F.get(pieces, i), F.lit(context)).alias("before"),
-            F.left(F.get(pieces, i + 1), F.lit(context)).alias("after"),
-        )
-
-    nothing = F.array().cast("array<struct<start:int,end:int,value:string,before:string,after:string>>")
+        before = F.right(F.get(pieces, i), F.lit(context))
+        after = F.left(F.get(pieces, i + 1), F.lit(context))
+        fields = [(end - F.length(hit)).alias("start"), end.alias("end"), hit.alias("value")]
+        fields += [before.alias("before"), after.alias("after")]
+        if context:
+            # The neighbours before, the nearest last, and those after.
+            far = F.slice(ended, F.greatest(i - context, F.lit(0)) + 1, F.least(i, F.lit(context)))
+            left = F.concat(F.array_join(far, ""), before)
+            right = F.concat(after, F.array_join(F.slice(begun, i + 2, F.lit(context)), ""))
+            fields += [F.right(left, F.lit(context)).alias("left"), F.left(right, F.lit(context)).alias("right")]
+        return F.struct(*fields)
+
+    names = ("value", "before", "after", *(("left", "right") if context else ()))
+    nothing = F.array().cast(f"array<struct<start:int,end:int,{','.join(f'{n}:string' for n in names)}>>")
     rows = rows.withColumn(out, F.coalesce(F.transform(hits, span), nothing))
     if kind.valid:
         rows = rows.withColumn(out, F.filter(out, kind.valid))

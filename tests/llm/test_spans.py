@@ -66,6 +66,17 @@ def test_checksum_and_context_decide_on_added_spans(spark):
     assert found == {0: "iban:5:32", 1: "ssn:7:18", 2: "", 3: "local_phone:5:17", 4: ""}
 
 
+def test_accounts_end_where_their_checksum_does(spark):
+    behind = ["Please pay", "BIC COBADEFF", "2024", "and", "12 X DE1"]
+    accounts = ["DE89 3704 0044 0532 0130 00", "DE89370400440532013000", "GB82WEST12345698765432", "ES91 2100 0418 4502 0005 1332"]
+    texts = [f"IBAN {a} {b}" for a in accounts for b in behind] + ["GB82WEST12345698765432 DE89370400440532013000"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    found = {r.doc_id: r.spans for r in pii.digest(docs).collect()}
+    for i in range(len(texts) - 1):
+        assert found[i].split(",")[0] == f"iban:5:{5 + len(accounts[i // len(behind)])}", texts[i]
+    assert found[len(texts) - 1] == "iban:0:22,iban:23:45"
+
+
 def test_redaction_replaces_spans_and_keeps_the_rest(spark):
     rows = [
         (1, "mail a@b.com or 1.1.1.1!", 24, "x"),

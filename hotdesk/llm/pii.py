@@ -25,6 +25,12 @@ PENALTY = 0.3
 _LOCAL, _HOST = "A-Za-z0-9._%+-", "A-Za-z0-9-"
 
 
+#: Words beside numbers of other things; "in order to" is none.
+_NUMBERED = (
+    r"(?<!\p{L})(?:(?!(?<=\bin\x20)order\x20(?:to|that)\b)orders?|parts?|serials?|refs?|references?|invoices?)(?!\p{L})"
+)
+
+
 def _digits(value: Column) -> Column:
     return F.regexp_replace(value, "[^0-9]", "")
 
@@ -128,7 +134,8 @@ IBAN = Kind(
 #: Characters behind its first signs that hold the longest account, written sign by sign, and one more.
 REACH = 2 * 30 + 1
 
-# Kinds by context: score before it, words that raise it and words that lower it.
+# Kinds by context: score before it, words that raise it (as parts of words too: German compounds)
+# and whole words that lower it.
 ADDED = (
     (
         Kind(
@@ -139,7 +146,7 @@ ADDED = (
         ),
         0.4,
         r"ssn|social security|tax ?id|taxpayer",
-        r"order|part|serial|ref|invoice",
+        _NUMBERED,
     ),
     (
         Kind(
@@ -150,7 +157,7 @@ ADDED = (
         ),
         0.4,
         r"phone|\btel|call|mobile|cell|fax|contact|telefon|teléfono",
-        r"order|part|serial|ref|invoice",
+        _NUMBERED,
     ),
 )
 
@@ -158,12 +165,16 @@ _SPANS = "array<struct<start:int,rank:int,kind:string,end:int>>"
 
 
 def _sure(score: float, up: str, down: str) -> Callable[[Column], Column]:
-    """Whether the score, moved by the words near a span, reaches the least one."""
+    """Whether the score, moved by the words near a span, reaches the least one.
+
+    A word raises all spans within ``CONTEXT`` characters, as a list of numbers has one word
+    before it; it lowers those that it stands next to.
+    """
 
     def sure(s: Column) -> Column:
-        near = F.concat_ws(" ", s["before"], s["after"])
+        near, next_to = F.concat_ws(" ", s["left"], s["right"]), F.concat_ws(" ", s["before"], s["after"])
         raised = F.when(near.rlike(f"(?i){up}"), BOOST).otherwise(0.0)
-        lowered = F.when(near.rlike(f"(?i){down}"), PENALTY).otherwise(0.0)
+        lowered = F.when(next_to.rlike(f"(?i){down}"), PENALTY).otherwise(0.0)
         return F.lit(score) + raised - lowered >= MIN_SCORE
 
     return sure

@@ -77,6 +77,29 @@ def test_accounts_end_where_their_checksum_does(spark):
     assert found[len(texts) - 1] == "iban:0:22,iban:23:45"
 
 
+def test_context_reaches_over_neighbours_and_lowers_by_whole_words(spark):
+    texts = [
+        "SSN 123-45-6789, 234-56-7890, 345-67-8901",
+        "Call 415 555 1234 or 415 555 9999",
+        "415 555 1234, 415 555 9999 (phones)",
+        "Call the sales department 415 555 1234",
+        "In order to book call 415 555 1234",
+        "We prefer DE89370400440532013000 in order to pay",
+        "call, order 415 555 1234",
+    ]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    found = {r.doc_id: r.spans for r in pii.digest(docs).collect()}
+    assert found == {
+        0: "ssn:4:15,ssn:17:28,ssn:30:41",
+        1: "local_phone:5:17,local_phone:21:33",
+        2: "local_phone:0:12,local_phone:14:26",
+        3: "local_phone:26:38",
+        4: "local_phone:22:34",
+        5: "iban:10:32",
+        6: "",
+    }
+
+
 def test_redaction_replaces_spans_and_keeps_the_rest(spark):
     rows = [
         (1, "mail a@b.com or 1.1.1.1!", 24, "x"),

@@ -6,8 +6,9 @@ logistic model is fitted per view on the labelled rows; in every round each view
 unlabelled rows that it is sure of, for the other view to learn from. Both views are then
 calibrated on labelled rows that took no part in the fit, and combined there.
 
-The models are fitted in one task on a bounded sample: at most ``LABELLED`` labelled and
-``UNLABELLED`` other rows, those of the smallest hash of the id. Words are hashed to ``BUCKETS``
+The models are fitted in one task on a bounded sample: at most ``LABELLED`` rows of each class
+of a target and ``UNLABELLED`` rows without labels, those of the smallest hash of the id. Chances
+are put back to the shares that the classes have among all labelled rows. Words are hashed to ``BUCKETS``
 numbers, of which at most ``CHOSEN`` per class are used. All documents are scored.
 
 A document is kept when it is more likely good than not and more likely harmless than toxic.
@@ -26,10 +27,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from hotdesk.llm.words import Spans, Words, portions
 
+TARGETS = ("quality", "toxic")
 LABELLED, UNLABELLED = 6000, 3000
 BUCKETS, CHOSEN, PREFIX = 1 << 20, 128, 5
 ROUNDS, SURE, TAUGHT = 3, 0.95, 300
@@ -151,9 +153,12 @@ def presence(rows: list[np.ndarray], chosen: np.ndarray) -> np.ndarray:
 
 
 def co_train(
-    content: np.ndarray, codes: np.ndarray, rows: list[np.ndarray], y: np.ndarray, seed: int = 7
+    content: np.ndarray, codes: np.ndarray, rows: list[np.ndarray], y: np.ndarray, seed: int = 7, shift: float = 0.0
 ) -> dict[str, np.ndarray]:
-    """A model of the two views; ``y`` holds 0, 1 or, without a label, -1."""
+    """A model of the two views; ``y`` holds 0, 1, without a label -1 and, for rows to leave out, -2.
+
+    ``shift`` is what the log odds of class 1 are too low by in the sample (negative: too high).
+    """
     known = np.flatnonzero(y >= 0)
     if len(known) < 20 or len(set(y[known].tolist())) < 2:
         return {"prior": np.array([y[known].mean() if len(known) else 0.5])}
@@ -164,9 +169,9 @@ def co_train(
     chosen = telling([rows[i] for i in fit], y[fit])
     views = [np.column_stack([content, presence(rows, chosen)]), _one_hot(codes)]
     decay = (1.0, 5.0)
-    pool = np.flatnonzero(y < 0)
+    pool = np.flatnonzero(y == -1)
     taught: list[dict[int, int]] = [{}, {}]
-    prior = y[fit].mean()
+    prior = chance(np.log(y[fit].mean() / (1 - y[fit].mean())) + shift)
     for turn in range(ROUNDS + 1):
         models = []
         for view, extra, ridge in zip(views, taught, decay, strict=True):
@@ -175,19 +180,21 @@ def co_train(
         if turn == ROUNDS or not len(pool):
             break
         for own, other in ((0, 1), (1, 0)):
-            p = chance(logits(views[own][pool], models[own]))
+            p = chance(logits(views[own][pool], models[own]) + shift)
             for value, sure, share in ((1, p, prior), (0, 1 - p, 1 - prior)):
                 best = np.argsort(-sure, kind="stable")[: max(1, int(TAUGHT * share))]
                 taught[other].update({int(pool[i]): value for i in best if sure[i] >= SURE})
     scores = [logits(view[held], model) for view, model in zip(views, models, strict=True)]
     calibrated = [logistic(s[:, None], y[held], 1e-3) for s in scores]
     both = np.column_stack([logits(s[:, None], c) for s, c in zip(scores, calibrated, strict=True)])
+    combined = logistic(both, y[held], 0.1)
+    combined[-1] += shift
     return {
         "chosen": chosen,
         "content": models[0],
         "metadata": models[1],
         "calibration": np.stack(calibrated),
-        "combined": logistic(both, y[held], 0.1),
+        "combined": combined,
     }
 
 
@@ -227,6 +234,11 @@ def _unpacked(data: bytes) -> dict[str, dict[str, np.ndarray]]:
     return models
 
 
+def _over(size: int) -> float:
+    """The log of how many rows of a class stand behind one of its sample."""
+    return float(np.log(max(1.0, size / LABELLED)))
+
+
 def fit(docs: DataFrame, labels: DataFrame) -> dict[str, dict[str, np.ndarray]]:
     """Models of the targets ``quality`` and ``toxic``, from bounded samples of both kinds of rows."""
     known = labels.where("doc_id IS NOT NULL").groupBy("doc_id").agg(
@@ -235,10 +247,26 @@ def fit(docs: DataFrame, labels: DataFrame) -> dict[str, dict[str, np.ndarray]]:
     ids = docs.where("doc_id IS NOT NULL").select("doc_id").distinct()
     marked = ids.join(known, "doc_id", "left").withColumn("h", F.xxhash64("doc_id"))
     has = F.col("quality").isNotNull() | F.col("toxic").isNotNull()
-    taken = marked.where(has).orderBy("h", "doc_id").limit(LABELLED).unionByName(
-        marked.where(~has).orderBy("h", "doc_id").limit(UNLABELLED)
+    strata = [F.struct(F.lit(t).alias("target"), (F.col(t) > 0).cast("int").alias("value"), F.col(t).alias("is")) for t in TARGETS]
+    cases = marked.where(has).select("*", F.explode(F.array(*strata)).alias("case")).where("case.is >= 0")
+    sizes = {(r["target"], r["value"]): r["count"] for r in cases.groupBy("case.target", "case.value").count().collect()}
+    shifts = {t: _over(sizes.get((t, 1), 0)) - _over(sizes.get((t, 0), 0)) for t in TARGETS}
+    by_hash = Window.partitionBy("case.target", "case.value").orderBy("h", "doc_id")
+    cases = cases.withColumn("place", F.row_number().over(by_hash)).where(F.col("place") <= LABELLED)
+    # A row that another target's stratum brought is left out, or classes would be sampled unevenly.
+    drawn = cases.groupBy("doc_id", "h").agg(
+        *(
+            F.coalesce(
+                F.max(F.when(F.col("case.target") == t, F.col("case.value"))),
+                F.max(F.when(F.col(t).isNotNull(), -2)),
+            ).alias(t)
+            for t in TARGETS
+        )
+    )
+    taken = drawn.unionByName(
+        marked.where(~has).orderBy("h", "doc_id").limit(UNLABELLED).select("doc_id", "h", *TARGETS)
     )
-    # At most LABELLED + UNLABELLED small rows, whatever the table's size.
+    # At most 4 * LABELLED + UNLABELLED small rows, whatever the table's size.
     rows = docs.join(F.broadcast(taken), "doc_id").groupBy("doc_id", "h", "quality", "toxic").agg(
         *(F.min(c).alias(c) for c in ("text", "source", "lang", "n_chars"))
     )
@@ -262,9 +290,9 @@ def fit(docs: DataFrame, labels: DataFrame) -> dict[str, dict[str, np.ndarray]]:
         codes = np.stack([np.frombuffer(v.as_py(), np.int64) for v in table.column("codes")])
         sets = [np.frombuffer(v.as_py(), np.int32) for v in table.column("words")]
         models = {}
-        for target in ("quality", "toxic"):
+        for target in TARGETS:
             y = table.column(target).fill_null(-1).to_numpy()
-            models[target] = co_train(stats, codes, sets, np.where(y > 0, 1, y))
+            models[target] = co_train(stats, codes, sets, y, shift=shifts[target])
         return pa.table({"model": pa.array([_packed(models)], pa.binary())})
 
     shaped = rows.select("h", "quality", "toxic", "text", "source", "lang", "n_chars").mapInArrow(

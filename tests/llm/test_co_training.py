@@ -35,6 +35,20 @@ def test_views_teach_each_other():
     assert np.mean((odds > 0) == y) > 0.95
 
 
+def test_a_rare_class_is_learned_whole(spark, monkeypatch):
+    monkeypatch.setattr(quality, "LABELLED", 200)
+    rng = np.random.default_rng(1)
+    rows, labels = [], []
+    for i in range(4000):
+        words = [f"w{n}" for n in rng.integers(0, 300, 30)] + ["vile", "foul"] * (i % 100 == 0)
+        rows.append((i, " ".join(words), "en", "a", 100))
+        labels.append((i, 1, int(i % 100 == 0)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    known = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    kept = {r.doc_id: r.keep for r in quality.digest(docs, known).collect()}
+    assert {i for i, keep in kept.items() if not keep} == set(range(0, 4000, 100))
+
+
 def test_odd_rows(spark):
     rows = [(1, None, None, None, None), (1, "a b", None, "x", 3), (None, "", None, None, 0)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")

@@ -1,7 +1,8 @@
 """Benchmark leaks: rare n-gram seeds find passages, Smith-Waterman alignment scores them.
 
 Words are runs of letters and digits in lower case. Every item of the benchmark names its
-n-grams that few items share (and always its ``LEAST`` rarest) as seeds. Where at least two
+n-grams that few items share (and always its ``LEAST`` rarest) as seeds; an item of which fewer
+than half are so rare, as in groups of near-equal items, names all. Where at least two
 seeds of an item, or all it has, lie in a document at about the distance they have in the
 item, the words around are aligned with the item; copies with words changed, dropped or
 inserted keep most of the score. ``similarity`` is the best local score over that of the
@@ -65,7 +66,9 @@ def seeds(benchmark: DataFrame) -> DataFrame:
     by_gram = every.groupBy("gram").agg(F.count_distinct("item", "at").alias("items"))
     by_rarity = Window.partitionBy("item", "at").orderBy("items", "gram", "place")
     ranked = every.join(by_gram, "gram").withColumn("rank", F.row_number().over(by_rarity))
-    return ranked.where((F.col("items") <= RARE) | (F.col("rank") <= LEAST)).select("item", "at", "gram", "place")
+    rare, own = F.col("items") <= RARE, Window.partitionBy("item", "at")
+    ranked = ranked.withColumn("few", 2 * F.count(F.when(rare, 1)).over(own) < F.count("*").over(own))
+    return ranked.where(rare | (F.col("rank") <= LEAST) | F.col("few")).select("item", "at", "gram", "place")
 
 
 def blocks(benchmark: DataFrame, item_id: str, text: str) -> Iterator[Items]:

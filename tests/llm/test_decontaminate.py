@@ -54,6 +54,24 @@ def test_edited_copies(spark, monkeypatch, block):
     assert {r.doc_id for r in decontaminate.without_leaks(rows, benchmark).collect()} == set(range(100, 130))
 
 
+def test_edited_copies_of_near_equal_items(spark):
+    rng = random.Random(5)
+    base = [f"w{i}" for i in range(59)]
+    items = [[*base[:i], f"own{i}", *base[i + 1 :]] for i in range(0, 56, 7)]
+    docs = []
+    for doc in range(40):
+        own = [w if rng.random() > 0.3 else f"changed{rng.randrange(900)}" for w in base]
+        docs.append((doc, " ".join([f"x{i}" for i in range(50)] + own + [f"y{i}" for i in range(50)])))
+    benchmark = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(items)], "item_id long, text string")
+    found = decontaminate.leaks(spark.createDataFrame(docs, "doc_id long, text string"), benchmark).collect()
+    least = decontaminate.SIMILARITY * decontaminate.MATCH
+    expected = {
+        (doc, i) for doc, text in docs for i, t in enumerate(items)
+        if brute.local_score(t, text.split()) >= least * len(t)
+    }
+    assert len(expected) > 200 and {(r.doc_id, r.item_id) for r in found} == expected
+
+
 def test_odd_rows(spark):
     items = [(1, "Alpha beta gamma delta epsilon zeta eta theta"), (2, "short one"), (3, ""), (4, None), (5, "uno")]
     benchmark = spark.createDataFrame([*items, (None, "x y z q")], "item_id long, text string")

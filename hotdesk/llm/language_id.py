@@ -10,7 +10,8 @@ The counts are frozen after training, so a byte's cost depends on it and the ``O
 before it alone: costs are tables, and scoring sums table entries over every byte of a text.
 
 Training takes at most ``SAMPLE`` texts of a language, chosen by a hash of the id among the
-labelled texts that are not held out, of the ``LANGUAGES`` most frequent labels.
+labelled texts that are not held out. Every label is learned, in blocks of about ``LANGUAGES``:
+each text is scored against all blocks, and the shortest code of all blocks predicts.
 
 Defined results: ``und`` with score 0 for NULL, for texts without a letter and when nothing
 was learned; a NULL id is neither held out nor learned from; repeated rows are rows of their
@@ -25,6 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from hotdesk.llm.tables import stored
 from hotdesk.llm.words import portions
 
 ORDER = 3
@@ -72,14 +74,13 @@ def counts(docs: DataFrame) -> DataFrame:
 
 
 def sample(docs: DataFrame, chosen: Column) -> DataFrame:
-    """Rows (lang, text) to learn from; their number is bounded by ``SAMPLE * LANGUAGES``."""
+    """Rows (lang, text) to learn from; at most ``SAMPLE`` of each language."""
     rows = docs.where(chosen & F.col("lang").isNotNull() & F.col("text").isNotNull()).where("text <> ''")
     keys = rows.select("lang", "doc_id", F.xxhash64("doc_id").alias("h"))
-    common = keys.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).select("lang")
     by_hash = Window.partitionBy("lang").orderBy("h", "doc_id")
     taken = keys.withColumn("place", F.row_number().over(by_hash)).where(F.col("place") <= SAMPLE)
-    taken = taken.join(F.broadcast(common), "lang", "left_semi").select("lang", "doc_id").distinct()
-    # At most SAMPLE * LANGUAGES small rows, whatever the table's size.
+    taken = taken.select("lang", "doc_id").distinct()
+    # At most SAMPLE small rows of a language, whatever the table's size.
     texts = rows.select("lang", "doc_id", "text").join(F.broadcast(taken), ["lang", "doc_id"], "left_semi")
     return texts.groupBy("lang", "doc_id").agg(F.min("text").alias("text"))
 
@@ -87,14 +88,14 @@ def sample(docs: DataFrame, chosen: Column) -> DataFrame:
 class Model:
     """Code lengths of bytes after their contexts, a column per language."""
 
-    def __init__(self, learned: list[tuple[str, int, int, int]]):
-        """``learned``: rows (lang, size, gram, n)."""
+    def __init__(self, learned: list[tuple[str, int, int, int]], seen: list[int] | None = None):
+        """``learned``: rows (lang, size, gram, n). ``seen``: the bytes that any language saw, if more than these."""
         self.languages = sorted({row[0] for row in learned})
         width = len(self.languages)
         column = {name: i for i, name in enumerate(self.languages)}
         lang = np.array([column[row[0]] for row in learned], np.int64)
         size, gram, n = (np.array([row[i] for row in learned], np.int64) for i in (1, 2, 3))
-        letters = np.unique(gram[size == 1])
+        letters = np.unique(gram[size == 1] if seen is None else np.array(seen, np.int64))
         # Bytes that no language saw share the last symbol.
         self.symbols = len(letters) + 1
         self.symbol = np.full(256, len(letters), np.int64)
@@ -209,24 +210,32 @@ class Model:
         return out
 
 
-def predict(docs: DataFrame, model: Model | None) -> DataFrame:
-    """Rows (doc_id, held_out, text, lettered) to the prediction of each."""
-    schema = "doc_id long, held_out boolean, lang_pred string, score double"
+def predict(docs: DataFrame, model: Model, last: bool) -> DataFrame:
+    """Rows with the best language so far, its code length and the sum of all likelihoods over its own, to the
+    same after a block of languages; after the last one without the text."""
+    names = [n for n in docs.columns if not (last and n in ("text", "lettered"))]
+    schema = docs.select(*names).schema
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             lettered = batch.column("lettered").to_numpy(zero_copy_only=False)
-            names = np.full(batch.num_rows, UNKNOWN, object)
-            score = np.zeros(batch.num_rows)
-            if model and lettered.any():
+            best = np.array(batch.column("lang_pred").to_pylist(), object)
+            least, mass = (batch.column(n).to_numpy(zero_copy_only=False).copy() for n in ("least", "mass"))
+            if lettered.any():
                 texts = batch.column("text").filter(lettered)
                 parts = [model.lengths([t.as_py().encode() for t in texts[rows]]) for rows in portions(texts)]
                 bits = np.concatenate(parts)
-                names[lettered] = np.array(model.languages, object)[bits.argmin(axis=1)]
-                beyond = np.minimum(bits - bits.min(axis=1, keepdims=True), 1000)
-                score[lettered] = 1 / np.exp2(-beyond).sum(axis=1)
-            columns = [batch.column("doc_id"), batch.column("held_out"), pa.array(names, pa.string()), pa.array(score)]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "held_out", "lang_pred", "score"])
+                own, old = bits.min(axis=1), least[lettered]
+                found = np.array(model.languages, object)[bits.argmin(axis=1)]
+                first = (own < old) | ((own == old) & (found < best[lettered]))
+                low = np.minimum(own, old)
+                beyond = np.minimum(bits - low[:, None], 1000)
+                before = np.minimum(old - low, 1000)
+                mass[lettered] = mass[lettered] * np.exp2(-before) + np.exp2(-beyond).sum(axis=1)
+                best[lettered] = np.where(first, found, best[lettered])
+                least[lettered] = low
+            made = {"lang_pred": pa.array(best, pa.string()), "least": pa.array(least), "mass": pa.array(mass)}
+            yield pa.RecordBatch.from_arrays([made[n] if n in made else batch.column(n) for n in names], names)
 
     return docs.mapInArrow(work, schema)
 
@@ -235,7 +244,19 @@ def identify(docs: DataFrame, folds: int = 5) -> DataFrame:
     """One row per document: doc_id, held_out, lang_pred, score (the prediction's share of the likelihood)."""
     held_out = F.coalesce(remainder(F.col("doc_id"), folds) == 0, F.lit(False))
     learn = remainder(F.col("doc_id"), folds) != 0
-    learned = [tuple(row) for row in counts(sample(docs, learn)).collect()]
+    known = stored(counts(sample(docs, learn)), "counts")
+    seen = [r["gram"] for r in known.where("size = 1").select("gram").distinct().collect()]
+    blocks = -(-known.select("lang").distinct().count() // LANGUAGES)
     lettered = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)).alias("lettered")
-    rows = docs.select("doc_id", held_out.alias("held_out"), F.coalesce("text", F.lit("")).alias("text"), lettered)
-    return predict(rows, Model(learned) if learned else None)
+    rows = docs.select(
+        F.col("doc_id").cast("long"), held_out.alias("held_out"), F.coalesce("text", F.lit("")).alias("text"), lettered,
+        F.lit(UNKNOWN).alias("lang_pred"), F.lit(float("inf")).alias("least"), F.lit(0.0).alias("mass"),
+    )
+    for block in range(blocks):
+        own = F.pmod(F.xxhash64("lang"), F.lit(blocks)) == block
+        learned = [tuple(row) for row in known.where(own).collect()]
+        if learned:
+            rows = stored(rows, "languages") if block else rows
+            rows = predict(rows, Model(learned, seen), block == blocks - 1)
+    score = F.when(F.col("mass") > 0, 1 / F.col("mass")).otherwise(0.0).alias("score")
+    return rows.select("doc_id", "held_out", "lang_pred", score)

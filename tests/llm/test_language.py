@@ -34,6 +34,18 @@ def test_held_out_accuracy(spark):
     assert sum(r.lang_pred == lang[r.doc_id] for r in unseen) >= 0.98 * len(unseen)
 
 
+def test_blocks_of_languages_learn_every_label(spark, monkeypatch):
+    rows = []
+    for k in range(6):
+        own = "abcdefghijklmnopqrstuvwx"[4 * k : 4 * k + 4]
+        rows += [(100 * k + i, " ".join([own, own[::-1]] * (i % 5 + 1)), f"l{k}") for i in range(10 + k)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    whole = {r.doc_id: (r.lang_pred, round(r.score, 9)) for r in language_id.identify(docs).collect()}
+    monkeypatch.setattr(language_id, "LANGUAGES", 2)
+    found = {r.doc_id: (r.lang_pred, round(r.score, 9)) for r in language_id.identify(docs).collect()}
+    assert found == whole and {d: lang for d, (lang, _) in found.items()} == {d: lang for d, _, lang in rows}
+
+
 def test_odd_rows(spark, sf_dir):
     schema = "doc_id long, text string, lang string"
     given = read(spark, sf_dir, "documents").select("doc_id", "text", "lang")

@@ -111,8 +111,101 @@ ranked AS (
 SELECT query_id, CAST(place AS INTEGER) AS rank, vec_id, score FROM ranked WHERE place <= 5
 """
 
+#: The 16 values of the checksum's half-byte table (fixed values, CRC-32 of IEEE 802.3).
+_CRC_TABLE = """[0, 498536548, 997073096, 651767980, 1994146192, 1802195444, 1303535960, 1342533948,
+  3988292384, 4027552580, 3604390888, 3412177804, 2607071920, 2262029012, 2685067896, 3183342108]"""
+
+
+def crc32(text: str) -> str:
+    """DuckDB's expression for the unsigned CRC-32 of a text's UTF-8 bytes."""
+    digits = f"hex(encode({text}))"
+    half = f"strpos('0123456789ABCDEF', substr({digits}, i, 1)) - 1"
+    # Of every byte the lower half comes first.
+    halves = f"list_transform(range(1, length({digits}) + 1), lambda i: CAST({half.replace('i, 1', 'i + 2 * (i % 2) - 1, 1')} AS BIGINT))"
+    step = f"xor(c >> 4, ({_CRC_TABLE})[CAST(xor(c & 15, b) AS INTEGER) + 1])"
+    return f"xor(list_reduce(list_prepend(4294967295, {halves}), lambda c, b: {step}), 4294967295)"
+
+
+def _edited(state: str, cost: str, edit: str) -> str:
+    """A weight as text (cost in eight digits, then audit) with one more edit."""
+    return f"printf('%08d', CAST(substr({state}, 1, 8) AS INTEGER) + {cost}) || substr({state}, 9) || '{edit}'"
+
+
+REPAIRS = (
+    r"""
+WITH RECURSIVE hit AS (
+  SELECT *, """
+    + crc32("coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ')")
+    + r""" % 20 AS fate FROM conversations),
+hurt AS (
+  SELECT conv_id, turn, CASE WHEN fate = 4 THEN 'user' ELSE coalesce(role, ' ') END AS role,
+    CASE WHEN fate = 1 THEN '' WHEN fate = 2 THEN regexp_replace(coalesce(text, ' '), '[.!?]', '', 'g')
+         ELSE coalesce(text, ' ') END AS text,
+    unnest(range(CASE fate WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy
+  FROM hit),
+placed AS (
+  SELECT *, row_number() OVER w AS i,
+    row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) > 1 AS seen,
+    lag(left(role, 1)) OVER w || left(role, 1) NOT IN ('su', 'ua', 'au') AS odd
+  FROM hurt WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, md5(text), copy)),
+judged AS (
+  SELECT *, left(role, 1) AS r, CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'blank' WHEN seen THEN 'duplicate'
+    WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*\z') THEN 'truncated' ELSE '' END AS fault FROM placed),
+steps AS (SELECT *, fault IN ('blank', 'duplicate') AS bad, CASE fault WHEN 'truncated' THEN 3 ELSE 0 END AS extra FROM judged),
+agenda AS (
+  SELECT conv_id, CAST(0 AS BIGINT) AS i, '00000000' AS s0, CAST(NULL AS VARCHAR) AS s1, '00000003I' AS s2,
+    '00000006II' AS s3
+  FROM (SELECT DISTINCT conv_id FROM conversations)
+  UNION ALL
+  SELECT conv_id, i, t0, t1, t2, least(t3, """
+    + _edited("t2", "3", "I")
+    + """)
+  FROM (
+    SELECT conv_id, i, t0, t1, t3, least(u2, """
+    + ", ".join(_edited(state, "3", "I") for state in ("t0", "t1", "t3"))
+    + """) AS t2
+    FROM (
+      SELECT a.conv_id, n.i, {D0} AS t0,
+        least({D1}, CASE WHEN NOT bad AND r = 's' THEN {K0} END) AS t1,
+        least({D2}, CASE WHEN NOT bad THEN least({R0}, {R1}, {R3}) END,
+              CASE WHEN NOT bad AND r = 'u' THEN least({K0}, {K1}, {K3}) END) AS u2,
+        least({D3}, CASE WHEN NOT bad THEN {R2} END, CASE WHEN NOT bad AND r = 'a' THEN {K2} END) AS t3
+      FROM agenda a JOIN steps n ON a.conv_id IS NOT DISTINCT FROM n.conv_id AND n.i = a.i + 1))),
+totals AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+    count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+    count(*) FILTER (fault = 'truncated') AS truncated, count(*) FILTER (odd) AS illegal, max(i) AS n
+  FROM steps GROUP BY conv_id),
+solved AS (
+  SELECT a.conv_id, t.* EXCLUDE (conv_id), least(s0, s3) AS best
+  FROM agenda a LEFT JOIN totals t ON a.conv_id IS NOT DISTINCT FROM t.conv_id
+  WHERE a.i = coalesce(t.n, 0)),
+edits AS (
+  SELECT conv_id, substr(best, 9) AS audit, unnest(range(1, length(best) - 7)) AS k FROM solved),
+letters AS (
+  SELECT conv_id, k, audit[k] AS edit,
+    length(replace(audit[:k], 'I', '')) AS i, length(replace(audit[:k - 1], 'D', '')) AS place,
+    length(replace(audit, 'D', '')) AS n FROM edits),
+turns AS (
+  SELECT l.conv_id, k,
+    CASE WHEN edit = 'K' THEN s.role
+         WHEN (n - place) % 2 = 0 THEN 'user' ELSE 'assistant' END AS role,
+    CASE WHEN edit = 'I' THEN '' ELSE s.text END AS text
+  FROM letters l LEFT JOIN steps s ON l.conv_id IS NOT DISTINCT FROM s.conv_id AND l.i = s.i WHERE edit <> 'D'),
+texts AS (SELECT conv_id, string_agg(role || ':' || text, chr(10) ORDER BY k) AS body FROM turns GROUP BY conv_id)
+SELECT s.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+  coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, CAST(left(best, 8) AS BIGINT) AS cost,
+  substr(best, 9) AS audit, sha256(coalesce(body, '')) AS repaired_sha256
+FROM solved s LEFT JOIN texts t ON s.conv_id IS NOT DISTINCT FROM t.conv_id
+"""
+)
+for _edit, _cost in (("D", "4"), ("R", "3 + extra"), ("K", "extra")):
+    for _state in "0123":
+        REPAIRS = REPAIRS.replace(f"{{{_edit}{_state}}}", _edited(f"s{_state}", _cost, _edit))
+
 ORACLE = {
     "op2_ngram_jaccard_join": N_GRAM_JOIN,
     "op3_secret_ownership": SECRETS,
     "op10_exact_top_k": TOP_K,
+    "op11_conversation_repair": REPAIRS,
 }

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from hotdesk.llm import (
+    conversation_repair,
     decontaminate,
     exact_search,
     language_id,
@@ -49,4 +50,5 @@ QUERIES: dict[str, Query] = {
     "op8_aligned_decontamination": _leaks,
     "op9_packed_matrices": over("documents", token_output.matrices),
     "op10_exact_top_k": over("embeddings", exact_search.nearest),
+    "op11_conversation_repair": over("conversations", conversation_repair.digest),
 }

@@ -34,11 +34,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
+from hotdesk.llm.batches import in_batches, records
 from hotdesk.llm.tables import stored
 
 BLOCK = 256
-#: Rows and characters of a batch that a task hands on.
-ROWS, CHARACTERS = 4096, 1 << 22
 
 # ---- fixed values: costs of the edits, roles ---------------------------------
 CHANGE, DELETE, INSERT, TRUNCATED = 3, 4, 3, 3
@@ -133,29 +132,6 @@ class Repair:
         return gaps, blank, duplicate, truncated, self.illegal, self.weights[START][0], "".join(self.shared)
 
 
-def in_batches(schema: pa.Schema, rows: Iterator[tuple[int, tuple]]) -> Iterator[pa.RecordBatch]:
-    """Rows, given with their sizes, as batches of bounded size."""
-
-    def batch(of: list[tuple]) -> pa.RecordBatch:
-        columns = [pa.array(c, f.type) for c, f in zip(zip(*of, strict=True), schema, strict=True)]
-        return pa.RecordBatch.from_arrays(columns, schema=schema)
-
-    held, size = [], 0
-    for own, row in rows:
-        held.append(row)
-        size += own
-        if len(held) >= ROWS or size >= CHARACTERS:
-            yield batch(held)
-            held, size = [], 0
-    if held:
-        yield batch(held)
-
-
-def _records(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
-    for batch in batches:
-        yield from zip(*(column.to_pylist() for column in batch.columns), strict=True)
-
-
 def _white_ended(mark: str) -> str:
     return mark + r"[\x20\x09-\x0D]*+\z"
 
@@ -239,7 +215,7 @@ def plan(
 
     def solved(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, tuple]]:
         key, current = None, None
-        for conv, at, initial, fault, copies in _records(batches):
+        for conv, at, initial, fault, copies in records(batches):
             if current is None or conv != key:
                 if current is not None:
                     result = current.result()
@@ -299,7 +275,7 @@ def repaired(
 
     def edited(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, tuple]]:
         key, audit, at, place, state = None, "", 0, 0, START
-        for conv, is_head, own, body, copies in _with_end(_records(batches)):
+        for conv, is_head, own, body, copies in _with_end(records(batches)):
             if is_head:
                 while at < len(audit):
                     new, state = NEXT[state]
@@ -336,9 +312,9 @@ def repaired(
     return ordered.mapInArrow(edit, f"conv_id {kind}, place long, edit string, role string, text string")
 
 
-def _with_end(records: Iterator[tuple]) -> Iterator[tuple]:
+def _with_end(rows: Iterator[tuple]) -> Iterator[tuple]:
     """The records and an empty head behind them, so that the last conversation is closed."""
-    yield from records
+    yield from rows
     yield None, True, "", "", 0
 
 
@@ -348,7 +324,7 @@ def hashed(turns: DataFrame) -> DataFrame:
 
     def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, tuple]]:
         key, state = None, None
-        for conv, role, text in _records(batches):
+        for conv, role, text in records(batches):
             if state is None or conv != key:
                 if state is not None:
                     yield 0, (key, state.hexdigest())

@@ -203,9 +203,41 @@ for _edit, _cost in (("D", "4"), ("R", "3 + extra"), ("K", "extra")):
     for _state in "0123":
         REPAIRS = REPAIRS.replace(f"{{{_edit}{_state}}}", _edited(f"s{_state}", _cost, _edit))
 
+def _written(text: str) -> str:
+    return f"replace(replace(replace({text}, '\\', '\\\\'), '##', '#\\#'), '</turn>', '<\\/turn>')"
+
+
+CHATS = (
+    r"""
+WITH rows AS (
+  SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+  UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'),
+parts AS (
+  SELECT *, coalesce(role, '') AS said,
+    CASE WHEN turn IS NULL THEN '1' ELSE '0' || turn END AS p, CASE WHEN role IS NULL THEN '1' ELSE '0' || role END AS q
+  FROM rows),
+placed AS (
+  SELECT *, row_number() OVER (
+    PARTITION BY conv_id ORDER BY turn NULLS FIRST, role NULLS FIRST,
+    md5(length(p) || ',' || length(q) || ',' || p || q || text)) AS place FROM parts)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(said || chr(10) || text || chr(10), '' ORDER BY place)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (said = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY place) FILTER (said = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(14 + length(replace("""
+    + _written("said")
+    + ", ':', '\\:')) + length("
+    + _written("text")
+    + """)) AS BIGINT) AS formatted_chars
+FROM placed GROUP BY conv_id
+"""
+)
+
 ORACLE = {
     "op2_ngram_jaccard_join": N_GRAM_JOIN,
     "op3_secret_ownership": SECRETS,
     "op10_exact_top_k": TOP_K,
     "op11_conversation_repair": REPAIRS,
+    "op12_reply_trees": CHATS,
 }

@@ -15,6 +15,7 @@ from hotdesk.llm import (
     packing,
     pii,
     quality,
+    reply_trees,
     secret_scan,
     sharding,
     token_output,
@@ -51,4 +52,5 @@ QUERIES: dict[str, Query] = {
     "op9_packed_matrices": over("documents", token_output.matrices),
     "op10_exact_top_k": over("embeddings", exact_search.nearest),
     "op11_conversation_repair": over("conversations", conversation_repair.digest),
+    "op12_reply_trees": over("conversations", reply_trees.digest),
 }

@@ -234,10 +234,49 @@ FROM placed GROUP BY conv_id
 """
 )
 
+SPELLINGS = (
+    r"""
+WITH RECURSIVE found AS (
+  SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS id, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-zÀ-ÿ]+')) AS run
+  FROM documents),
+counted AS (SELECT id, run, count(*) AS n FROM found GROUP BY id, run),
+hashed AS (SELECT run, n, """
+    + crc32("id || ':' || run")
+    + r""" AS h FROM counted),
+words AS (
+  SELECT CASE WHEN h % 97 = 0 THEN run[:h % length(run)] || run[h % length(run) + 2:] ELSE run END AS word,
+    CAST(sum(n) AS BIGINT) AS n
+  FROM hashed GROUP BY 1 HAVING sum(n) >= 3 AND length(word) >= 5),
+own AS (SELECT word, word[:i] || '?' || word[i + 2:] AS l
+  FROM (SELECT word, unnest(range(0, length(word))) AS i FROM words)),
+asked AS (SELECT word, word[:i] || '?' || word[i + 1:] AS l
+  FROM (SELECT word, unnest(range(0, length(word) + 1)) AS i FROM words)),
+longer AS (SELECT DISTINCT asked.word AS a, own.word AS b FROM asked JOIN own USING (l)),
+near AS (
+  SELECT DISTINCT x.word AS a, y.word AS b FROM own x JOIN own y USING (l) WHERE x.word <> y.word
+  UNION ALL SELECT a, b FROM longer UNION ALL SELECT b, a FROM longer),
+best AS (
+  SELECT a AS word, count(*) AS n_near, min({'least': -w.n, 'word': b}) AS best
+  FROM near JOIN words w ON w.word = b GROUP BY a),
+forms AS (
+  SELECT w.word, CASE WHEN -best.least >= 2 * w.n THEN best.word END AS form, w.n, coalesce(n_near, 0) AS n_near,
+    CASE WHEN -best.least >= 2 * w.n THEN -best.least END AS form_n
+  FROM words w LEFT JOIN best b ON b.word = w.word),
+follow AS (
+  SELECT word, word AS root FROM forms
+  UNION ALL SELECT f.word, g.form FROM follow f JOIN forms g ON g.word = f.root WHERE g.form IS NOT NULL)
+SELECT f.word, f.form, r.root, f.n, f.n_near, f.form_n
+FROM forms f JOIN (SELECT word, arg_max(root, m) AS root FROM (
+  SELECT follow.*, forms.n AS m FROM follow JOIN forms ON forms.word = follow.root) GROUP BY word) r USING (word)
+"""
+)
+
 ORACLE = {
     "op2_ngram_jaccard_join": N_GRAM_JOIN,
     "op3_secret_ownership": SECRETS,
     "op10_exact_top_k": TOP_K,
     "op11_conversation_repair": REPAIRS,
     "op12_reply_trees": CHATS,
+    "op13_spelling_variants": SPELLINGS,
 }

@@ -18,6 +18,7 @@ from hotdesk.llm import (
     reply_trees,
     secret_scan,
     sharding,
+    spelling,
     token_output,
 )
 from hotdesk.llm.oracle import ORACLE
@@ -53,4 +54,5 @@ QUERIES: dict[str, Query] = {
     "op10_exact_top_k": over("embeddings", exact_search.nearest),
     "op11_conversation_repair": over("conversations", conversation_repair.digest),
     "op12_reply_trees": over("conversations", reply_trees.digest),
+    "op13_spelling_variants": over("documents", spelling.digest),
 }

@@ -25,6 +25,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -57,22 +58,25 @@ def _jumps(links: DataFrame) -> tuple[list[DataFrame], DataFrame]:
         "jumps",
     )
     count, tables = rows.count(), []
+    done, open_ = [rows.where("up IS NULL")], rows.where("up IS NOT NULL")
     # Who still has an ancestor beyond as many steps as there are nodes hangs on a circle.
-    while len(tables) <= count.bit_length() and not rows.where("up IS NOT NULL").isEmpty():
-        tables.append(rows.where("up IS NOT NULL").select("tree", "node", "up"))
-        low, high = rows.alias("l"), rows.alias("h")
+    while len(tables) <= count.bit_length() and not open_.isEmpty():
+        tables.append(open_.select("tree", "node", "up"))
+        # Only nodes that have not reached their root go on, so deep trees alone take many rounds.
+        low, high = open_.alias("l"), reduce(DataFrame.unionByName, done, open_).alias("h")
         same = F.col("l.tree").eqNullSafe(F.col("h.tree")) & (F.col("l.up") == F.col("h.node"))
         rows = stored(
-            low.join(high, same, "left").select(
+            low.join(high, same).select(
                 "l.tree",
                 "l.node",
                 "h.up",
-                (F.col("l.depth") + F.coalesce("h.depth", F.lit(0))).alias("depth"),
-                (F.col("l.sum") + F.coalesce("h.sum", F.lit(0.0))).alias("sum"),
+                (F.col("l.depth") + F.col("h.depth")).alias("depth"),
+                (F.col("l.sum") + F.col("h.sum")).alias("sum"),
             ),
             "jumps",
         )
-    return tables, rows.where("up IS NULL").select("tree", "node", "depth", F.col("sum").alias("score"))
+        done, open_ = [*done, rows.where("up IS NULL")], rows.where("up IS NOT NULL")
+    return tables, reduce(DataFrame.unionByName, done).select("tree", "node", "depth", F.col("sum").alias("score"))
 
 
 def paths(links: DataFrame, branches: int | None = BRANCHES) -> DataFrame:
@@ -101,13 +105,15 @@ def paths(links: DataFrame, branches: int | None = BRANCHES) -> DataFrame:
     found = leaves.select(
         "tree", F.col("node").alias("leaf"), "rank", (F.col("depth") - 1).alias("place"), "node"
     )
+    if tables:
+        found = stored(found, "paths")
     for k, table in enumerate(tables):
         low, up = found.alias("l"), table.alias("u")
         same = F.col("l.tree").eqNullSafe(F.col("u.tree")) & (F.col("l.node") == F.col("u.node"))
         above = low.join(up, same).select(
             "l.tree", "l.leaf", "l.rank", (F.col("l.place") - (1 << k)).alias("place"), F.col("u.up").alias("node")
         )
-        found = stored(found.unionByName(above), "paths")
+        found = found.unionByName(stored(above, "paths"))
     return found
 
 

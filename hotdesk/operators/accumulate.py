@@ -1,4 +1,4 @@
-"""Running totals over the earlier rows of a key."""
+"""Running values over the earlier rows of a key."""
 
 from __future__ import annotations
 
@@ -6,36 +6,82 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from hotdesk.operators.slots import SLOT, slotted
+
 
 def prior_totals(
-    rows: DataFrame, key: str, at: str, order_by: list[str], measures: dict[str, Column]
+    rows: DataFrame,
+    key: str,
+    at: str,
+    order_by: list[str],
+    measures: dict[str, Column],
+    least: dict[str, Column] | None = None,
 ) -> DataFrame:
     """Adds, per row, the sum of each measure over all earlier rows of its key.
 
-    NULL is a key like any other.  The current row is left out (no look-ahead).  Sums are
-    taken in two levels: within (key, day, hour), and over one row per (key, day, hour), so
-    the rows of one busy key, or of its busiest day, are never sorted in a single task.  The
-    total of an hour is read off its last row: the input is computed and shuffled once.
+    ``least`` names expressions whose minimum over the earlier rows is added; NULLs take no
+    part.  NULL is a key like any other.  The current row is left out (no look-ahead).  Values
+    are taken in two levels: within slots of the key (hours, or ranges where an hour is too
+    busy), and over one row per (key, slot), so the rows of one busy key, or of its busiest
+    moment, are never sorted in a single task.  The total of a slot is read off its last row:
+    the input is computed and shuffled once.
     """
-    zero, hour = F.lit(0), [key, "_day", "_hour"]
-    slotted = rows.withColumns({"_day": F.to_date(at), "_hour": F.hour(at)})
-    in_order = Window.partitionBy(*hour).orderBy(*order_by)
+    zero, least = F.lit(0), least or {}
+    rows_in_slots = slotted(rows, key, order_by, F.date_trunc("hour", F.col(at)))
+    in_order = Window.partitionBy(key, SLOT).orderBy(*order_by)
     before = in_order.rowsBetween(Window.unboundedPreceding, -1)
-    within = slotted.select(
+    within = rows_in_slots.select(
         "*",
         *[F.coalesce(F.sum(m).over(before), zero).alias(f"_within_{n}") for n, m in measures.items()],
+        *[F.min(m).over(before).alias(f"_within_{n}") for n, m in least.items()],
         F.lead(F.lit(True)).over(in_order).isNull().alias("_is_last"),
     )
-    earlier = Window.partitionBy(key).orderBy("_day", "_hour").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = Window.partitionBy(key).orderBy(SLOT).rowsBetween(Window.unboundedPreceding, -1)
     carried = (
         within.where("_is_last")
-        .select(*hour, *[(F.col(f"_within_{n}") + F.coalesce(m, zero)).alias(f"_{n}") for n, m in measures.items()])
         .select(
-            *[F.col(c).alias(f"_at_{c}") for c in hour],
+            key,
+            SLOT,
+            *[(F.col(f"_within_{n}") + F.coalesce(m, zero)).alias(f"_{n}") for n, m in measures.items()],
+            *[F.least(F.col(f"_within_{n}"), m).alias(f"_{n}") for n, m in least.items()],
+        )
+        .select(
+            F.col(key).alias("_at_key"),
+            F.col(SLOT).alias("_at_slot"),
             *[F.coalesce(F.sum(f"_{n}").over(earlier), zero).alias(f"_carried_{n}") for n in measures],
+            *[F.min(f"_{n}").over(earlier).alias(f"_carried_{n}") for n in least],
         )
     )
-    same_hour = reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"_at_{c}")) for c in hour])
-    return within.join(carried, same_hour, "left").select(
-        *rows.columns, *[(F.col(f"_within_{n}") + F.col(f"_carried_{n}")).alias(n) for n in measures]
+    same_slot = reduce(
+        Column.__and__, [F.col(c).eqNullSafe(F.col(o)) for c, o in ((key, "_at_key"), (SLOT, "_at_slot"))]
+    )
+    return within.join(carried, same_slot, "left").select(
+        *rows.columns,
+        *[(F.col(f"_within_{n}") + F.col(f"_carried_{n}")).alias(n) for n in measures],
+        *[F.least(f"_within_{n}", f"_carried_{n}").alias(n) for n in least],
     )
+
+
+def with_prior_count(
+    rows: DataFrame, key: str, at: str, order_by: list[str], value: str, name: str
+) -> DataFrame:
+    """Adds how many earlier rows of the key have the row's own value (NULL is a value too)."""
+    both = F.struct(F.col(key), F.col(value))
+    counted = prior_totals(rows.withColumn("_both", both), "_both", at, order_by, {name: F.lit(1)})
+    return counted.drop("_both")
+
+
+def leader(count: Column, value: Column) -> Column:
+    """For the minimum over earlier rows: the value with the largest count, the lower one on a tie.
+
+    A value's count is largest at its last row, so over earlier rows the least of these is the
+    value that has led until then, however many values there are.
+    """
+    return F.when(value.isNotNull(), F.struct((-(count + 1)).alias("_n"), value.alias("_value")))
+
+
+def first_maximum(counters: list[Column]) -> Column:
+    """Place, from 0, of the first largest counter; NULL while all are 0."""
+    most = F.greatest(*counters)
+    place = F.array_position(F.array(*counters), most).cast("int") - 1
+    return F.when(most > 0, place)

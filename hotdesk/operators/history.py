@@ -1,8 +1,9 @@
 """Versioned (type-2) history and point-in-time joins.
 
-No step here sorts all rows of one key in a single task: rows are windowed per
-(key, day) and what crosses a day boundary is computed on one pre-aggregated row
-per (key, day), so a key that holds a large share of the data is spread out.
+No step here sorts all rows of one key in a single task: rows are windowed per (key, slot)
+and what crosses a slot's boundary is computed on one pre-aggregated row per (key, slot), so
+a key that holds a large share of the data is spread out.  A slot is a day, or a range of
+rows where a key's day is too busy for a task.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from hotdesk.operators.incremental import timestamp_literal
+from hotdesk.operators.slots import SLOT, slotted
 
 # Fixed value: end of a version that is still open.
 OPEN_END = datetime(9999, 12, 31)
@@ -22,17 +24,17 @@ def with_next(rows: DataFrame, key: str, at: str, name: str) -> DataFrame:
 
     Rows without a key or a timestamp have no place in a history: they get NULL.
     """
-    by_day = rows.withColumn("_day", F.to_date(at))
-    first_of_day = by_day.groupBy(key, "_day").agg(F.min(at).alias("_first"))
-    following = first_of_day.select(
-        key, "_day", F.lead("_first").over(Window.partitionBy(key).orderBy("_day")).alias("_following")
+    in_slots = slotted(rows, key, [at], F.to_date(at))
+    first_of_slot = in_slots.groupBy(key, SLOT).agg(F.min(at).alias("_first"))
+    following = first_of_slot.select(
+        key, SLOT, F.lead("_first").over(Window.partitionBy(key).orderBy(SLOT)).alias("_following")
     )
     placed = F.col(key).isNotNull() & F.col(at).isNotNull()
-    same_day = F.when(placed, F.lead(at).over(Window.partitionBy(key, "_day").orderBy(at)))
+    same_slot = F.when(placed, F.lead(at).over(Window.partitionBy(key, SLOT).orderBy(at)))
     return (
-        by_day.withColumn("_same_day", same_day)
-        .join(following, [key, "_day"], "left")
-        .withColumn(name, F.coalesce("_same_day", "_following"))
+        in_slots.withColumn("_same_slot", same_slot)
+        .join(following, [key, SLOT], "left")
+        .withColumn(name, F.when(placed, F.coalesce("_same_slot", "_following")))
         .select(*rows.columns, name)
     )
 
@@ -64,7 +66,7 @@ def point_in_time_join(
     ``columns`` maps version columns to their new names.  ``versions`` carries
     ``valid_from`` and ``valid_to`` and does not overlap within a key.  Facts and versions
     are merged by time at every size: (fact, version) pairs are never formed, so a key with
-    very many versions costs no more than they are, and no job runs while the plan is built.
+    very many versions costs no more than they are.
     """
     moment = F.col(at) if isinstance(at, str) else at
     slim = versions.where(F.col(key).isNotNull() & F.col("valid_from").isNotNull()).select(
@@ -103,28 +105,25 @@ def _last_started(facts: DataFrame, versions: DataFrame, key: str, columns: dict
             F.col("valid_to").alias("_to"), *[F.col(old).alias(new) for old, new in columns.items()]
         ).alias("_version"),
     )
-    timeline = (
-        facts.withColumn("_is_fact", F.lit(True))
-        .unionByName(started, allowMissingColumns=True)
-        .withColumn("_day", F.to_date("_at"))
-    )
-    # A version that starts at the very moment of a fact sorts before it.
+    timeline = facts.withColumn("_is_fact", F.lit(True)).unionByName(started, allowMissingColumns=True)
+    # A version that starts at the very moment of a fact sorts before it: NULL comes first.
+    timeline = slotted(timeline, key, ["_at", "_is_fact"], F.to_date("_at"))
     so_far = (
-        Window.partitionBy(key, "_day")
+        Window.partitionBy(key, SLOT)
         .orderBy("_at", F.col("_is_fact").asc_nulls_first())
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    last_of_day = timeline.groupBy(key, "_day").agg(
+    last_of_slot = timeline.groupBy(key, SLOT).agg(
         F.max_by("_version", F.when(F.col("_is_fact").isNull(), F.col("_at"))).alias("_last")
     )
-    earlier_days = Window.partitionBy(key).orderBy("_day").rowsBetween(Window.unboundedPreceding, -1)
-    carried = last_of_day.select(
-        key, "_day", F.last("_last", ignorenulls=True).over(earlier_days).alias("_carried")
+    earlier_slots = Window.partitionBy(key).orderBy(SLOT).rowsBetween(Window.unboundedPreceding, -1)
+    carried = last_of_slot.select(
+        key, SLOT, F.last("_last", ignorenulls=True).over(earlier_slots).alias("_carried")
     )
     return (
-        timeline.withColumn("_same_day", F.last("_version", ignorenulls=True).over(so_far))
+        timeline.withColumn("_same_slot", F.last("_version", ignorenulls=True).over(so_far))
         .where("_is_fact")
-        .join(carried, [key, "_day"], "left")
-        .withColumn("_found", F.coalesce("_same_day", "_carried"))
+        .join(carried, [key, SLOT], "left")
+        .withColumn("_found", F.coalesce("_same_slot", "_carried"))
         .withColumn("_found", F.when(F.col("_at") < F.col("_found._to"), F.col("_found")))
     )

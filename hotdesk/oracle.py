@@ -485,6 +485,13 @@ _PROFILE = """WITH placed AS (SELECT b.*, s.neighborhood, s.latitude, s.longitud
         LEFT JOIN ranked_areas a ON a.user_id = p.user_id AND a.r = 1
         GROUP BY p.user_id""".replace("{km}", _KM)
 
+
+_APPS = ("android", "ios", "web")
+
+
+def _prior_counts(value: str, among) -> str:
+    return ", ".join(f"count(*) FILTER ({value} = {v!r}) OVER w" for v in among)
+
 _FINAL: dict[str, str] = {
     "scan_sources": " UNION ALL ".join(
         f"SELECT '{name}' AS source_name, count(*) AS row_count FROM raw_{name}" for name in SOURCES
@@ -554,6 +561,7 @@ _FINAL: dict[str, str] = {
     "append_only": "SELECT * FROM stg_spaces",
     "schema_sync": f"""SELECT booking_id, credits, CASE WHEN updated_at >= {SPLIT} THEN app_type END AS app_type,
         updated_at AS source_updated_at FROM raw_bookings""",
+    "schema_sync_types": "SELECT booking_id, status_id, credits, updated_at AS source_updated_at FROM raw_bookings",
     "mat_full_rebuild": "SELECT * FROM mart",
     "partition_pruned_scan": """SELECT check_in_date, count(*) AS bookings, sum(credits_used) AS credits_used
         FROM recent GROUP BY ALL""",
@@ -603,7 +611,9 @@ _FINAL: dict[str, str] = {
         FROM fact_bookings f JOIN ranked a ON a.user_id = f.user_id AND a.r = 1 GROUP BY f.user_id""",
     "wide_booking_features": f"""WITH past AS (SELECT *, count(*) OVER w AS prior_bookings,
             coalesce(sum(CAST(is_no_show AS INTEGER)) OVER w, 0) AS no_shows,
-            coalesce(sum(duration_minutes) OVER w, 0) AS minutes, count(duration_minutes) OVER w AS timed
+            coalesce(sum(duration_minutes) OVER w, 0) AS minutes, count(duration_minutes) OVER w AS timed,
+            [{_prior_counts("hour(check_in_datetime)", range(24))}] AS hours,
+            [{_prior_counts("app_type", _APPS)}] AS apps
             FROM fact_bookings WHERE check_in_datetime IS NOT NULL
             WINDOW w AS (PARTITION BY user_id ORDER BY check_in_datetime, booking_id
                 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
@@ -611,7 +621,11 @@ _FINAL: dict[str, str] = {
         s.tier AS tier_na_epoca, s.total_seats AS seats_na_epoca, s.city, s.occupancy_rate_pct,
         round({_KM}, 3) AS distance_km, prior_bookings,
         round(CAST(no_shows AS DOUBLE) / nullif(CAST(prior_bookings AS DOUBLE), 0.0), 4) AS prior_no_show_rate,
-        round(CAST(minutes AS DOUBLE) / nullif(CAST(timed AS DOUBLE), 0.0), 2) AS prior_mean_duration
+        round(CAST(minutes AS DOUBLE) / nullif(CAST(timed AS DOUBLE), 0.0), 2) AS prior_mean_duration,
+        CASE WHEN prior_bookings > 0 THEN CAST(list_position(hours, list_max(hours)) - 1 AS INTEGER) END
+            AS prior_preferred_hour,
+        CASE WHEN list_max(apps) > 0 THEN ({list(_APPS)})[list_position(apps, list_max(apps))] END
+            AS prior_favourite_app
         FROM {_PIT.replace('fact_bookings', 'past')} WHERE NOT is_cancelled AND NOT is_no_show""",
     "user_profile_features": _PROFILE,
     "dim_date": """WITH days AS (SELECT CAST(unnest(generate_series(
@@ -653,4 +667,5 @@ def _statement(sql: str) -> str:
     return f"WITH {relations} SELECT * FROM ({sql})"
 
 
+
 ORACLE: dict[str, str] = {name: _statement(sql) for name, sql in _FINAL.items()}

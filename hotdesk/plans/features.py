@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from hotdesk.functions import business as rules
-from hotdesk.operators.accumulate import prior_totals
+from hotdesk.operators.accumulate import first_maximum, leader, prior_totals, with_prior_count
 from hotdesk.operators.dates import date_id_of, date_of_id, iso_weekday
 from hotdesk.operators.history import point_in_time_join
 
 CHECK_IN = "check_in_datetime"
 _POINT = ["check_in_latitude", "check_in_longitude"]
+HOURS = range(24)
 
 
 def attended(fact: DataFrame) -> DataFrame:
@@ -36,28 +37,37 @@ def booking_at_the_time(fact: DataFrame, dim_spaces: DataFrame) -> DataFrame:
     ).drop("space_id", CHECK_IN)
 
 
-def wide_booking_features(fact: DataFrame, dim_spaces: DataFrame) -> DataFrame:
-    """One row per attended booking: space at the time, distance, and the user's past.
-
-    The past covers all earlier bookings of the user that have a check-in time,
-    cancelled and missed ones too, and never the row itself.
-    """
-    dated = fact.where(F.col(CHECK_IN).isNotNull()).select(
-        "user_id", "booking_id", "check_in_date", "duration_minutes", "credits_used", "app_type",
-        "space_id", CHECK_IN, *_POINT, "is_cancelled", "is_no_show",
-    )
-    past = prior_totals(
-        dated,
+def with_the_past(dated: DataFrame) -> DataFrame:
+    """Adds what is known of the user's earlier bookings: totals, a counter per hour, the leading app."""
+    order = [CHECK_IN, "booking_id"]
+    known = with_prior_count(dated, "user_id", CHECK_IN, order, "app_type", "_same_app")
+    return prior_totals(
+        known,
         "user_id",
         CHECK_IN,
-        [CHECK_IN, "booking_id"],
+        order,
         {
             "prior_bookings": F.lit(1),
             "_no_shows": F.coalesce(F.col("is_no_show"), F.lit(False)).cast("int"),
             "_minutes": F.coalesce("duration_minutes", F.lit(0)),
             "_timed": F.col("duration_minutes").isNotNull().cast("int"),
+            **{f"_hour_{h}": (F.hour(CHECK_IN) == h).cast("int") for h in HOURS},
         },
+        {"_leading_app": leader(F.col("_same_app"), F.col("app_type"))},
+    )
+
+
+def wide_booking_features(fact: DataFrame, dim_spaces: DataFrame) -> DataFrame:
+    """One row per attended booking: space at the time, distance, and the user's past.
+
+    Of the past hours and apps the one used most is told, the lower on a tie.  The past covers all earlier bookings of the user that have a check-in time,
+    cancelled and missed ones too, and never the row itself.
+    """
+    dated = fact.where(F.col(CHECK_IN).isNotNull()).select(
+        "user_id", "booking_id", "check_in_date", "duration_minutes", "credits_used", "app_type",
+        "space_id", CHECK_IN, *_POINT, "is_cancelled", "is_no_show",
     )
+    past = with_the_past(dated)
     placed = point_in_time_join(
         attended(past),
         dim_spaces,
@@ -87,6 +97,8 @@ def wide_booking_features(fact: DataFrame, dim_spaces: DataFrame) -> DataFrame:
         "prior_bookings",
         rules.rounded(rules.ratio(F.col("_no_shows"), F.col("prior_bookings")), 4).alias("prior_no_show_rate"),
         rules.rounded(rules.ratio(F.col("_minutes"), F.col("_timed"))).alias("prior_mean_duration"),
+        first_maximum([F.col(f"_hour_{h}") for h in HOURS]).alias("prior_preferred_hour"),
+        F.col("_leading_app._value").alias("prior_favourite_app"),
     )
 
 

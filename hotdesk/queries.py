@@ -34,6 +34,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 # Run parameters of the registered queries.
 AS_OF = date(2001, 8, 1)
 EARLIER = date(2001, 6, 1)
+FIRST_SPLIT = datetime(1997, 6, 1)
 SPLIT = datetime(2000, 1, 1)
 CHURN_THRESHOLD = 30.0
 
@@ -420,6 +421,23 @@ def schema_sync(at: Layers) -> DataFrame:
     return warehouse.read("synced")
 
 
+def schema_sync_types(at: Layers) -> DataFrame:
+    """Three appends: the second brings two wider columns, the third narrower ones again."""
+    rows = typed(SOURCES["bookings"], at.raw("bookings")).select(
+        "booking_id", "status_id", "credits", "source_updated_at"
+    )
+    since, until = incremental.timestamp_literal(FIRST_SPLIT), incremental.timestamp_literal(SPLIT)
+    moment, narrow = F.col("source_updated_at"), {"status_id": F.col("status_id").cast("int")}
+    warehouse = at.warehouse()
+    for load, columns in (
+        (rows.where(moment < since), {**narrow, "credits": F.col("credits").cast("float")}),
+        (rows.where((moment >= since) & (moment < until)), {}),
+        (rows.where(moment >= until), narrow),
+    ):
+        warehouse.append("widened", load.withColumns(columns) if columns else load, "source_updated_at")
+    return warehouse.read("widened")
+
+
 def mat_full_rebuild(at: Layers) -> DataFrame:
     """The mart of a month earlier, replaced as a whole by the mart of the day."""
     warehouse = at.warehouse()
@@ -541,6 +559,7 @@ _PLANS: dict[str, Callable[[Layers], DataFrame]] = {
     "upsert_merge": upsert_merge,
     "append_only": append_only,
     "schema_sync": schema_sync,
+    "schema_sync_types": schema_sync_types,
     "mat_full_rebuild": mat_full_rebuild,
     "partition_pruned_scan": partition_pruned_scan,
     "dq_unique": lambda at: check_report(at, "unique"),

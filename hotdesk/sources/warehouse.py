@@ -10,6 +10,15 @@ job writes depends on how its rows can collide with loaded ones:
 ``upsert``              keyed merge that rewrites the table (small tables);
 ``upsert_partitions``   keyed merge that rewrites only the partitions touched.
 
+A merge, and a load that widens a column, make a new files table, whose partitions name
+the old folders and the new ones, and then replace the view: readers see the table as it
+was or as it is, never some partitions of each.  The files table before is kept until the
+next change, for queries that were planned on it.
+
+Types follow the loads: a column that arrives wider is widened (old files are read as the
+wider type), one that arrives narrower is cast, and any other change is refused before
+anything is written.
+
 The view also records ``loaded_through``, the watermark of the last complete load,
 so that no later run scans the table for it.  It is set last, so a load that broke off is simply run again: it reads the same
 batch and ends in the same rows.
@@ -19,10 +28,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import datetime
+from urllib.parse import unquote
 from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DataType, StructField, StructType
 
 from hotdesk.operators import incremental
 from hotdesk.sources.storage import one_process
@@ -32,6 +42,17 @@ NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
 LOAD_ID = "_load"
 # Columns of this prefix lay out the files and are not part of the table.
 HIDDEN = "_part_"
+# To which types a stored type may be widened; Parquet files of the narrower one can be read as these.
+WIDER = {
+    "tinyint": ("smallint", "int", "bigint", "double"),
+    "smallint": ("int", "bigint", "double"),
+    "int": ("bigint", "double"),
+    "float": ("double",),
+}
+
+
+class TypeChanged(TypeError):
+    """A load was refused because a column arrived in a type that the table cannot take on."""
 
 
 class Warehouse:
@@ -77,9 +98,13 @@ class Warehouse:
         self, table: str, relation: str, columns: list[str], loaded_through: datetime | None, files: str = ""
     ) -> None:
         """Points the view of the table at a relation, in one catalog change."""
-        facts = {"files": files}
-        if loaded_through is None and self.exists(table):
-            loaded_through = self.loaded_through(table)
+        facts, outdated = {"files": files}, None
+        if self.exists(table):
+            before = self._property(table, "files") or ""
+            facts["files_before"] = self._property(table, "files_before") or "" if before == files else before
+            outdated = None if before == files else self._property(table, "files_before")
+            if loaded_through is None:
+                loaded_through = self.loaded_through(table)
         if loaded_through is not None:
             facts["loaded_through"] = loaded_through.isoformat(sep=" ")
         properties = ", ".join(f"'{k}' = '{v}'" for k, v in facts.items())
@@ -87,6 +112,8 @@ class Warehouse:
         self.spark.sql(
             f"CREATE OR REPLACE VIEW {self._name(table)} TBLPROPERTIES ({properties}) AS SELECT {names} FROM {relation}"
         )
+        if outdated:
+            self.spark.sql(f"DROP TABLE IF EXISTS {self._name(outdated)}")
 
     def _extent(self, rows: DataFrame, watermark: str | None) -> tuple[int, datetime | None]:
         """Number of rows and their latest time, in one pass over one column."""
@@ -115,8 +142,11 @@ class Warehouse:
         gate: Gate | None = None,
     ) -> None:
         """Replaces the rows whose key is in the batch and adds the batch."""
-        rows = incremental.upsert(self.read(table), batch, keys) if self.exists(table) else batch
-        self.rebuild(table, rows, watermark, gate)
+        if self.exists(table):
+            stored = self.read(table)
+            kinds = _merged_types(stored.schema, batch.schema)
+            batch = incremental.upsert(_cast(stored, kinds), _cast(batch, kinds), keys)
+        self.rebuild(table, batch, watermark, gate)
 
     def append(
         self,
@@ -133,20 +163,26 @@ class Warehouse:
         before = None if restart else self.loaded_through(table)
         load = "first" if before is None else before.strftime("after_%Y%m%d_%H%M%S_%f")
         files = self._property(table, "files") if before is not None else None
-        files = files or self._create_files_table(table, batch.schema, {LOAD_ID: "string"})
-        folder = self._folder(table, f"{files}/{LOAD_ID}={load}")
-        batch.write.mode("overwrite").parquet(folder)
+        stored = self.read(files).schema if files else StructType()
+        kinds = _merged_types(stored, batch.schema)
+        batch = _cast(batch, kinds)
+        folder = self._folder(table, f"load={self._new_run()}/{LOAD_ID}={load}")
+        batch.write.mode("errorifexists").parquet(folder)
         written = self.spark.read.schema(batch.schema).parquet(folder)
         count, through = self._extent(written, watermark)
         if gate and count:
             gate(written)
-        self._add_columns(files, batch.schema)
-        if count:
-            self.spark.sql(
-                f"ALTER TABLE {self._name(files)} ADD IF NOT EXISTS "
-                f"PARTITION ({LOAD_ID} = '{load}') LOCATION '{folder}'"
-            )
-            self.spark.catalog.refreshTable(self._name(files))
+        if files and all(kinds.get(f.name, f.dataType) == f.dataType for f in stored):
+            self._add_columns(files, batch.schema)
+            # What a load that broke off has left behind.
+            self.spark.sql(f"ALTER TABLE {self._name(files)} DROP IF EXISTS PARTITION ({LOAD_ID} = '{load}')")
+            added = {(load,): folder} if count else {}
+        else:
+            added = self._folders(files, [LOAD_ID]) if files else {}
+            added |= {(load,): folder} if count else {}
+            schema = _with_types(stored, batch.schema, kinds, [LOAD_ID])
+            files = self._create_files_table(table, schema, {LOAD_ID: "string"})
+        self._add_partitions(files, [LOAD_ID], added)
         self._publish(table, self._name(files), batch.columns, through, files)
 
     def rebuild_partitions(
@@ -167,12 +203,9 @@ class Warehouse:
         if gate:
             gate(self.spark.read.schema(rows.schema).parquet(folder))
         kinds = {c: rows.schema[c].dataType.simpleString() for c in layout}
-        previous = self._property(table, "files") if self.exists(table) else None
         files = self._create_files_table(table, rows.schema, kinds)
-        self._point(files, layout, filled, folder)
+        self._add_partitions(files, layout, {v: f"{folder}/{_path(layout, v)}" for v in filled})
         self._publish(table, self._name(files), _shown(rows), through, files)
-        if previous:
-            self.spark.sql(f"DROP TABLE IF EXISTS {self._name(previous)}")
 
     def upsert_partitions(
         self,
@@ -194,6 +227,8 @@ class Warehouse:
             return
         files, layout = self._property(table, "files"), _layout(partition_by)
         target = self.read(files)
+        kinds = _merged_types(target.schema, batch.schema)
+        target, batch = _cast(target, kinds), _cast(batch, kinds)
         replaced = incremental.by_key(target.select(*keys, *layout), batch, keys, "left_semi")
         touched = _values(replaced.select(*layout).union(batch.select(*layout)), layout)
         if not touched:
@@ -203,9 +238,15 @@ class Warehouse:
         filled, through = _write_partitioned(rows, folder, layout, watermark)
         if gate:
             gate(self.spark.read.schema(rows.schema).parquet(folder))
-        self._add_columns(files, batch.schema)
-        self._point(files, layout, filled, folder)
-        self._drop(files, layout, [v for v in touched if v not in filled])
+        # Values as they stand in paths, since those of the old partitions are read off their folders.
+        gone = {_texts(v) for v in touched}
+        places = {v: place for v, place in self._folders(files, layout).items() if v not in gone}
+        places |= {_texts(v): f"{folder}/{_path(layout, v)}" for v in filled}
+        schema = _with_types(target.schema, batch.schema, kinds, layout)
+        files = self._create_files_table(
+            table, schema, {c: target.schema[c].dataType.simpleString() for c in layout}
+        )
+        self._add_partitions(files, layout, places)
         self._publish(table, self._name(files), _shown(batch), through, files)
 
     # ---- catalog statements --------------------------------------------------
@@ -226,22 +267,21 @@ class Warehouse:
         if new:
             self.spark.sql(f"ALTER TABLE {self._name(files)} ADD COLUMNS ({', '.join(new)})")
 
-    def _point(self, files: str, layout: list[str], values: list[tuple], folder: str) -> None:
-        """Lets the partitions with these values read from below ``folder``."""
-        known = {r["partition"] for r in self.spark.sql(f"SHOW PARTITIONS {self._name(files)}").toLocalIterator()}
-        place = {v: f"LOCATION '{folder}/{_path(layout, v)}'" for v in values}
-        new = [v for v in values if _path(layout, v) not in known]
-        for start in range(0, len(new), 500):
-            added = " ".join(f"PARTITION ({_equals(layout, v)}) {place[v]}" for v in new[start : start + 500])
+    def _folders(self, files: str, layout: list[str]) -> dict[tuple, str]:
+        """Partition values, as texts, and the folder that each partition reads."""
+        found = {}
+        for file in self.read(files).inputFiles():
+            folder = unquote(file.rsplit("/", 1)[0])
+            steps = folder.rsplit("/", len(layout))[1:]
+            values = (unquote(step.partition("=")[2]) for step in steps)
+            found[tuple(None if v == NULL_FOLDER else v for v in values)] = folder
+        return found
+
+    def _add_partitions(self, files: str, layout: list[str], places: dict[tuple, str]) -> None:
+        parts = [f"PARTITION ({_equals(layout, v)}) LOCATION '{place}'" for v, place in places.items()]
+        for start in range(0, len(parts), 500):
+            added = " ".join(parts[start : start + 500])
             self.spark.sql(f"ALTER TABLE {self._name(files)} ADD IF NOT EXISTS {added}")
-        for value in set(values) - set(new):
-            self.spark.sql(f"ALTER TABLE {self._name(files)} PARTITION ({_equals(layout, value)}) SET {place[value]}")
-        self.spark.catalog.refreshTable(self._name(files))
-
-    def _drop(self, files: str, layout: list[str], values: list[tuple]) -> None:
-        for start in range(0, len(values), 500):
-            dropped = ", ".join(f"PARTITION ({_equals(layout, v)})" for v in values[start : start + 500])
-            self.spark.sql(f"ALTER TABLE {self._name(files)} DROP IF EXISTS {dropped}")
         self.spark.catalog.refreshTable(self._name(files))
 
     # ---- intermediate results ------------------------------------------------
@@ -256,6 +296,41 @@ class Warehouse:
         return self.spark.read.schema(rows.schema).parquet(folder)
 
 
+def _merged_types(stored: StructType, batch: StructType) -> dict[str, DataType]:
+    """The type of each column of the batch once it is in the table: the wider one of both."""
+    known, merged, refused = {f.name: f.dataType for f in stored}, {}, []
+    for field in batch:
+        old, new = known.get(field.name, field.dataType), field.dataType
+        names = old.simpleString(), new.simpleString()
+        if old == new or names[1] in WIDER.get(names[0], ()):
+            merged[field.name] = new
+        elif names[0] in WIDER.get(names[1], ()):
+            merged[field.name] = old
+        else:
+            refused.append(f"{field.name}: {names[0]} to {names[1]}")
+    if refused:
+        raise TypeChanged("; ".join(refused))
+    return merged
+
+
+def _cast(rows: DataFrame, kinds: dict[str, DataType]) -> DataFrame:
+    if all(kinds.get(f.name, f.dataType) == f.dataType for f in rows.schema):
+        return rows
+    return rows.select(*[F.col(c).cast(kinds[c]).alias(c) if c in kinds else F.col(c) for c in rows.columns])
+
+
+def _with_types(
+    stored: StructType, batch: StructType, kinds: dict[str, DataType], layout: list[str]
+) -> StructType:
+    """Columns of the table and then those that the batch brings, without the partition columns."""
+    fields = {f.name: kinds.get(f.name, f.dataType) for f in [*stored, *batch] if f.name not in layout}
+    return StructType([StructField(name, kind) for name, kind in fields.items()])
+
+
+def _texts(values: tuple) -> tuple:
+    return tuple(None if v is None else str(v) for v in values)
+
+
 def _layout(partition_by: str | list[str]) -> list[str]:
     return [partition_by] if isinstance(partition_by, str) else list(partition_by)
 

@@ -9,7 +9,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from hotdesk.operators import incremental
-from hotdesk.operators.accumulate import prior_totals
+from hotdesk.operators import slots
+from hotdesk.operators.accumulate import first_maximum, leader, prior_totals, with_prior_count
 from hotdesk.operators.history import as_versions, point_in_time_join, with_next
 from hotdesk.operators.lookups import lookup_join
 
@@ -35,6 +36,14 @@ def history(spark):
     return rows, spark.createDataFrame(rows, "k BIGINT, t TIMESTAMP_NTZ")
 
 
+@pytest.fixture(params=["calendar", "ranges"], autouse=True)
+def slot_size(request, monkeypatch):
+    """Everything holds with days and hours as slots, and with ranges of rows."""
+    if request.param == "ranges":
+        monkeypatch.setattr(slots, "LIMIT", 20)
+    return request.param
+
+
 def test_with_next(history):
     rows, frame = history
     want = set()
@@ -132,6 +141,47 @@ def test_prior_totals(spark):
     assert {(r["i"], r["n"], r["s"]) for r in got} == want and len(got) == len(rows)
 
 
+def test_leaders_of_the_past(spark):
+    """The most frequent earlier value, with the lower one on a tie, and never the row's own."""
+    rng = random.Random(11)
+    rows = [
+        (i, rng.choice([HOT, HOT, None, 1]), t, rng.choice("abcde") if rng.random() < 0.9 else None)
+        for i, t in enumerate(moments(rng, 250, 3))
+    ]
+    frame = spark.createDataFrame(rows, "i INT, k BIGINT, t TIMESTAMP_NTZ, v STRING")
+    known = with_prior_count(frame, "k", "t", ["t", "i"], "v", "same")
+    measures = {f"c{n}": (F.col("i") % 3 == n).cast("int") for n in range(3)}
+    found = prior_totals(known, "k", "t", ["t", "i"], measures, {"led": leader(F.col("same"), F.col("v"))})
+    found = found.withColumn("class", first_maximum([F.col(f"c{n}") for n in range(3)]))
+    got = {r["i"]: (r["same"], r["led"]["_value"] if r["led"] else None, r["class"]) for r in found.collect()}
+    for i, k, t, v in rows:
+        earlier = [(j, w) for j, kk, tt, w in rows if kk == k and (tt, j) < (t, i)]
+        values = [w for _, w in earlier]
+        known = [w for w in values if w is not None]
+        classes = [sum(j % 3 == n for j, _ in earlier) for n in range(3)]
+        assert got[i] == (
+            values.count(v),
+            min(known, key=lambda w: (-known.count(w), w), default=None),
+            classes.index(max(classes)) if earlier else None,
+        )
+
+
+def test_a_hot_moment_is_spread_evenly(spark, monkeypatch):
+    """A third of the rows on one key and one hour: no slot has five times the median's rows."""
+    monkeypatch.setattr(slots, "LIMIT", 1000)
+    rows = spark.range(60_000).select(
+        F.col("id").alias("i"),
+        F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("k"),
+        F.expr("TIMESTAMP_NTZ '2001-01-01 00:00:00' + make_dt_interval(0, 0, 0, CAST(id % 7 AS DOUBLE))").alias("t"),
+    )
+    spread = slots.slotted(rows, "k", ["t", "i"], F.date_trunc("hour", "t"))
+    sizes = sorted(r["count"] for r in spread.groupBy(slots.SLOT).count().collect())
+    assert len(sizes) > 4 and sizes[-1] < 5 * sizes[len(sizes) // 2] and sum(sizes) == 60_000
+    found = prior_totals(rows, "k", "t", ["t", "i"], {"n": F.lit(1)}).where("k = 0")
+    hot = sorted(found.collect(), key=lambda r: (r["t"], r["i"]))
+    assert [r["n"] for r in hot] == list(range(20_000))
+
+
 def test_latest_per_key_breaks_ties_by_the_other_columns(spark):
     rows = [(1, START, "a"), (1, START, "b"), (1, None, "z"), (2, None, None), (2, None, "q")]
     frame = spark.createDataFrame(rows, "k INT, t TIMESTAMP_NTZ, v STRING")

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
 
+from hotdesk.sources.warehouse import TypeChanged
+
 D1, D2, D3 = date(2001, 1, 1), date(2001, 1, 2), date(2001, 1, 3)
 SCHEMA = "k INT, v STRING, day DATE"
 W1, W2 = datetime(2001, 1, 1, 5), datetime(2001, 1, 2, 5)
@@ -98,7 +100,7 @@ def test_a_broken_off_merge_can_be_run_again(spark, loaded, monkeypatch):
         raise RuntimeError("driver lost")
 
     with monkeypatch.context() as broken:
-        broken.setattr(loaded, "_drop", lost)
+        broken.setattr(loaded, "_publish", lost)
         with pytest.raises(RuntimeError):
             loaded.upsert_partitions("t", batch, ["k"], "day", "at")
     assert loaded.loaded_through("t") == W1  # so the same batch is read again
@@ -191,3 +193,58 @@ def test_writes_go_to_the_shared_folder(spark):
     with pytest.raises(ValueError):
         new_folder(Session(spark_master="yarn"), "x")
     assert "hotdesk-" in new_folder(Session(spark_master="local[2]"), "x")
+
+
+def test_wider_columns_are_read_from_old_files(spark, warehouse):
+    loads = [
+        (W1, "k INT, n INT, x FLOAT, v STRING", [(1, 7, 0.5, "a")]),
+        (W2, "k INT, n BIGINT, x DOUBLE, v STRING", [(2, 1 << 40, 0.1, "b")]),
+        (datetime(2001, 1, 3), "k INT, n SMALLINT, x FLOAT, v STRING", [(3, 9, 0.25, "c")]),
+    ]
+    for at, schema, rows in loads:
+        warehouse.append("t", frame(spark, rows, at, schema), "at")
+    kinds = {f.name: f.dataType.simpleString() for f in warehouse.read("t").schema}
+    assert (kinds["n"], kinds["x"]) == ("bigint", "double")
+    assert rows_of(warehouse) == {(1, 7, 0.5, "a"), (2, 1 << 40, 0.1, "b"), (3, 9, 0.25, "c")}
+
+
+@pytest.mark.parametrize("kind", ["STRING", "DOUBLE", "DATE"])
+def test_other_changes_are_refused_before_a_write(spark, warehouse, tmp_path, kind):
+    warehouse.append("t", frame(spark, [(1, 2)], W1, "k INT, n BIGINT"), "at")
+    written = sorted(str(f) for f in (tmp_path / "warehouse" / "t").rglob("*"))
+    batch = frame(spark, [(2, None)], W2, f"k INT, n {kind}")
+    with pytest.raises(TypeChanged, match="n: bigint"):
+        warehouse.append("t", batch, "at")
+    assert sorted(str(f) for f in (tmp_path / "warehouse" / "t").rglob("*")) == written
+    assert rows_of(warehouse) == {(1, 2)} and warehouse.loaded_through("t") == W1
+
+
+def test_merges_widen_too(spark, warehouse):
+    warehouse.rebuild_partitions("t", frame(spark, [(1, 5, D1), (2, 6, D2)], W1, "k INT, n INT, day DATE"), "day", "at")
+    batch = frame(spark, [(2, 1 << 40, D3)], W2, "k BIGINT, n BIGINT, day DATE")
+    warehouse.upsert_partitions("t", batch, ["k"], "day", "at")
+    assert rows_of(warehouse) == {(1, 5, D1), (2, 1 << 40, D3)}
+    warehouse.rebuild("u", frame(spark, [(1, 5)], W1, "k INT, n INT"))
+    warehouse.upsert("u", frame(spark, [(1, 1 << 40)], W2, "k INT, n BIGINT"), ["k"])
+    assert rows_of(warehouse, "u") == {(1, 1 << 40)}
+
+
+def test_a_merge_of_many_partitions_is_seen_at_once(spark, warehouse, monkeypatch):
+    """While a merge goes on, and when it breaks off at any statement, readers see the table before."""
+    days = [date(2001, 1, 1) + timedelta(days=i) for i in range(1000)]
+    first = frame(spark, [(i, "old", d) for i, d in enumerate(days)], W1)
+    warehouse.rebuild_partitions("t", first, "day", "at")
+    reader = warehouse.read("t").where("v = 'old'")
+    seen, statements = [], spark.sql
+
+    def counted(statement, *args, **named):
+        if "ALTER TABLE" in statement or "CREATE" in statement:
+            seen.append(warehouse.read("t").groupBy("v").count().collect())
+        return statements(statement, *args, **named)
+
+    monkeypatch.setattr(spark, "sql", counted)
+    batch = frame(spark, [(i, "new", d) for i, d in enumerate(reversed(days))], W2)
+    warehouse.upsert_partitions("t", batch, ["k"], "day", "at")
+    assert len(seen) >= 4 and all([tuple(r) for r in state] == [("old", 1000)] for state in seen)
+    assert [tuple(r) for r in warehouse.read("t").groupBy("v").count().collect()] == [("new", 1000)]
+    assert reader.count() == 1000  # planned before the merge

@@ -18,6 +18,8 @@ from hotdesk.operators.incremental import timestamp_literal
 from hotdesk.schemas import SourceTable
 
 ERROR, WARN = "error", "warn"
+# Column of the values that could not be typed.
+REJECTS = "_rejects"
 ROW_KINDS = ("not_null", "accepted_values", "between", "column_type", "row_rule")
 
 # ---- fixed values: limits of the checks -------------------------------------
@@ -140,10 +142,26 @@ def circuit_breaker(
             F.count("*").alias("checked_rows"), F.count_if(reduce(Column.__or__, fails)).alias("failing_rows")
         )
         parts.append(counted.select(F.lit(name).alias("table_name"), "*"))
+    return _rated(_union(parts), limit)
+
+
+def _rated(counted: DataFrame, limit: float) -> DataFrame:
     rate = F.coalesce(F.col("failing_rows") / F.nullif(F.col("checked_rows"), F.lit(0)), F.lit(0.0))
-    return _union(parts).select(
-        "*", rounded(rate, 4).alias("failure_rate"), (rate <= limit).alias("publish")
-    )
+    return counted.select("*", rounded(rate, 4).alias("failure_rate"), (rate <= limit).alias("publish"))
+
+
+def reject_rates(judged: Mapping[str, DataFrame], limit: float = CIRCUIT_BREAKER_RATE) -> DataFrame:
+    """Per table: rows with a value that was set aside, and whether the rest may be loaded.
+
+    The breaker's report over rows as ``hotdesk.plans.clean.judged`` leaves them.
+    """
+    parts = [
+        rows.agg(F.count("*").alias("checked_rows"), F.count_if(F.size(REJECTS) > 0).alias("failing_rows")).select(
+            F.lit(name).alias("table_name"), "*"
+        )
+        for name, rows in judged.items()
+    ]
+    return _rated(_union(parts), limit)
 
 
 def source_freshness(
@@ -168,14 +186,27 @@ def source_freshness(
     )
 
 
-def daily_volume(rows: DataFrame, table: str, day: Column) -> DataFrame:
-    """Rows per day on a calendar without gaps (a day without rows counts 0)."""
-    counts = rows.where(day.isNotNull()).groupBy(day.alias("day")).agg(F.count("*").alias("n"))
-    span = counts.agg(F.min("day").alias("first"), F.max("day").alias("last"))
-    calendar = span.select(F.explode(F.sequence("first", "last")).alias("day"))
-    return calendar.join(counts, "day", "left").select(
-        F.lit(table).alias("table_name"), "day", F.coalesce("n", F.lit(0)).alias("row_count")
+def daily_volumes(days: Mapping[str, DataFrame]) -> DataFrame:
+    """Rows per table and day on a calendar without gaps (a day without rows counts 0).
+
+    ``days`` gives each table's days, one row per row of the table, in a column ``day``.  All
+    tables are counted in one aggregation; the days up to the next one that has rows are put
+    in beside each counted day, so nothing is read or joined a second time.
+    """
+    every = _union(rows.select(F.lit(name).alias("table_name"), "day") for name, rows in days.items())
+    counts = every.where("day IS NOT NULL").groupBy("table_name", "day").agg(F.count("*").alias("n"))
+    following = F.lead("day").over(Window.partitionBy("table_name").orderBy("day"))
+    until = F.coalesce(F.date_sub("_next", 1), F.col("day"))
+    filled = counts.withColumn("_next", following).select(
+        "table_name", F.col("day").alias("_day"), "n", F.explode(F.sequence("day", until)).alias("day")
     )
+    here = F.when(F.col("day") == F.col("_day"), F.col("n")).otherwise(0)
+    return filled.select("table_name", "day", here.alias("row_count"))
+
+
+def daily_volume(rows: DataFrame, table: str, day: Column) -> DataFrame:
+    """The volumes of one table."""
+    return daily_volumes({table: rows.select(day.alias("day"))})
 
 
 def volume_anomaly(volumes: DataFrame) -> DataFrame:

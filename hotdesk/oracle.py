@@ -561,6 +561,15 @@ _FINAL: dict[str, str] = {
     "append_only": "SELECT * FROM stg_spaces",
     "schema_sync": f"""SELECT booking_id, credits, CASE WHEN updated_at >= {SPLIT} THEN app_type END AS app_type,
         updated_at AS source_updated_at FROM raw_bookings""",
+    "typed_with_rejects": """WITH spoilt AS (SELECT CASE WHEN booking_id % 110 <> 0 THEN booking_id END AS booking_id,
+            CASE WHEN booking_id % 50 <> 0 THEN status_id END AS status_id,
+            CASE WHEN booking_id % 70 <> 0 THEN credits END AS credits, check_in_datetime, credits AS c
+            FROM raw_bookings)
+        SELECT booking_id, status_id, credits, check_in_datetime, concat_ws(',',
+            CASE WHEN booking_id IS NULL THEN 'booking_id:missing' END,
+            CASE WHEN status_id IS NULL THEN 'status_id:n/a:no bigint' END,
+            CASE WHEN credits IS NULL THEN 'credits:' || CAST(c AS VARCHAR) || 'x:no double' END) AS rejects
+        FROM spoilt""",
     "schema_sync_types": "SELECT booking_id, status_id, credits, updated_at AS source_updated_at FROM raw_bookings",
     "mat_full_rebuild": "SELECT * FROM mart",
     "partition_pruned_scan": """SELECT check_in_date, count(*) AS bookings, sum(credits_used) AS credits_used

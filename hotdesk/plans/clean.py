@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, functions as F
 
 from hotdesk.functions.keys import surrogate_key
 from hotdesk.operators.incremental import latest_per_key, newer_than
+from hotdesk.operators.quality import REJECTS
 from hotdesk.schemas import SourceTable
 
 # Load timestamps keep their origin in the name downstream.
@@ -21,6 +22,44 @@ def typed(source: SourceTable, landed: DataFrame) -> DataFrame:
     )
 
 
+def judged(source: SourceTable, landed: DataFrame) -> DataFrame:
+    """The declared columns, typed where they can be, and ``_rejects``: the values that cannot.
+
+    One pass: a value that does not fit its type is NULL here and stands in ``_rejects`` with its
+    column and the reason; so does a missing id, for which there is no value.
+    """
+
+    def reject(name: str, value: Column, reason: str) -> Column:
+        return F.struct(
+            F.lit(name).alias("column_name"), value.alias("value"), F.lit(reason).alias("reason")
+        )
+
+    found = []
+    for name, kind in source.columns:
+        as_text, fits = F.col(name).cast("string"), F.expr(f"try_cast({name} AS {kind})")
+        found.append(F.when(as_text.isNotNull() & fits.isNull(), reject(name, as_text, f"no {kind}")))
+        if name == source.id_column:
+            found.append(F.when(as_text.isNull(), reject(name, as_text, "missing")))
+    return landed.select(
+        *[F.expr(f"try_cast({name} AS {kind})").alias(name) for name, kind in source.columns],
+        F.filter(F.array(*found), lambda r: r.isNotNull()).alias(REJECTS),
+    )
+
+
+def accepted(rows: DataFrame) -> DataFrame:
+    """Judged rows of which nothing was set aside."""
+    return rows.where(F.size(REJECTS) == 0).drop(REJECTS)
+
+
+def rejects(source: SourceTable, rows: DataFrame) -> DataFrame:
+    """One row per value set aside: source_name, row_id (NULL where the id itself is bad), column_name, value, reason."""
+    return rows.where(F.size(REJECTS) > 0).select(
+        F.lit(source.name).alias("source_name"),
+        F.col(source.id_column).cast("string").alias("row_id"),
+        F.inline(REJECTS),
+    )
+
+
 def every_version(source: SourceTable, landed: DataFrame, since: datetime | None = None) -> DataFrame:
     """Landed rows above the watermark, typed, one per id and load time."""
     rows = typed(source, newer_than(landed, source.watermark, since))

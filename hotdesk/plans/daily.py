@@ -19,7 +19,7 @@ from hotdesk.operators import quality
 from hotdesk.operators.incremental import newer_than
 from hotdesk.plans import analytics, core, features, staging
 from hotdesk.plans.checks import of_table
-from hotdesk.plans.clean import clean, every_version
+from hotdesk.plans.clean import accepted, clean, every_version, judged, rejects
 from hotdesk.schemas import SOURCES
 from hotdesk.sources.files import export_csv, export_json, write_json_arrays
 from hotdesk.sources.warehouse import Gate, Warehouse
@@ -64,12 +64,17 @@ def run(
     as_of: date | None = None,
     full_refresh: bool = False,
     blocking_checks: bool = True,
+    quarantine: bool = False,
 ) -> None:
     """Loads what is new in the landed tables into every layer.
 
+    With ``quarantine``, values that do not fit their declared type are set aside in
+    ``rejected_values`` and their rows are left out, unless too many rows of a table have one.
     A landed table that breaks its contract stops the load before anything is cast.  What
     the checks of freshness and volume found is kept in ``source_report``.
     """
+    if quarantine:
+        landed = set_aside(warehouse, landed)
     if blocking_checks:
         keep_contract(landed)
 
@@ -143,14 +148,27 @@ def keep_contract(landed: Mapping[str, DataFrame]) -> None:
         raise ChecksFailed("; ".join(f"contract:{r['table_name']}.{r['column_name']}" for r in broken))
 
 
+def set_aside(warehouse: Warehouse, landed: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+    """The landed tables in their declared types, without the rows of which a value does not fit.
+
+    Every table is read and typed once and kept.  What was set aside replaces
+    ``rejected_values``; above the breaker's limit of any table the load stops there.
+    """
+    rows = {n: warehouse.stage(f"judged_{n}", judged(SOURCES[n], landed[n])) for n in landed}
+    found = reduce(DataFrame.unionByName, [rejects(SOURCES[n], judged_rows) for n, judged_rows in rows.items()])
+    warehouse.rebuild("rejected_values", found)
+    broken = quality.reject_rates(rows).where("NOT publish").collect()
+    if broken:
+        raise ChecksFailed("; ".join(f"rejects:{r['table_name']}: {r['failing_rows']}" for r in broken))
+    return {n: accepted(judged_rows) for n, judged_rows in rows.items()}
+
+
 def source_report(landed: Mapping[str, DataFrame], as_of: date | None = None) -> DataFrame:
     """Per source its freshness, and the days on which too few rows arrived."""
     moment = datetime(as_of.year, as_of.month, as_of.day) if as_of else None
     fresh = quality.source_freshness(landed, SOURCES, moment)
-    volumes = [
-        quality.daily_volume(rows, name, F.to_date(SOURCES[name].watermark)) for name, rows in landed.items()
-    ]
-    odd = quality.volume_anomaly(reduce(DataFrame.unionByName, volumes)).where("is_anomaly")
+    days = {n: rows.select(F.to_date(SOURCES[n].watermark).alias("day")) for n, rows in landed.items()}
+    odd = quality.volume_anomaly(quality.daily_volumes(days)).where("is_anomaly")
     odd = odd.groupBy(F.col("table_name").alias("source_name")).agg(
         F.count("*").alias("odd_days"), F.max("day").alias("last_odd_day")
     )

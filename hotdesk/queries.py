@@ -19,8 +19,9 @@ from hotdesk.operators import incremental, quality
 from hotdesk.operators.dates import month_of
 from hotdesk.operators.history import with_next
 from hotdesk.operators.lookups import lookup_join
+from hotdesk.operators.quality import REJECTS
 from hotdesk.plans import analytics, checks, core, features, staging
-from hotdesk.plans.clean import clean, typed
+from hotdesk.plans.clean import clean, judged, typed
 from hotdesk.plans import daily
 from hotdesk.plans.daily import FACT_LAYOUT, FACT_PARTITION, MART, laid_out_fact
 from hotdesk.schemas import SOURCES
@@ -167,6 +168,23 @@ def typed_projection(at: Layers) -> DataFrame:
     return typed(SOURCES["bookings"], as_text)
 
 
+def typed_with_rejects(at: Layers) -> DataFrame:
+    """Bookings landed as text, some of them spoilt, typed in one pass that keeps what cannot be."""
+    raw, key = at.raw("bookings"), F.col("booking_id")
+    as_text = raw.select(*[F.col(c).cast("string").alias(c) for c in raw.columns])
+    spoilt = as_text.withColumns(
+        {
+            "status_id": F.when(key % 50 == 0, "n/a").otherwise(F.col("status_id")),
+            "credits": F.when(key % 70 == 0, F.concat("credits", F.lit("x"))).otherwise(F.col("credits")),
+            "booking_id": F.when(key % 110 == 0, F.lit(None)).otherwise(key),
+        }
+    )
+    set_aside = F.transform(REJECTS, lambda r: F.concat_ws(":", r["column_name"], r["value"], r["reason"]))
+    return judged(SOURCES["bookings"], spoilt).select(
+        "booking_id", "status_id", "credits", "check_in_datetime", F.concat_ws(",", set_aside).alias("rejects")
+    )
+
+
 def surrogate_keys(at: Layers) -> DataFrame:
     return at.raw("bookings").select(
         "booking_id",
@@ -479,11 +497,8 @@ def source_freshness(at: Layers) -> DataFrame:
 
 
 def dq_volume_anomaly(at: Layers) -> DataFrame:
-    volumes = [
-        quality.daily_volume(at.raw(name), name, F.to_date(SOURCES[name].watermark))
-        for name in SOURCES
-    ]
-    return quality.volume_anomaly(reduce(DataFrame.unionByName, volumes))
+    days = {name: at.raw(name).select(F.to_date(SOURCES[name].watermark).alias("day")) for name in SOURCES}
+    return quality.volume_anomaly(quality.daily_volumes(days))
 
 
 def dq_circuit_breaker(at: Layers) -> DataFrame:
@@ -515,6 +530,7 @@ def seats_cdc_stream(at: Layers) -> DataFrame:
 _PLANS: dict[str, Callable[[Layers], DataFrame]] = {
     "scan_sources": scan_sources,
     "typed_projection": typed_projection,
+    "typed_with_rejects": typed_with_rejects,
     "surrogate_key": surrogate_keys,
     "read_json_array": read_json_array,
     "revenue_brl": revenue_brl,

@@ -168,3 +168,36 @@ def test_a_broken_contract_stops_the_load_and_an_empty_day_is_reported(spark, lo
     )
     odd = {r["source_name"]: r["odd_days"] for r in daily.source_report({**landed, "bookings": gap}, AS_OF).collect()}
     assert odd["bookings"] > 0
+
+
+def as_text(landed):
+    return {n: rows.select(*[F.col(c).cast("string").alias(c) for c in rows.columns]) for n, rows in landed.items()}
+
+
+def test_bad_values_are_set_aside_and_the_rest_is_loaded(spark, loaded, make):
+    """Tables that land as text, with a few bad values, give the tables of the good rows."""
+    whole, rows = loaded
+    landed, last = as_text(frames(spark, rows)), max(r[0] for r in rows["bookings"])
+    one = landed["bookings"].limit(1)
+    spoilt = one.withColumns({"booking_id": F.lit(str(last + 1)), "credits": F.lit("many"), "date_id": F.lit("x")})
+    nameless = one.withColumn("booking_id", F.lit(None).cast("string"))
+    landed["bookings"] = landed["bookings"].unionByName(spoilt).unionByName(nameless)
+    fresh = make()
+    daily.run(fresh, landed, AS_OF, quarantine=True)
+    assert content(fresh, "rejected_values") == {
+        ("credits", "no double", str(last + 1), "bookings", "many"),
+        ("date_id", "no bigint", str(last + 1), "bookings", "x"),
+        ("booking_id", "missing", None, "bookings", None),
+    }
+    assert fresh.read("clean_plans").schema == whole.read("clean_plans").schema
+    assert fresh.read("fact_bookings").count() == len({r[0] for r in rows["bookings"]})
+
+
+def test_too_many_bad_values_stop_the_load(spark, loaded, make):
+    _, rows = loaded
+    landed = as_text(frames(spark, rows))
+    landed["plans"] = landed["plans"].withColumn("plan_value", F.lit("free"))
+    fresh = make()
+    with pytest.raises(daily.ChecksFailed, match="rejects:plans"):
+        daily.run(fresh, landed, AS_OF, quarantine=True)
+    assert not fresh.exists("clean_bookings") and fresh.read("rejected_values").count() == len(rows["plans"])

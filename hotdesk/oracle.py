@@ -677,4 +677,11 @@ def _statement(sql: str) -> str:
 
 
 
+for _table, _kept in (
+    ("wide_booking_features", "features_two_loads"),
+    ("user_profile_features", "profiles_two_loads"),
+    ("space_performance_monthly", "space_months_two_loads"),
+):
+    _FINAL[_kept] = _FINAL[_table]
+
 ORACLE: dict[str, str] = {name: _statement(sql) for name, sql in _FINAL.items()}

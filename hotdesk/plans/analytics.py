@@ -122,18 +122,31 @@ def churn_summary(candidates: DataFrame) -> DataFrame:
     )
 
 
-def space_performance_monthly(fact: DataFrame, dim_spaces: DataFrame) -> DataFrame:
-    """Occupancy, revenue and no-shows per space and month of ``date_id``.
-
-    Seats come from the space version valid on the first of the month.
-    """
+def monthly_sums(fact: DataFrame, *below: Column) -> DataFrame:
+    """What is added up per space and month of ``date_id``, and below what else is given."""
     status = F.col("booking_status_derived")
-    monthly = fact.groupBy(month_of(date_of_id(F.col("date_id"))).alias("date_month"), "space_id").agg(
+    return fact.groupBy(*below, month_of(date_of_id(F.col("date_id"))).alias("date_month"), "space_id").agg(
         F.count("*").alias("bookings"),
         F.count_if(status.isin(rules.COMPLETED, rules.CHECKED_IN)).alias("check_ins"),
         F.count_if(status == rules.NO_SHOW).alias("no_shows"),
         F.sum(F.when(status == rules.COMPLETED, F.col("revenue_brl")).otherwise(0.0)).alias("revenue"),
     )
+
+
+def added_up(sums: DataFrame) -> DataFrame:
+    names = ("bookings", "check_ins", "no_shows", "revenue")
+    return sums.groupBy("date_month", "space_id").agg(*[F.sum(n).alias(n) for n in names])
+
+
+def space_performance_monthly(fact: DataFrame, dim_spaces: DataFrame) -> DataFrame:
+    """Occupancy, revenue and no-shows per space and month of ``date_id``.
+
+    Seats come from the space version valid on the first of the month.
+    """
+    return rated_spaces(monthly_sums(fact), dim_spaces)
+
+
+def rated_spaces(monthly: DataFrame, dim_spaces: DataFrame) -> DataFrame:
     seated = point_in_time_join(
         monthly,
         dim_spaces,

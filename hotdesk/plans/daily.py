@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from hotdesk.operators import quality
 from hotdesk.operators.incremental import newer_than
-from hotdesk.plans import analytics, core, features, staging
+from hotdesk.plans import analytics, core, feature_store, staging
 from hotdesk.plans.checks import of_table
 from hotdesk.plans.clean import accepted, clean, every_version, judged, rejects
 from hotdesk.schemas import SOURCES
@@ -176,7 +176,7 @@ def source_report(landed: Mapping[str, DataFrame], as_of: date | None = None) ->
 
 
 def refresh_features(warehouse: Warehouse) -> DataFrame:
-    """Rebuilds the feature tables unless the circuit breaker is open for what feeds them.
+    """Brings the feature tables up to date unless the circuit breaker is open for what feeds them.
 
     Returns the breaker's report.  With too many failing rows in any source, all
     feature tables stay as they were.
@@ -185,15 +185,7 @@ def refresh_features(warehouse: Warehouse) -> DataFrame:
     tables = {name: warehouse.read(name) for name in sources}
     breaker = warehouse.stage("circuit_breaker", quality.circuit_breaker(tables, [c for t in sources for c in of_table(t)]))
     if breaker.where(~F.col("publish")).isEmpty():
-        fact, spaces = tables["fact_bookings"], tables["dim_spaces"]
-        for table, rows in {
-            "dim_date": features.dim_date(fact),
-            "space_performance_monthly": analytics.space_performance_monthly(fact, spaces),
-            "user_behavior_features": features.user_behavior_features(fact),
-            "user_profile_features": features.user_profile_features(fact, spaces),
-            "wide_booking_features": features.wide_booking_features(fact, spaces),
-        }.items():
-            warehouse.rebuild(table, rows)
+        feature_store.refresh(warehouse, "fact_bookings", FACT_LAYOUT)
     return breaker
 
 

@@ -37,37 +37,70 @@ def booking_at_the_time(fact: DataFrame, dim_spaces: DataFrame) -> DataFrame:
     ).drop("space_id", CHECK_IN)
 
 
-def with_the_past(dated: DataFrame) -> DataFrame:
-    """Adds what is known of the user's earlier bookings: totals, a counter per hour, the leading app."""
+def _measures() -> dict[str, Column]:
+    """What is added up of a user's bookings that have a check-in."""
+    return {
+        "prior_bookings": F.lit(1),
+        "_no_shows": F.coalesce(F.col("is_no_show"), F.lit(False)).cast("int"),
+        "_minutes": F.coalesce("duration_minutes", F.lit(0)),
+        "_timed": F.col("duration_minutes").isNotNull().cast("int"),
+        **{f"_hour_{h}": (F.hour(CHECK_IN) == h).cast("int") for h in HOURS},
+    }
+
+
+def with_the_past(dated: DataFrame, carried: DataFrame | None = None) -> DataFrame:
+    """Adds what is known of the user's earlier bookings: totals, a counter per hour, the leading app.
+
+    ``carried`` has the measures' sums of bookings that lie before all of these, per user and app.
+    """
     order = [CHECK_IN, "booking_id"]
     known = with_prior_count(dated, "user_id", CHECK_IN, order, "app_type", "_same_app")
-    return prior_totals(
-        known,
+    if carried is None:
+        return prior_totals(
+            known, "user_id", CHECK_IN, order, _measures(), {"_leading_app": leader(F.col("_same_app"), F.col("app_type"))}
+        )
+    names = list(_measures())
+    apps = carried.select(
+        F.col("user_id").alias("_user"), F.col("app_type").alias("_app"), F.col("prior_bookings").alias("_carried")
+    )
+    same = F.col("user_id").eqNullSafe(F.col("_user")) & F.col("app_type").eqNullSafe(F.col("_app"))
+    known = known.join(apps, same, "left").withColumn(
+        "_same_app", F.col("_same_app") + F.coalesce("_carried", F.lit(0))
+    )
+    past = prior_totals(
+        known.drop("_user", "_app", "_carried"),
         "user_id",
         CHECK_IN,
         order,
-        {
-            "prior_bookings": F.lit(1),
-            "_no_shows": F.coalesce(F.col("is_no_show"), F.lit(False)).cast("int"),
-            "_minutes": F.coalesce("duration_minutes", F.lit(0)),
-            "_timed": F.col("duration_minutes").isNotNull().cast("int"),
-            **{f"_hour_{h}": (F.hour(CHECK_IN) == h).cast("int") for h in HOURS},
-        },
+        _measures(),
         {"_leading_app": leader(F.col("_same_app"), F.col("app_type"))},
     )
+    led = F.when(F.col("app_type").isNotNull(), F.struct((-F.col("prior_bookings")).alias("_n"), F.col("app_type").alias("_value")))
+    users = carried.groupBy(F.col("user_id").alias("_user")).agg(
+        *[F.sum(n).alias(f"_carried_{n}") for n in names], F.min(led).alias("_carried_app")
+    )
+    joined = past.join(users, F.col("user_id").eqNullSafe(F.col("_user")), "left")
+    return joined.select(
+        *dated.columns,
+        *[(F.col(n) + F.coalesce(f"_carried_{n}", F.lit(0))).alias(n) for n in names],
+        F.least("_leading_app", "_carried_app").alias("_leading_app"),
+    )
 
 
-def wide_booking_features(fact: DataFrame, dim_spaces: DataFrame) -> DataFrame:
+def wide_booking_features(
+    fact: DataFrame, dim_spaces: DataFrame, carried: DataFrame | None = None
+) -> DataFrame:
     """One row per attended booking: space at the time, distance, and the user's past.
 
     Of the past hours and apps the one used most is told, the lower on a tie.  The past covers all earlier bookings of the user that have a check-in time,
-    cancelled and missed ones too, and never the row itself.
+    cancelled and missed ones too, and never the row itself; ``carried`` stands for bookings
+    before those of ``fact``.
     """
     dated = fact.where(F.col(CHECK_IN).isNotNull()).select(
         "user_id", "booking_id", "check_in_date", "duration_minutes", "credits_used", "app_type",
         "space_id", CHECK_IN, *_POINT, "is_cancelled", "is_no_show",
     )
-    past = with_the_past(dated)
+    past = with_the_past(dated, carried)
     placed = point_in_time_join(
         attended(past),
         dim_spaces,

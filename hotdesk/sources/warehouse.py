@@ -249,6 +249,31 @@ class Warehouse:
         self._add_partitions(files, layout, places)
         self._publish(table, self._name(files), _shown(batch), through, files)
 
+    def replace_partitions(
+        self, table: str, rows: DataFrame, partition_by: str | list[str], values: list[tuple]
+    ) -> None:
+        """Replaces the partitions with these values by the rows, all of which lie in them."""
+        layout = _layout(partition_by)
+        if not self.exists(table):
+            self.rebuild_partitions(table, rows, layout)
+            return
+        files = self._property(table, "files")
+        stored = self.read(files).schema
+        kinds = _merged_types(stored, rows.schema)
+        folder = self._folder(table, f"run={self._new_run()}")
+        filled, _ = _write_partitioned(_cast(rows, kinds), folder, layout, None)
+        gone = {_texts(v) for v in [*values, *filled]}
+        places = {v: place for v, place in self._folders(files, layout).items() if v not in gone}
+        places |= {_texts(v): f"{folder}/{_path(layout, v)}" for v in filled}
+        schema = _with_types(stored, rows.schema, kinds, layout)
+        files = self._create_files_table(table, schema, {c: stored[c].dataType.simpleString() for c in layout})
+        self._add_partitions(files, layout, places)
+        self._publish(table, self._name(files), _shown(rows), None, files)
+
+    def partition_folders(self, table: str, partition_by: str | list[str]) -> dict[tuple, str]:
+        """Which folder each partition reads; a partition that was rewritten has another one."""
+        return self._folders(self._property(table, "files"), _layout(partition_by))
+
     # ---- catalog statements --------------------------------------------------
 
     def _create_files_table(self, table: str, schema: StructType, layout: dict[str, str]) -> str:

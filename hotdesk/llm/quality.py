@@ -6,8 +6,12 @@ logistic model is fitted per view on the labelled rows; in every round each view
 unlabelled rows that it is sure of, for the other view to learn from. Both views are then
 calibrated on labelled rows that took no part in the fit, and combined there.
 
-The models are fitted in one task on a bounded sample: at most ``LABELLED`` rows of each class
-of a target and ``UNLABELLED`` rows without labels, those of the smallest hash of the id. Chances
+The models are fitted in one task on a bounded sample of labelled rows, at most ``LABELLED`` of
+each class of a target, those of the smallest hash of the id, and on what the views taught each
+other. For that every unlabelled row is scored by both views in every round, on Spark, and
+the surest of each class are taken from all of them, at most ``TAUGHT`` a round; only what is
+chosen is bounded. Rows are scored by their numbers, which are made from the texts once, and
+copies with the same numbers count once. Chances
 are put back to the shares that the classes have among all labelled rows. Words are hashed to ``BUCKETS``
 numbers, of which at most ``CHOSEN`` per class are used. All documents are scored.
 
@@ -15,31 +19,39 @@ A document is kept when it is more likely good than not and more likely harmless
 
 Defined results: NULL text counts as empty; NULL metadata is a value of its own; without
 labelled rows of both classes every row gets the labels' mean, or 0.5 without any label, and
-is kept; labels that name a document twice count once, by the larger value; repeated rows
-are scored each on its own.
+is kept; labels that name a document twice count once, by the larger value; of documents that
+share an id the least row is learned from; a row without a label of one target can be taught that
+target; equally sure rows go by the hash of their id; repeated rows are scored each on its own.
 """
 
 from __future__ import annotations
 
 import io
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from hotdesk.llm.tables import stored
 from hotdesk.llm.words import Spans, Words, portions
 
 TARGETS = ("quality", "toxic")
-LABELLED, UNLABELLED = 6000, 3000
+LABELLED = 6000
 BUCKETS, CHOSEN, PREFIX = 1 << 20, 128, 5
 ROUNDS, SURE, TAUGHT = 3, 0.95, 300
+#: Ridge of the content and of the metadata view.
+DECAY = (1.0, 5.0)
+VIEWS = ("content", "metadata")
 #: Share of the labelled rows that is set aside for calibration.
 HELD_OUT = 0.25
 #: Numbers of the metadata view: hashed source, hashed language, length class.
 SOURCES, LANGUAGES, LENGTHS = 128, 32, 32
 THRESHOLD = 0.5
+SEED = 7
 
 
 def _kinds() -> np.ndarray:
@@ -152,49 +164,80 @@ def presence(rows: list[np.ndarray], chosen: np.ndarray) -> np.ndarray:
     return out
 
 
-def co_train(
-    content: np.ndarray, codes: np.ndarray, rows: list[np.ndarray], y: np.ndarray, seed: int = 7, shift: float = 0.0
-) -> dict[str, np.ndarray]:
-    """A model of the two views; ``y`` holds 0, 1, without a label -1 and, for rows to leave out, -2.
-
-    ``shift`` is what the log odds of class 1 are too low by in the sample (negative: too high).
-    """
+def divided(rows: list[np.ndarray], y: np.ndarray, seed: int) -> tuple[np.ndarray, np.ndarray, np.ndarray] | None:
+    """Labelled rows to calibrate on and to fit on, and the telling words; None without both classes."""
     known = np.flatnonzero(y >= 0)
     if len(known) < 20 or len(set(y[known].tolist())) < 2:
-        return {"prior": np.array([y[known].mean() if len(known) else 0.5])}
+        return None
     order = np.random.default_rng(seed).permutation(known)
     held, fit = order[: int(len(order) * HELD_OUT)], order[int(len(order) * HELD_OUT) :]
     if min(len(set(y[held].tolist())), len(set(y[fit].tolist()))) < 2:
         held = fit = known
-    chosen = telling([rows[i] for i in fit], y[fit])
-    views = [np.column_stack([content, presence(rows, chosen)]), _one_hot(codes)]
-    decay = (1.0, 5.0)
-    pool = np.flatnonzero(y == -1)
-    taught: list[dict[int, int]] = [{}, {}]
-    prior = chance(np.log(y[fit].mean() / (1 - y[fit].mean())) + shift)
-    for turn in range(ROUNDS + 1):
-        models = []
-        for view, extra, ridge in zip(views, taught, decay, strict=True):
-            at = np.concatenate([fit, np.array(list(extra), np.int64)])
-            models.append(logistic(view[at], np.concatenate([y[fit], list(extra.values())]), ridge))
-        if turn == ROUNDS or not len(pool):
-            break
-        for own, other in ((0, 1), (1, 0)):
-            p = chance(logits(views[own][pool], models[own]) + shift)
-            for value, sure, share in ((1, p, prior), (0, 1 - p, 1 - prior)):
-                best = np.argsort(-sure, kind="stable")[: max(1, int(TAUGHT * share))]
-                taught[other].update({int(pool[i]): value for i in best if sure[i] >= SURE})
+    return held, fit, telling([rows[i] for i in fit], y[fit])
+
+
+def fitted(views: list[np.ndarray], y: np.ndarray, fit: np.ndarray, taught: list[dict[int, int]]) -> list[np.ndarray]:
+    """A model per view, from the labelled rows and those that the other view has taught it."""
+    models = []
+    for view, extra, ridge in zip(views, taught, DECAY, strict=True):
+        at = np.concatenate([fit, np.array(list(extra), np.int64)])
+        models.append(logistic(view[at], np.concatenate([y[fit], list(extra.values())]), ridge))
+    return models
+
+
+def quotas(y: np.ndarray, shift: float) -> dict[int, int]:
+    """How many rows of each class a view may teach in a round."""
+    prior = chance(np.log(y.mean() / (1 - y.mean())) + shift)
+    return {1: max(1, int(TAUGHT * prior)), 0: max(1, int(TAUGHT * (1 - prior)))}
+
+
+def surest(p: np.ndarray, most: dict[int, int]) -> Iterator[tuple[int, np.ndarray]]:
+    """Of each class the rows that a view is most sure of, and sure enough."""
+    for value, sure in ((1, p), (0, 1 - p)):
+        best = np.argsort(-sure, kind="stable")[: most[value]]
+        yield value, best[sure[best] >= SURE]
+
+
+def completed(
+    views: list[np.ndarray], models: list[np.ndarray], y: np.ndarray, held: np.ndarray, shift: float
+) -> dict[str, np.ndarray]:
+    """The views, calibrated on rows that they were not fitted on, and their combination."""
     scores = [logits(view[held], model) for view, model in zip(views, models, strict=True)]
     calibrated = [logistic(s[:, None], y[held], 1e-3) for s in scores]
     both = np.column_stack([logits(s[:, None], c) for s, c in zip(scores, calibrated, strict=True)])
     combined = logistic(both, y[held], 0.1)
     combined[-1] += shift
+    return {"calibration": np.stack(calibrated), "combined": combined}
+
+
+def co_train(
+    content: np.ndarray, codes: np.ndarray, rows: list[np.ndarray], y: np.ndarray, seed: int = SEED, shift: float = 0.0
+) -> dict[str, np.ndarray]:
+    """A model of the two views of rows at hand, unlabelled ones (``y`` is -1) among them.
+
+    ``y`` holds 0, 1 and, for rows to leave out, -2. ``shift`` is what the log odds of class 1
+    are too low by in the sample (negative: too high).
+    """
+    parts = divided(rows, y, seed)
+    if parts is None:
+        known = y[y >= 0]
+        return {"prior": np.array([known.mean() if len(known) else 0.5])}
+    held, fit, chosen = parts
+    views = [np.column_stack([content, presence(rows, chosen)]), _one_hot(codes)]
+    pool, most = np.flatnonzero(y == -1), quotas(y[fit], shift)
+    taught: list[dict[int, int]] = [{}, {}]
+    models = fitted(views, y, fit, taught)
+    for _ in range(ROUNDS if len(pool) else 0):
+        for own, other in ((0, 1), (1, 0)):
+            p = chance(logits(views[own][pool], models[own]) + shift)
+            for value, best in surest(p, most):
+                taught[other].update({int(pool[i]): value for i in best})
+        models = fitted(views, y, fit, taught)
     return {
         "chosen": chosen,
         "content": models[0],
         "metadata": models[1],
-        "calibration": np.stack(calibrated),
-        "combined": combined,
+        **completed(views, models, y, held, shift),
     }
 
 
@@ -240,15 +283,14 @@ def _over(size: int) -> float:
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> dict[str, dict[str, np.ndarray]]:
-    """Models of the targets ``quality`` and ``toxic``, from bounded samples of both kinds of rows."""
+    """Models of the targets ``quality`` and ``toxic``, from a bounded sample of labelled rows and all others."""
     known = labels.where("doc_id IS NOT NULL").groupBy("doc_id").agg(
         F.max("quality").cast("int").alias("quality"), F.max("toxic").cast("int").alias("toxic")
     )
     ids = docs.where("doc_id IS NOT NULL").select("doc_id").distinct()
-    marked = ids.join(known, "doc_id", "left").withColumn("h", F.xxhash64("doc_id"))
-    has = F.col("quality").isNotNull() | F.col("toxic").isNotNull()
+    marked = ids.join(known, "doc_id").withColumn("h", F.xxhash64("doc_id"))
     strata = [F.struct(F.lit(t).alias("target"), (F.col(t) > 0).cast("int").alias("value"), F.col(t).alias("is")) for t in TARGETS]
-    cases = marked.where(has).select("*", F.explode(F.array(*strata)).alias("case")).where("case.is >= 0")
+    cases = marked.select("*", F.explode(F.array(*strata)).alias("case")).where("case.is >= 0")
     sizes = {(r["target"], r["value"]): r["count"] for r in cases.groupBy("case.target", "case.value").count().collect()}
     shifts = {t: _over(sizes.get((t, 1), 0)) - _over(sizes.get((t, 0), 0)) for t in TARGETS}
     by_hash = Window.partitionBy("case.target", "case.value").orderBy("h", "doc_id")
@@ -263,43 +305,189 @@ def fit(docs: DataFrame, labels: DataFrame) -> dict[str, dict[str, np.ndarray]]:
             for t in TARGETS
         )
     )
-    taken = drawn.unionByName(
-        marked.where(~has).orderBy("h", "doc_id").limit(UNLABELLED).select("doc_id", "h", *TARGETS)
-    )
-    # At most 4 * LABELLED + UNLABELLED small rows, whatever the table's size.
-    rows = docs.join(F.broadcast(taken), "doc_id").groupBy("doc_id", "h", "quality", "toxic").agg(
-        *(F.min(c).alias(c) for c in ("text", "source", "lang", "n_chars"))
-    )
+    # At most 4 * LABELLED small rows, whatever the table's size.
+    own = F.struct("text", "source", "lang", "n_chars")
+    rows = docs.join(F.broadcast(drawn), "doc_id").groupBy("doc_id", "h", *TARGETS).agg(F.min(own).alias("own"))
+    texts = rows.select("h", *TARGETS, "own.*")
+    shaped = texts.mapInArrow(_word_sets, "h long, quality int, toxic int, stats binary, codes binary, words binary")
+    labelled = stored(shaped, "labelled").withColumns(dict.fromkeys(("target", "view", "value", "turn"), F.lit(None).cast("int")))
+
+    def trained(rows: DataFrame, final: bool) -> dict[str, dict[str, np.ndarray]]:
+        def train(table: pa.Table) -> pa.Table:
+            return pa.table({"model": pa.array([_packed(_models(table, shifts, final))], pa.binary())})
+
+        found = rows.groupBy(F.lit(0).alias("all")).applyInArrow(train, "model binary").first()
+        return _unpacked(found["model"]) if found else {}
+
+    models = trained(labelled, final=False)
+    open_ = {t: m for t, m in models.items() if "prior" not in m}
+    if not open_:
+        return models
+    pool = stored(_pool(docs, known, {t: m["chosen"] for t, m in open_.items()}), "pool")
+    for turn in range(ROUNDS):
+        labelled = labelled.unionByName(
+            stored(_taught(pool, {t: models[t] for t in open_}, shifts, turn), "taught"), allowMissingColumns=True
+        )
+        models = trained(labelled, final=turn == ROUNDS - 1)
+    return models
 
-    def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def _word_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows with their numbers, and the buckets of their words, in place of texts."""
+    words, kind = Words(), _kinds()
+    for whole in batches:
+        for rows in portions(whole.column("text")):
+            batch = whole.slice(rows.start, rows.stop - rows.start)
+            found = words.spans(batch.column("text"), PREFIX)
+            hashed, bounds = buckets(found), zip(found.bounds[:-1], found.bounds[1:], strict=True)
+            sets = [np.unique(hashed[:, low:high]).astype(np.int32) for low, high in bounds]
+            numbers = (statistics(found, kind), metadata(batch), sets)
+            columns = [batch.column(n) for n in ("h", *TARGETS)]
+            columns += [pa.array([v.tobytes() for v in part], pa.binary()) for part in numbers]
+            yield pa.RecordBatch.from_arrays(columns, ["h", *TARGETS, "stats", "codes", "words"])
+
+
+def _numbers(column: pa.ChunkedArray | pa.Array, kind: type) -> np.ndarray:
+    """Equally long runs of numbers as a matrix."""
+    joined = b"".join(column.to_pylist())
+    return np.frombuffer(joined, kind).reshape(len(column), -1)
+
+
+def _models(table: pa.Table, shifts: dict[str, float], final: bool) -> dict[str, dict[str, np.ndarray]]:
+    """Models from labelled rows and rows that were taught (with the target and the view they are for)."""
+    labelled = table.filter(pc.is_null(table.column("target"))).sort_by([("h", "ascending")])
+    stats, codes = _numbers(labelled.column("stats"), np.float64), _numbers(labelled.column("codes"), np.int64)
+    sets = [np.frombuffer(v.as_py(), np.int32) for v in labelled.column("words")]
+    models = {}
+    for number, target in enumerate(TARGETS):
+        y = labelled.column(target).fill_null(-1).to_numpy()
+        parts = divided(sets, y, SEED)
+        if parts is None:
+            models[target] = {"prior": np.array([y[y >= 0].mean() if (y >= 0).any() else 0.5])}
+            continue
+        held, fit, chosen = parts
+        views = [np.column_stack([stats, presence(sets, chosen)]), _one_hot(codes)]
+        own = table.filter(pc.fill_null(pc.equal(table.column("target"), number), False))
+        own = own.sort_by([("turn", "ascending"), ("h", "ascending")])
+        lessons: list[dict[int, int]] = [{}, {}]
+        if len(own):
+            extra_codes = _one_hot(_numbers(own.column("codes"), np.int64))
+            present = [[np.frombuffer(v.as_py(), np.int32)] for v in own.column("words")]
+            hits = np.zeros((len(own), len(chosen)))
+            for row, (at,) in zip(hits, present, strict=True):
+                row[at] = 1
+            extra = [np.column_stack([_numbers(own.column("stats"), np.float64), hits]), extra_codes]
+            # A row that is taught again takes its newest label.
+            latest: dict[tuple, int] = {}
+            places = zip(own.column("view").to_pylist(), own.column("h").to_pylist(), strict=True)
+            for i, (view, h) in enumerate(places):
+                latest[view, h] = i
+            values = own.column("value").to_pylist()
+            for (view, _), i in latest.items():
+                lessons[view][len(y) + i] = values[i]
+            views = [np.concatenate([view, more]) for view, more in zip(views, extra, strict=True)]
+        fitted_models = fitted(views, y, fit, lessons)
+        models[target] = {"chosen": chosen, "content": fitted_models[0], "metadata": fitted_models[1]}
+        models[target]["known"] = np.array([y[fit].mean()])
+        if final:
+            models[target] |= completed(views, fitted_models, y, held, shifts[target])
+    return models
+
+
+def _pool(docs: DataFrame, known: DataFrame, chosen: dict[str, np.ndarray]) -> DataFrame:
+    """Every row that lacks a label of a target, by its numbers; rows of the same numbers once.
+
+    ``words_<target>`` has the places of the row's words among the telling ones.
+    """
+    names = [f"words_{t}" for t in chosen]
+
+    def numbers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, kind = Words(), _kinds()
         for whole in batches:
             for rows in portions(whole.column("text")):
                 batch = whole.slice(rows.start, rows.stop - rows.start)
                 found = words.spans(batch.column("text"), PREFIX)
-                hashed, bounds = buckets(found), zip(found.bounds[:-1], found.bounds[1:], strict=True)
-                sets = [np.unique(hashed[:, low:high]).astype(np.int32) for low, high in bounds]
-                numbers = (statistics(found, kind), metadata(batch), sets)
-                columns = [batch.column(n) for n in ("h", "quality", "toxic")]
-                columns += [pa.array([v.tobytes() for v in part], pa.binary()) for part in numbers]
-                yield pa.RecordBatch.from_arrays(columns, ["h", "quality", "toxic", "stats", "codes", "words"])
-
-    def train(table: pa.Table) -> pa.Table:
-        table = table.sort_by([("h", "ascending")])
-        stats = np.stack([np.frombuffer(v.as_py()) for v in table.column("stats")])
-        codes = np.stack([np.frombuffer(v.as_py(), np.int64) for v in table.column("codes")])
-        sets = [np.frombuffer(v.as_py(), np.int32) for v in table.column("words")]
-        models = {}
-        for target in TARGETS:
-            y = table.column(target).fill_null(-1).to_numpy()
-            models[target] = co_train(stats, codes, sets, y, shift=shifts[target])
-        return pa.table({"model": pa.array([_packed(models)], pa.binary())})
-
-    shaped = rows.select("h", "quality", "toxic", "text", "source", "lang", "n_chars").mapInArrow(
-        features, "h long, quality int, toxic int, stats binary, codes binary, words binary"
+                hashed = buckets(found)
+                present = {}
+                for target, telling_words in chosen.items():
+                    place = np.full(BUCKETS, -1, np.int32)
+                    place[telling_words] = np.arange(len(telling_words))
+                    hits = [place[h] for h in hashed]
+                    present[target] = [
+                        np.unique(np.concatenate([h[low:high][h[low:high] >= 0] for h in hits])).astype(np.int32)
+                        for low, high in zip(found.bounds[:-1], found.bounds[1:], strict=True)
+                    ]
+                parts = (statistics(found, kind), metadata(batch), *present.values())
+                columns = [batch.column("doc_id")]
+                columns += [pa.array([v.tobytes() for v in part], pa.binary()) for part in parts]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "stats", "codes", *names])
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    made = docs.mapInArrow(
+        numbers, f"doc_id {kind}, stats binary, codes binary, " + ", ".join(f"{n} binary" for n in names)
+    )
+    lacks = [F.col(t).isNull().alias(f"lacks_{t}") for t in chosen]
+    marked = made.join(known, "doc_id", "left").select("doc_id", "stats", "codes", *names, *lacks)
+    marked = marked.where(reduce(Column.__or__, [F.col(f"lacks_{t}") for t in chosen]))
+    same = ["stats", "codes", *names, *[f"lacks_{t}" for t in chosen]]
+    return marked.groupBy(*same).agg(F.min(F.xxhash64("doc_id")).alias("h"))
+
+
+def _taught(
+    pool: DataFrame, models: dict[str, dict[str, np.ndarray]], shifts: dict[str, float], turn: int
+) -> DataFrame:
+    """Of all rows of the pool the surest of each view, class and target, for the other view to learn."""
+    most = {
+        t: {v: max(1, int(TAUGHT * share)) for v, share in ((1, prior), (0, 1 - prior))}
+        for t, prior in (
+            (t, chance(np.log(m["known"][0] / (1 - m["known"][0])) + shifts[t])) for t, m in models.items()
+        )
+    }
+
+    def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            batch = batch.sort_by("h")  # noqa: PLW2901 - equally sure rows go by it
+            stats, codes = _numbers(batch.column("stats"), np.float64), _numbers(batch.column("codes"), np.int64)
+            for target, model in models.items():
+                lacking = batch.column(f"lacks_{target}").to_numpy(zero_copy_only=False)
+                weights, fixed = model["content"], stats.shape[1]
+                present = [np.frombuffer(v.as_py(), np.int32) for v in batch.column(f"words_{target}")]
+                known = np.array([weights[fixed + at].sum() for at in present])
+                scores = (
+                    stats @ weights[:fixed] + known + weights[-1],
+                    model["metadata"][codes].sum(axis=1) + model["metadata"][-1],
+                )
+                for view, score in enumerate(scores):
+                    p = chance(np.clip(score, -30, 30) + shifts[target])
+                    at = np.flatnonzero(lacking)
+                    # Of one batch no more can be among the surest of all.
+                    for value, best in surest(p[at], most[target]):
+                        rows, size = at[best], len(best)
+                        sure = p[rows] if value else 1 - p[rows]
+                        taken = batch.take(pa.array(rows))
+                        yield pa.RecordBatch.from_arrays(
+                            [
+                                pa.array(np.full(size, TARGETS.index(target), np.int32)),
+                                pa.array(np.full(size, 1 - view, np.int32)),
+                                pa.array(np.full(size, value, np.int32)),
+                                pa.array(np.full(size, turn, np.int32)),
+                                pa.array(sure),
+                                *[taken.column(n) for n in ("h", "stats", "codes", f"words_{target}")],
+                            ],
+                            ["target", "view", "value", "turn", "sure", "h", "stats", "codes", "words"],
+                        )
+
+    found = pool.mapInArrow(
+        candidates,
+        "target int, view int, value int, turn int, sure double, h long, stats binary, codes binary, words binary",
     )
-    found = shaped.groupBy(F.lit(0).alias("all")).applyInArrow(train, "model binary").first()
-    return _unpacked(found["model"]) if found else {}
+    case = Window.partitionBy("target", "view", "value").orderBy(F.desc("sure"), "h", "stats", "codes", "words")
+    bound = F.lit(0)
+    for t, own in most.items():
+        for value, size in own.items():
+            bound = F.when((F.col("target") == TARGETS.index(t)) & (F.col("value") == value), size).otherwise(bound)
+    ranked = found.withColumn("place", F.row_number().over(case)).where(F.col("place") <= TAUGHT)
+    return ranked.where(F.col("place") <= bound).drop("place", "sure")
 
 
 def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from hotdesk.llm import quality
@@ -60,3 +61,57 @@ def test_odd_rows(spark):
     assert kept.columns == docs.columns and kept.count() == 3
     assert {r.quality_score for r in quality.digest(docs, labels.limit(0)).collect()} == {0.5}
     assert quality.digest(docs.limit(0), labels).collect() == []
+
+
+def labelled_few(spark, unlabelled: int, told: int):
+    """Few labelled rows of one source; the last ``told`` rows have others, and words that tell their class best."""
+    rng = np.random.default_rng(4)
+    rows, labels = [], []
+    for i in range(unlabelled + 120):
+        good = int(rng.random() < 0.5)
+        late = i >= unlabelled + 120 - told
+        words = ["".join(rng.choice(list("wW5"), n)) for n in rng.integers(1, 60, 25)] + [("poor", "fine")[good]]
+        if late or (i < 120 and rng.random() < 0.5):
+            words.append(("awful", "great")[good])
+        rows.append((i, " ".join(words), "en", ("bad", "good")[good] if late else "mixed", 100))
+        if i < 120:
+            labels.append((i, good, i % 2))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    return docs, spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+
+
+def sources(*names: str) -> np.ndarray:
+    rows = [{"text": "x", "lang": "en", "source": name, "n_chars": 100} for name in names]
+    return quality.metadata(pa.RecordBatch.from_pylist(rows))
+
+
+def test_every_unlabelled_row_is_asked(spark):
+    """Of 20,000 unlabelled rows the 60 that teach the metadata view its sources are found."""
+    docs, labels = labelled_few(spark, 20_000, 60)
+    model = quality.fit(docs, labels)["quality"]
+    good, bad = model["metadata"][sources("good", "bad")].sum(axis=1)
+    assert good > bad + 0.5
+
+
+def test_rounds_on_spark_are_those_of_one_machine(spark):
+    """The distributed rounds and the plain ones, on the same rows, end in the same models."""
+    docs, labels = labelled_few(spark, 700, 350)
+    found = quality.fit(docs, labels)["quality"]
+    known = {r.doc_id: r.quality for r in labels.collect()}
+    rows = docs.withColumn("h", F.xxhash64("doc_id")).orderBy("h").collect()
+    batch = pa.RecordBatch.from_pylist([r.asDict() for r in rows])
+    words, kind = quality.Words(), quality._kinds()
+    spans = words.spans(batch.column("text"), quality.PREFIX)
+    hashed = quality.buckets(spans)
+    sets = [np.unique(hashed[:, a:b]).astype(np.int32) for a, b in zip(spans.bounds[:-1], spans.bounds[1:])]
+    stats, codes = quality.statistics(spans, kind), quality.metadata(batch)
+    # Labelled rows first, as the sample has them.
+    order = [i for i, r in enumerate(rows) if r.doc_id in known] + [i for i, r in enumerate(rows) if r.doc_id not in known]
+    y = np.array([known.get(rows[i].doc_id, -1) for i in order])
+    plain = quality.co_train(stats[order], codes[order], [sets[i] for i in order], y)
+    assert (plain["chosen"] == found["chosen"]).all()
+    for part in ("content", "metadata", "combined"):
+        assert np.allclose(plain[part], found[part], atol=1e-6), part
+    # Sources that no labelled row has are told apart: the content view taught them.
+    good, bad = found["metadata"][sources("good", "bad")].sum(axis=1)
+    assert good > bad + 0.5

@@ -70,13 +70,14 @@ def best(rows: np.ndarray, ids: np.ndarray, queries: np.ndarray, own: np.ndarray
             first = alive[np.argpartition(partial, -PROBES)[-PROBES:]] if PROBES >= k else alive
             bound = np.partition(query @ rows[:, first], -k)[-k]
         else:
-            bound = -np.inf
+            bound = None
         for i, cut in enumerate(cuts):
             if i:
                 partial = partial + query[cut : cut + DIMENSIONS] @ rows[cut : cut + DIMENSIONS, alive]
-            reach = query_rest[i][q] * row_rest[i][alive] * (1 + 1e-9) + 1e-6
-            keep = partial + reach >= bound
-            alive, partial = alive[keep], partial[keep]
+            if bound is not None:
+                # The difference is exact; it is compared with what the rest can add, rounded up.
+                keep = bound - partial <= query_rest[i][q] * row_rest[i][alive] * (1 + 1e-9) + 1
+                alive, partial = alive[keep], partial[keep]
         top = np.lexsort((ids[alive], -partial))[:k]
         found.append((np.full(len(top), q), alive[top], partial[top].astype(np.int64)))
     return (np.concatenate(part) for part in zip(*found, strict=True))

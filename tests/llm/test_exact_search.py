@@ -50,3 +50,18 @@ def test_odd_rows(spark):
     own = [(0, 1, 50, 65536), (0, 2, 7, 0)]
     assert found == sorted([*own, *own, (50, 1, 0, 65536), (50, 2, 0, 65536), (50, 3, 7, 0)])
     assert exact_search.nearest(table.limit(0)).collect() == []
+
+
+def test_scores_beyond_floats_are_exact():
+    """Large dimensions first, small ones behind them: scores differ below the precision of a float."""
+    for seed in range(200):
+        rng = np.random.default_rng(seed)
+        large = rng.integers(180_000_000, 200_000_000, (1, 16)) + rng.integers(0, 2, (60, 16))
+        vectors = np.column_stack([large, rng.integers(-300, 300, (60, 32))])
+        ids = rng.permutation(60)
+        q, at, score = exact_search.best(vectors.T.copy(), ids, vectors[:2].T.copy(), ids[:2], 5)
+        for query in range(2):
+            scores, others = vectors @ vectors[query], np.flatnonzero(ids != ids[query])
+            best = others[np.lexsort((ids[others], -scores[others]))[:5]]
+            assert at[q == query].tolist() == best.tolist() and (score[q == query] == scores[best]).all()
+            assert abs(scores).max() > 1 << 53

@@ -20,7 +20,6 @@ ODD = ["a" * 5000, " " * 9000, "日本" * 3000, "\n" * 999 + "x", " ½²Ⅷ x",
 @pytest.fixture(scope="module")
 def reference():
     tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    tokenizer.encode_special_tokens = True
     return lambda text: (tokenizer.encode(text, add_special_tokens=False).ids if text else []) + [0]
 
 
@@ -40,6 +39,16 @@ def test_ids_are_those_of_the_named_vocabulary(reference, monkeypatch):
         assert encode(text).tolist() == reference(text)
 
 
+def test_the_special_token_is_one_id(reference, monkeypatch):
+    monkeypatch.setattr(tokens, "BLOCK", 20)
+    mark, encode = "<|endoftext|>", tokens.encoder()
+    texts = [mark, f"{mark}{mark}", f"Hello, {mark} there", f"{mark} x", f"x  {mark}", f"a b {mark}  {mark}\n{mark}"]
+    texts += ["many words " * n + mark + " more words" * 5 for n in range(1, 6)]  # at the edges of blocks
+    for text in texts:
+        assert encode(text).tolist() == reference(text) and 50256 in encode(text)
+    assert 50256 not in tokens.encoder(special={})(mark).tolist()
+
+
 def test_every_id_lies_in_one_piece(docs, reference):
     pieces, sequences = defaultdict(list), defaultdict(list)
     for row in packing.digest(docs).collect():

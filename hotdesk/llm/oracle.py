@@ -70,7 +70,7 @@ found AS (
     ELSE len(regexp_extract_all(hit, '[0-9]')) >= 4
          AND len(regexp_extract_all(hit, '[A-Za-z]')) >= 4 AND len(list_distinct(string_split(hit, ''))) >= 10 END),
 known AS (
-  SELECT value, count(DISTINCT owner) <= 1 AND count(DISTINCT doc_id) <= 3 AS live
+  SELECT value, count(DISTINCT owner) <= 1 AS live
   FROM found GROUP BY value),
 base AS (SELECT * FROM found WHERE kind <> 'live'),
 shown AS (

@@ -1,7 +1,7 @@
 """Times the steps that must stand a hot key: a third of the rows on one key, against even keys.
 
 ``python skew.py [rows]`` prints the seconds of two warm runs each. With ``hot day`` the hot
-key's rows lie on one day besides.
+key's rows lie on one day besides, with ``hot hour`` in one hour.
 """
 
 from __future__ import annotations
@@ -19,9 +19,8 @@ from hotdesk.operators.incremental import latest_per_key
 SECOND = "TIMESTAMP_NTZ '2001-01-01 00:00:00' + make_dt_interval(0, 0, 0, CAST({} AS DOUBLE))"
 
 
-def rows_with(spark: SparkSession, count: int, hot: bool, one_day: bool) -> DataFrame:
+def rows_with(spark: SparkSession, count: int, hot: bool, span: int) -> DataFrame:
     key = F.col("id") % 100_000 + 1
-    span = 86_400 if one_day else 86_400 * 365
     return spark.range(count).select(
         "id",
         (F.when(F.col("id") % 3 == 0, 0).otherwise(key) if hot else key).alias("k"),
@@ -43,7 +42,12 @@ def steps(rows: DataFrame) -> dict[str, DataFrame]:
 def main() -> None:
     count = int(sys.argv[1]) if len(sys.argv) > 1 else 6_000_000
     spark = session("8")
-    for name, shape in {"hot key": (True, False), "hot day": (True, True), "even keys": (False, False)}.items():
+    for name, shape in {
+        "hot hour": (True, 3600),
+        "hot key": (True, 86_400 * 365),
+        "hot day": (True, 86_400),
+        "even keys": (False, 86_400 * 365),
+    }.items():
         for step, rows in steps(rows_with(spark, count, *shape)).items():
             seconds = []
             for _ in range(3):

@@ -16,7 +16,7 @@ from hotdesk.llm.tables import read, stored
 
 def test_every_operator_is_registered():
     numbers = sorted(int(name[2:].split("_")[0]) for name in QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert {*QUERIES, "pipeline"} <= registered.queries().keys()
     assert ORACLE.keys() <= registered.oracle_sql().keys()
 
@@ -24,7 +24,7 @@ def test_every_operator_is_registered():
 @pytest.mark.parametrize("name", ORACLE)
 def test_twins(spark, sf_dir, name):
     connection = duckdb.connect()
-    for table in ("documents", "embeddings"):
+    for table in ("documents", "embeddings", "conversations"):
         connection.execute(f"CREATE VIEW {table} AS SELECT * FROM '{sf_dir}/{table}.parquet'")
     assert differences(QUERIES[name](spark, sf_dir), connection, ORACLE[name]) == []
 

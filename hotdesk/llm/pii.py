@@ -5,7 +5,8 @@ kinds are reported when a checksum confirms them (iban) or their score, after co
 ``MIN_SCORE``, and they touch no base span. DataFrame functions only; a row is scanned on its own, nothing is shuffled.
 
 Defined results: NULL text counts as empty; no hits give empty arrays; repeated rows are
-scanned each on its own; a text of any length is scanned whole.
+scanned each on its own; a text of any length is scanned whole, in time that grows with its
+length and hits (and the sorting of those). Accounts are proposed in capitals only.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from hotdesk.llm.spans import Kind, apart_from, joined, labelled, with_hits
+from hotdesk.llm.spans import Kind, joined, labelled, merged, with_apart, with_hits, without_inner
 
 # Score of a proposal before and after context, and what is reported.
 MIN_SCORE = 0.6
@@ -91,15 +92,9 @@ def _account(span: Column) -> Column:
 
 
 def _accounts(hits: Column) -> Column:
-    """The hits that begin an account, each with the account's end; one inside an earlier account goes."""
+    """The hits that begin an account, each with the account's end."""
     whole = F.transform(hits, lambda s: F.struct(s["start"].alias("start"), (s["start"] + _account(s)).alias("end")))
-    found = F.filter(whole, lambda s: s["end"].isNotNull())
-
-    def apart(done: Column, s: Column) -> Column:
-        inside = (F.size(done) > 0) & (s["start"] < F.get(done, F.size(done) - 1)["end"])
-        return F.when(inside, done).otherwise(F.concat(done, F.array(s)))
-
-    return F.aggregate(found, F.array().cast("array<struct<start:int,end:int>>"), apart)
+    return F.filter(whole, lambda s: s["end"].isNotNull())
 
 
 BASE = (
@@ -133,6 +128,8 @@ IBAN = Kind(
 )
 #: Characters behind its first signs that hold the longest account, written sign by sign, and one more.
 REACH = 2 * 30 + 1
+#: Characters of a block from which the texts between replaced spans are cut.
+CUT = 512
 
 # Kinds by context: score before it, words that raise it (as parts of words too: German compounds)
 # and whole words that lower it.
@@ -161,9 +158,6 @@ ADDED = (
     ),
 )
 
-_SPANS = "array<struct<start:int,rank:int,kind:string,end:int>>"
-
-
 def _sure(score: float, up: str, down: str) -> Callable[[Column], Column]:
     """Whether the score, moved by the words near a span, reaches the least one.
 
@@ -197,14 +191,16 @@ def scan(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id",
     rows = with_hits(rows, "text", IBAN, "hits_iban", REACH)
     for kind, *_ in ADDED:
         rows = with_hits(rows, "text", kind, f"hits_{kind.name}", CONTEXT)
-    likely = [labelled(_accounts(F.col("hits_iban")), IBAN.name, len(BASE))]
+    rows = rows.withColumn("accounts", _accounts(F.col("hits_iban")))
+    # One that begins inside an earlier account goes.
+    likely = [labelled(without_inner(F.col("accounts")), IBAN.name, len(BASE))]
     likely += [
         labelled(F.filter(f"hits_{kind.name}", _sure(score, up, down)), kind.name, len(BASE) + i)
         for i, (kind, score, up, down) in enumerate(ADDED, 1)
     ]
     rows = rows.withColumn("likely", F.concat(*likely))
-    rows = rows.drop("hits_iban", *(f"hits_{k.name}" for k, *_ in ADDED))
-    return rows.withColumn("added", apart_from(F.col("likely"), F.col("base"))).drop("likely")
+    rows = rows.drop("hits_iban", "accounts", *(f"hits_{k.name}" for k, *_ in ADDED))
+    return with_apart(rows, "likely", "base", "added").drop("likely")
 
 
 def digest(docs: DataFrame) -> DataFrame:
@@ -228,32 +224,25 @@ def redact(docs: DataFrame, text: str = "text", length: str | None = "n_chars")
     ``length``, where the table has it, is counted anew for changed texts.
     """
     rows = scan(docs, text, tuple(docs.columns))
-    ordered = F.array_sort(F.concat("base", "added"))
-    rows = rows.withColumn("ordered", ordered)
-    # Spans that begin before an earlier one ends are swallowed by it.
-
-    def swallow(done: Column, s: Column) -> Column:
-        last = F.get(done, F.size(done) - 1)
-        longer = last.withField("end", F.greatest(last["end"], s["end"]))
-        return F.when(
-            (F.size(done) > 0) & (s["start"] < last["end"]),
-            F.concat(F.slice(done, 1, F.size(done) - 1), F.array(longer)),
-        ).otherwise(F.concat(done, F.array(s)))
-
-    merged = F.aggregate("ordered", F.array().cast(_SPANS), swallow)
-    rows = rows.withColumn("merged", F.when(F.size("ordered") > 0, merged)).drop("ordered")
-    body = F.col("text")
-
-    def part(s: Column, i: Column) -> Column:
-        begin = F.when(i > 0, F.get(F.col("merged"), i - 1)["end"]).otherwise(0)
-        return F.concat(
-            F.substring(body, begin + 1, s["start"] - begin), F.lit("["), F.upper(s["kind"]), F.lit("]")
-        )
-
-    last = F.get(F.col("merged"), F.size("merged") - 1)["end"]
-    tail = F.substring(body, last + 1, F.length(body))
-    clean = F.concat(F.array_join(F.transform("merged", part), ""), tail)
-    rows = rows.select("doc", F.when(F.col("merged").isNotNull(), clean).alias("clean"))
+    rows = rows.withColumn("spans", F.concat("base", "added"))
+    rows = rows.withColumn("runs", F.when(F.size("spans") > 0, merged("spans")))
+    # What lies between the runs is cut from blocks of the text, so no cut walks all of it.
+    blocks = F.regexp_extract_all("text", F.lit(f"(?s).{{1,{CUT}}}"), F.lit(0))
+    rows = rows.withColumn("blocks", F.when(F.col("runs").isNotNull(), blocks))
+
+    def cut(begin: Column, end: Column) -> Column:
+        first = F.floor(begin / CUT).cast("int")
+        own = F.slice(F.col("blocks"), first + 1, F.floor(end / CUT).cast("int") - first + 1)
+        return F.substring(F.array_join(own, ""), begin - first * CUT + 1, end - begin)
+
+    def part(run: Column, i: Column) -> Column:
+        begin = F.when(i > 0, F.get(F.col("runs"), i - 1)["end"]).otherwise(0)
+        return F.concat(cut(begin, run["start"]), F.lit("["), F.upper(run["kind"]), F.lit("]"))
+
+    last = F.get(F.col("runs"), F.size("runs") - 1)["end"]
+    tail = F.substring("text", last + 1, F.length("text"))
+    clean = F.concat(F.array_join(F.transform("runs", part), ""), tail)
+    rows = rows.select("doc", F.when(F.size("blocks") > 0, clean).alias("clean"))
     out = []
     for name in docs.columns:
         old = F.col("doc").getField(name)

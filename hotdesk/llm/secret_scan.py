@@ -10,14 +10,15 @@ Values are aggregated per (hash, owner, repository) before they are counted, so
 third of all rows costs one row per task. DataFrame functions only.
 
 Defined results: NULL text counts as empty; a NULL owner is an owner of its own; repeated
-rows are scanned each on its own, and count once as owner and repository.
+rows are scanned each on its own, and count once as owner and repository; a text of any length
+is scanned whole, in time that grows with its length and the sorting of its hits.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from hotdesk.llm.spans import Kind, apart_from, joined, labelled, with_hits
+from hotdesk.llm.spans import Kind, joined, labelled, with_apart, with_hits
 from hotdesk.llm.tables import stored
 
 _ASSIGN = (
@@ -121,10 +122,11 @@ def scan(
     )
     rows = found.select("row", "doc", "base").join(judged, "row", "left")
     none = F.array().cast(found.schema["base"].dataType)
+    rows = with_apart(rows.withColumn("live", F.coalesce("live", none)), "live", "base", "added")
     return rows.select(
         "doc",
         "base",
-        apart_from(F.coalesce("live", none), F.col("base")).alias("added"),
+        "added",
         F.coalesce("live_values", F.lit(0)).alias("live_values"),
         F.coalesce("example_values", F.lit(0)).alias("example_values"),
     )

@@ -32,6 +32,18 @@ _NUMBERED = (
 )
 
 
+#: Signs of an account by country, from the public IBAN registry.
+ACCOUNT_LENGTHS = """
+AD24 AE23 AL28 AT20 AZ28 BA20 BE16 BG22 BH22 BI27 BR29 BY28 CH21 CR22 CY28 CZ24 DE22 DJ27 DK18 DO28 EE20 EG29 ES24
+FI18 FK18 FO18 FR27 GB22 GE22 GI23 GL18 GR27 GT28 HR21 HU28 IE22 IL23 IQ23 IS26 IT27 JO30 KW30 KZ20 LB28 LC32 LI21
+LT20 LU20 LV21 LY25 MC27 MD24 ME22 MK19 MN20 MR27 MT31 MU30 NI28 NL18 NO15 OM23 PK24 PL28 PS29 PT25 QA29 RO24 RS22
+RU33 SA24 SC31 SD18 SE24 SI19 SK24 SM27 SO23 ST25 SV28 TL23 TN24 TR26 UA29 VA22 VG24 XK20
+"""
+_LENGTHS = F.expr(
+    "map(" + ", ".join(f"'{entry[:2]}', {entry[2:]}" for entry in ACCOUNT_LENGTHS.split()) + ")"
+)
+
+
 def _digits(value: Column) -> Column:
     return F.regexp_replace(value, "[^0-9]", "")
 
@@ -74,19 +86,18 @@ def _card(span: Column) -> Column:
 
 
 def _account(span: Column) -> Column:
-    """The signs of the longest account that begins with the span and passes modulo 97, or NULL.
+    """The signs of the account that begins with the span, passes modulo 97 and is as long as its country's are, or NULL.
 
     An account ends where one of its groups does, so what is written behind it is no part of it.
     """
+    signs = F.element_at(_LENGTHS, F.left(span["value"], F.lit(2)))
     near = F.concat(span["value"], span["right"])
     groups = F.split(F.regexp_extract(near, r"^(?:\x20?[A-Z0-9]++(?![A-Za-z0-9]))++", 0), " ")
 
     def length(count: Column) -> Column:
         own = F.slice(groups, F.lit(1), count)
         bare = F.array_join(own, "")
-        return F.when(
-            F.length(bare).between(15, 34), F.when(mod97(bare), F.length(F.array_join(own, " ")))
-        )
+        return F.when(F.length(bare) == signs, F.when(mod97(bare), F.length(F.array_join(own, " "))))
 
     return F.array_max(F.transform(F.sequence(F.lit(1), F.size(groups)), length))
 

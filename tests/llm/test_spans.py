@@ -81,6 +81,18 @@ def test_accounts_end_where_their_checksum_does(spark):
     assert found[len(texts) - 1] == "iban:0:22,iban:23:45"
 
 
+def test_accounts_have_the_length_of_their_country(spark):
+    def checked(country, rest):
+        number = "".join(str(int(sign, 36)) for sign in f"{rest}{country}00")
+        return f"{country}{98 - int(number) % 97:02}{rest}"
+
+    good = [checked("NO", "86011117947"), checked("FR", "20041010050500013M02606")]
+    other = [checked("NO", "8601111794700"), checked("ZZ", "370400440532013000"), checked("DE", "3704004405320130")]
+    docs = spark.createDataFrame(list(enumerate([*good, *other])), "doc_id int, text string")
+    found = {r.doc_id: "iban" in r.spans for r in pii.digest(docs).collect()}
+    assert found == {0: True, 1: True, 2: False, 3: False, 4: False}
+
+
 def test_context_reaches_over_neighbours_and_lowers_by_whole_words(spark):
     texts = [
         "SSN 123-45-6789, 234-56-7890, 345-67-8901",

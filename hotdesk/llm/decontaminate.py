@@ -1,8 +1,11 @@
 """Benchmark leaks: rare n-gram seeds find passages, Smith-Waterman alignment scores them.
 
 Words are runs of letters and digits in lower case. Every item of the benchmark names its
-n-grams that few items share (and always its ``LEAST`` rarest) as seeds; an item of which fewer
-than half are so rare, as in groups of near-equal items, names all. Where at least two
+n-grams that few items share as seeds, and in every stretch of it at least the ``LEAST`` rarest
+ones (all, where fewer than half of the stretch are so rare, as in groups of near-equal items).
+A passage that can reach the least similarity holds a whole stretch, so seeds are found wherever it is cut
+out; a passage kept word for word is never missed, an edited one only where the
+edits leave less than two seeds. Where at least two
 seeds of an item, or all it has, lie in a document at about the distance they have in the
 item, the words around are aligned with the item; copies with words changed, dropped or
 inserted keep most of the score. ``similarity`` is the best local score over that of the
@@ -12,8 +15,9 @@ The benchmark is read in blocks of bounded size that travel to the tasks; every
 scanned whole against each block. Nothing of the corpus is shuffled or collected.
 
 Defined results: NULL and empty texts match nothing; items without words match nothing; items
-of fewer than ``GRAM`` words have themselves as their only seed; repeated rows match each on
-its own; equal items match both.
+of fewer than ``GRAM`` words have themselves as their only seed, and items of fewer than
+``least_words`` match nothing (an item "Yes" would match most of a corpus); repeated rows match
+each on its own; equal items match both.
 """
 
 from __future__ import annotations
@@ -28,7 +32,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from hotdesk.llm.tables import stored
 from hotdesk.llm.words import SIGNS, Words, grams, portions
 
-#: Words of a seed, items that may share it, seeds every item keeps, words of a block of items.
+#: Words of a seed, items that may share it, seeds every stretch keeps, words of a block of items.
 GRAM, RARE, LEAST, BLOCK = 3, 4, 8, 1 << 20
 MATCH, MISMATCH, GAP = 2, -1, -1
 #: Least similarity of a leak; alignments that are computed together.
@@ -49,7 +53,16 @@ class Items(NamedTuple):
     seed_count: np.ndarray
 
 
-def seeds(benchmark: DataFrame) -> DataFrame:
+def stretch(words: int, least: float) -> int:
+    """N-grams of a stretch: any passage of an item that can reach the similarity holds a whole one.
+
+    ``least`` of the words must match, so the passage has at least as many n-grams less
+    ``GRAM`` - 1; stretches of half of that lie whole in it wherever it begins.
+    """
+    return max(1, (int(np.ceil(least * words)) - GRAM + 2) // 2)
+
+
+def seeds(benchmark: DataFrame, least: float = SIMILARITY) -> DataFrame:
     """Rows (item, at, gram, place): the seeds of each item; ``at`` tells rows of one id apart."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -59,25 +72,31 @@ def seeds(benchmark: DataFrame) -> DataFrame:
             for row, (low, high) in enumerate(zip(bounds[:-1], bounds[1:], strict=True)):
                 found = grams(hashes[low:high], min(GRAM, high - low)) if high > low else hashes[:0]
                 item, at = (pa.array([batch.column(n)[row].as_py()] * len(found), pa.int64()) for n in ("item", "at"))
-                columns = [item, at, pa.array(found.view(np.int64)), pa.array(np.arange(len(found)))]
-                yield pa.RecordBatch.from_arrays(columns, ["item", "at", "gram", "place"])
+                place = np.arange(len(found))
+                own = place // stretch(int(high - low), least)
+                columns = [item, at, pa.array(found.view(np.int64)), pa.array(place), pa.array(own)]
+                yield pa.RecordBatch.from_arrays(columns, ["item", "at", "gram", "place", "stretch"])
 
-    every = benchmark.select("item", "at", "text").mapInArrow(work, "item long, at long, gram long, place long")
+    every = benchmark.select("item", "at", "text").mapInArrow(
+        work, "item long, at long, gram long, place long, stretch long"
+    )
     by_gram = every.groupBy("gram").agg(F.count_distinct("item", "at").alias("items"))
-    by_rarity = Window.partitionBy("item", "at").orderBy("items", "gram", "place")
-    ranked = every.join(by_gram, "gram").withColumn("rank", F.row_number().over(by_rarity))
-    rare, own = F.col("items") <= RARE, Window.partitionBy("item", "at")
+    own = Window.partitionBy("item", "at", "stretch")
+    ranked = every.join(by_gram, "gram").withColumn("rank", F.row_number().over(own.orderBy("items", "gram", "place")))
+    rare = F.col("items") <= RARE
     ranked = ranked.withColumn("few", 2 * F.count(F.when(rare, 1)).over(own) < F.count("*").over(own))
     return ranked.where(rare | (F.col("rank") <= LEAST) | F.col("few")).select("item", "at", "gram", "place")
 
 
-def blocks(benchmark: DataFrame, item_id: str, text: str) -> Iterator[Items]:
-    """The benchmark in blocks of about ``BLOCK`` words."""
+def blocks(
+    benchmark: DataFrame, item_id: str, text: str, least: float = SIMILARITY, least_words: int = 1
+) -> Iterator[Items]:
+    """The benchmark in blocks of about ``BLOCK`` words, without items of fewer than ``least_words`` words."""
     items = benchmark.select(
         F.col(item_id).cast("long").alias("item"), F.lower(text).alias("text"), F.xxhash64(text).alias("at")
     )
     items = stored(items.where("item IS NOT NULL AND text IS NOT NULL").distinct(), "benchmark")
-    found = stored(seeds(items), "seeds")
+    found = stored(seeds(items, least), "seeds")
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     count = max(1, -(-size // (8 * BLOCK)))
     for block in range(count):
@@ -88,6 +107,7 @@ def blocks(benchmark: DataFrame, item_id: str, text: str) -> Iterator[Items]:
         row = {(r["item"], r["at"]): i for i, r in enumerate(texts)}
         words, bounds = Words(SIGNS).of(pa.array([r["text"] for r in texts], pa.string()))
         listed = sorted((r["gram"], row[r["item"], r["at"]], r["place"]) for r in found.where(own).collect())
+        listed = [seed for seed in listed if bounds[seed[1] + 1] - bounds[seed[1]] >= least_words]
         columns = np.array(listed, np.int64).reshape(-1, 3)
         gram = columns[:, 0].view(np.uint64)
         order = np.argsort(gram, kind="stable")
@@ -213,13 +233,13 @@ def matcher(items: Items, least: float):
 
 def leaks(
     docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id",
-    item_text: str = "text", least: float = SIMILARITY,
+    item_text: str = "text", least: float = SIMILARITY, least_words: int = 1,
 ) -> DataFrame:
     """A row per document row and item that leaks into it: doc_id, item_id, similarity, seeds and the words
     (from 0, end exclusive) that were aligned."""
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.lower(text).alias("text"))
     out = rows.select("doc_id", F.lit(None).cast(MATCHES).alias("m")).where("false")
-    for items in blocks(benchmark, item_id, item_text):
+    for items in blocks(benchmark, item_id, item_text, least, least_words):
         out = out.unionByName(rows.select("doc_id", matcher(items, least)("text").alias("m")))
     return out.select("doc_id", F.explode("m").alias("m")).select(
         "doc_id", F.col("m.item").alias("item_id"), "m.similarity", "m.seeds", "m.first_word", "m.last_word"
@@ -228,13 +248,13 @@ def leaks(
 
 def without_leaks(
     docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text",
-    least: float = SIMILARITY,
+    least: float = SIMILARITY, least_words: int = 1,
 ) -> DataFrame:
     """The documents into which no item leaks, with all columns.
 
     Further blocks of a large benchmark go over what the one before left, written to the shared folder.
     """
-    for i, items in enumerate(blocks(benchmark, item_id, item_text)):
+    for i, items in enumerate(blocks(benchmark, item_id, item_text, least, least_words)):
         rows = (stored(docs, "clean") if i else docs).select(F.struct("*").alias("doc"))
         found = matcher(items, least)(F.lower(F.col(f"doc.{text}")))
         docs = rows.select("doc", found.alias("m")).where(F.size("m") == 0).select("doc.*")

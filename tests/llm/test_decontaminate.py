@@ -72,6 +72,49 @@ def test_edited_copies_of_near_equal_items(spark):
     assert len(expected) > 200 and {(r.doc_id, r.item_id) for r in found} == expected
 
 
+def test_passages_of_words_that_items_share(spark):
+    """Items with just over half of their words their own: the shared rest alone is found too."""
+    common = [f"c{i}" for i in range(27)]
+    items = [[f"own{i}x{j}" for j in range(33)] + common for i in range(6)]
+    benchmark = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(items)], "item_id long, text string")
+    docs = spark.createDataFrame([(1, " ".join(["a", *common, "b"])), (2, " ".join(common[:20]))], "doc_id long, text string")
+    found = {(r.doc_id, r.item_id, r.similarity) for r in decontaminate.leaks(docs, benchmark).collect()}
+    assert found == {(1, i, 0.45) for i in range(6)}
+
+
+def test_recall_over_mixed_items(spark):
+    """Of all pairs that plain alignment finds in cut and edited copies, at least 0.95 are found, and no others."""
+    rng = random.Random(9)
+    shared = [[f"s{k}w{i}" for i in range(30)] for k in range(3)]
+    items = [
+        [f"o{i}w{j}" for j in range(rng.randrange(5, 40))] + rng.choice(shared)[: rng.randrange(10, 31)] for i in range(40)
+    ]
+    docs = []
+    for doc in range(160):
+        own = list(rng.choice(items))
+        low = rng.randrange(len(own) // 2)
+        own = own[low : low + rng.randrange(len(own) // 3, len(own))]
+        own = [w if rng.random() > 0.15 else f"edit{rng.randrange(900)}" for w in own]
+        docs.append((doc, " ".join([f"x{i}" for i in range(40)] + own + [f"y{i}" for i in range(40)])))
+    benchmark = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(items)], "item_id long, text string")
+    rows = decontaminate.leaks(spark.createDataFrame(docs, "doc_id long, text string"), benchmark).collect()
+    least = decontaminate.SIMILARITY * decontaminate.MATCH
+    expected = {
+        (doc, i) for doc, text in docs for i, t in enumerate(items)
+        if brute.local_score(t, text.split()) >= least * len(t)
+    }
+    found = {(r.doc_id, r.item_id) for r in rows}
+    assert found <= expected and len(found) >= 0.95 * len(expected)
+
+
+def test_short_items_are_left_out_by_parameter(spark):
+    benchmark = spark.createDataFrame([(1, "Yes"), (2, "a longer one here")], "item_id long, text string")
+    docs = spark.createDataFrame([(1, "fine day yes it is"), (2, "x a longer one here y")], "doc_id long, text string")
+    kept = decontaminate.without_leaks(docs, benchmark, least_words=3).collect()
+    assert [r.doc_id for r in kept] == [1]
+    assert {r.doc_id for r in decontaminate.leaks(docs, benchmark).collect()} == {1, 2}
+
+
 def test_odd_rows(spark):
     items = [(1, "Alpha beta gamma delta epsilon zeta eta theta"), (2, "short one"), (3, ""), (4, None), (5, "uno")]
     benchmark = spark.createDataFrame([*items, (None, "x y z q")], "item_id long, text string")

@@ -6,7 +6,7 @@ columns of ``documents``:
 
 1. quality: documents that the co-trained classifier rejects (poor or toxic) go;
 2. near duplicates: of documents linked at 80 percent of their 5-word shingles one stays;
-3. decontamination: documents into which a benchmark item leaks go;
+3. decontamination: documents into which a benchmark item of three words or more leaks go;
 4. personal data: spans are replaced by their kind, texts change, no document goes;
 5. packing: the ids of all texts, in sequences of 1024.
 
@@ -34,7 +34,7 @@ def unique(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def unleaked(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return decontaminate.without_leaks(docs, read(spark, sf_dir, "benchmark"))
+    return decontaminate.without_leaks(docs, read(spark, sf_dir, "benchmark"), least_words=decontaminate.GRAM)
 
 
 def redacted(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

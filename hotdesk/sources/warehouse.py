@@ -8,7 +8,9 @@ job writes depends on how its rows can collide with loaded ones:
 ``append``              one catalog partition per load (histories, whose keys
                         contain the load timestamp and so can never collide);
 ``upsert``              keyed merge that rewrites the table (small tables);
-``upsert_partitions``   keyed merge that rewrites only the partitions touched.
+``upsert_partitions``   keyed merge that rewrites only the partitions touched;
+``merge_partitions``    the same where the key decides on the partition, so that no
+                        other partition is read either.
 
 A merge, and a load that widens a column, make a new files table, whose partitions name
 the old folders and the new ones, and then replace the view: readers see the table as it
@@ -270,6 +272,27 @@ class Warehouse:
         self._add_partitions(files, layout, places)
         self._publish(table, self._name(files), _shown(rows), None, files)
 
+    def merge_partitions(
+        self,
+        table: str,
+        batch: DataFrame,
+        partition_by: str | list[str],
+        merge: Callable[[DataFrame, DataFrame], DataFrame],
+    ) -> None:
+        """Replaces the partitions of the batch by ``merge(stored rows of these, batch)``.
+
+        For tables where the key of a row alone decides on its partition: no key is looked up
+        in the rest of the table.  ``batch`` is used several times: pass a stored one.
+        """
+        layout = _layout(partition_by)
+        if not self.exists(table):
+            self.rebuild_partitions(table, batch, layout)
+            return
+        touched = _values(batch, layout)
+        if touched:
+            stored = self.read(self._property(table, "files")).where(_is_one_of(layout, touched))
+            self.replace_partitions(table, merge(stored, batch), layout, touched)
+
     def partition_folders(self, table: str, partition_by: str | list[str]) -> dict[tuple, str]:
         """Which folder each partition reads; a partition that was rewritten has another one."""
         return self._folders(self._property(table, "files"), _layout(partition_by))

@@ -11,6 +11,7 @@ from hotdesk.sources.warehouse import Warehouse
 
 # Order of changes: by time, then by the feed's own position.
 CHANGE_ORDER = ["changed_at", "change_id", "change_line", "available_seats"]
+BUCKET = "_part_space"
 
 
 def seat_changes(feed: DataFrame) -> DataFrame:
@@ -33,23 +34,37 @@ def read_changes(spark: SparkSession, folder: str, file_name: str, schema: Struc
     return seat_changes(feed)
 
 
-def keep_seats_current(changes: DataFrame, warehouse: Warehouse, table: str, checkpoint: str) -> StreamingQuery:
-    """Merges every micro-batch into the seats table; starts with what is available.
+def newest_by_space(changes: DataFrame) -> DataFrame:
+    """One row per space, its latest change: an aggregate, so a stream keeps it as state per space."""
+    newest = changes.groupBy("space_id").agg(F.max(F.struct(*CHANGE_ORDER)).alias("newest"))
+    return newest.select("space_id", *[F.col(f"newest.{c}").alias(c) for c in CHANGE_ORDER])
 
-    Each batch is reduced to one row per space before it meets the table.  The later
-    change wins whatever the order of arrival, so a batch that is run again, or rows
-    that come late, leave the table right.
+
+def keep_seats_current(
+    changes: DataFrame, warehouse: Warehouse, table: str, checkpoint: str, buckets: int = 64
+) -> StreamingQuery:
+    """Keeps the seats table current; starts with what is available.
+
+    The latest change per space is streaming state, one row per space.  A micro-batch reads its own
+    changes and hands on the spaces whose seats they changed; those are merged into their
+    buckets of the table, and no other bucket is read or written.  The later change wins
+    against the stored row too, so a batch that is run again, rows that come late and a
+    stream that lost its state leave the table right.
     """
+    bucket = F.pmod(F.xxhash64("space_id"), F.lit(buckets)).cast("int")
+
+    def newest(stored: DataFrame, batch: DataFrame) -> DataFrame:
+        return latest_per_key(append(stored, batch), ["space_id", BUCKET], CHANGE_ORDER, unique_order=True)
 
     def merge(batch: DataFrame, _batch_id: int) -> None:
         current = Warehouse(batch.sparkSession, warehouse.root, warehouse.database)
-        newest = latest_seats(batch)
-        if current.exists(table):
-            newest = latest_seats(append(current.read(table), newest))
-        current.rebuild(table, newest)
+        changed = current.stage(f"{table}_changed", batch.withColumn(BUCKET, bucket))
+        current.merge_partitions(table, changed, BUCKET, newest)
 
     return (
-        changes.writeStream.foreachBatch(merge)
+        newest_by_space(changes)
+        .writeStream.outputMode("update")
+        .foreachBatch(merge)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

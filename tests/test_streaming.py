@@ -42,3 +42,41 @@ def test_a_batch_run_twice_changes_nothing(spark, warehouse):
         known = warehouse.read("seats").unionByName(newest) if warehouse.exists("seats") else newest
         warehouse.rebuild("seats", seats.latest_seats(known))
     assert [r["available_seats"] for r in warehouse.read("seats").collect()] == [20]
+
+
+def _shipped(spark, folder, rows):
+    spark.createDataFrame(rows, SCHEMA).coalesce(1).write.mode("append").parquet(str(folder))
+
+
+def _run(spark, folder, warehouse, state):
+    stream = seats.read_changes(spark, str(folder), "*.parquet", spark.createDataFrame([], SCHEMA).schema)
+    query = seats.keep_seats_current(stream, warehouse, "seats", str(state))
+    query.awaitTermination()
+    return [p for p in query.recentProgress if p["numInputRows"]]
+
+
+def test_a_second_batch_reads_its_changes_and_rewrites_their_buckets(spark, warehouse, tmp_path):
+    first = [(i, i, 1, 5.0, datetime(2001, 1, 1)) for i in range(200)]
+    _shipped(spark, tmp_path / "feed", first)
+    _run(spark, tmp_path / "feed", warehouse, tmp_path / "state")
+    before = warehouse.partition_folders("seats", seats.BUCKET)
+    assert len(before) > 50
+    _shipped(spark, tmp_path / "feed", [(900, 7, 1, 9.0, datetime(2001, 1, 2)), (1, 8, 1, 9.0, datetime(2000, 1, 1))])
+    progress = _run(spark, tmp_path / "feed", warehouse, tmp_path / "state")
+    assert sum(p["numInputRows"] for p in progress) == 2
+    after = warehouse.partition_folders("seats", seats.BUCKET)
+    assert after.keys() == before.keys()
+    assert len([b for b in after if after[b] != before[b]]) in (1, 2)
+    seats_of = {r.space_id: r.available_seats for r in warehouse.read("seats").collect()}
+    assert seats_of == {i: 9 if i == 7 else 5 for i in range(200)}
+
+
+def test_a_stream_that_lost_its_state_leaves_later_changes(spark, warehouse, tmp_path):
+    for state, rows in enumerate(
+        [[(1, 5, 1, 20.0, datetime(2001, 1, 2)), (1, None, 1, 1.0, None)], [(2, 5, 1, 10.0, datetime(2001, 1, 1))]]
+    ):
+        _shipped(spark, tmp_path / f"feed{state}", rows)
+        for _ in range(2):
+            _run(spark, tmp_path / f"feed{state}", warehouse, tmp_path / f"state{state}")
+    found = {(r.space_id, r.available_seats) for r in warehouse.read("seats").collect()}
+    assert found == {(5, 20), (None, 1)}

@@ -39,9 +39,7 @@ FI18 FK18 FO18 FR27 GB22 GE22 GI23 GL18 GR27 GT28 HR21 HU28 IE22 IL23 IQ23 IS26
 LT20 LU20 LV21 LY25 MC27 MD24 ME22 MK19 MN20 MR27 MT31 MU30 NI28 NL18 NO15 OM23 PK24 PL28 PS29 PT25 QA29 RO24 RS22
 RU33 SA24 SC31 SD18 SE24 SI19 SK24 SM27 SO23 ST25 SV28 TL23 TN24 TR26 UA29 VA22 VG24 XK20
 """
-_LENGTHS = F.expr(
-    "map(" + ", ".join(f"'{entry[:2]}', {entry[2:]}" for entry in ACCOUNT_LENGTHS.split()) + ")"
-)
+_LENGTHS = ", ".join(f"'{entry[:2]}', {entry[2:]}" for entry in ACCOUNT_LENGTHS.split())
 
 
 def _digits(value: Column) -> Column:
@@ -90,7 +88,7 @@ def _account(span: Column) -> Column:
 
     An account ends where one of its groups does, so what is written behind it is no part of it.
     """
-    signs = F.element_at(_LENGTHS, F.left(span["value"], F.lit(2)))
+    signs = F.element_at(F.expr(f"map({_LENGTHS})"), F.left(span["value"], F.lit(2)))
     near = F.concat(span["value"], span["right"])
     groups = F.split(F.regexp_extract(near, r"^(?:\x20?[A-Z0-9]++(?![A-Za-z0-9]))++", 0), " ")
 

@@ -644,6 +644,7 @@ _FINAL: dict[str, str] = {
         CAST(year(date) AS INTEGER) AS year, CAST(quarter(date) AS INTEGER) AS quarter,
         CAST(month(date) AS INTEGER) AS month, CAST(isodow(date) AS INTEGER) AS iso_weekday,
         isodow(date) < 6 AS is_weekday FROM days""",
+    "bookings_stream": "SELECT * FROM fact_changes",
     "dq_volume_anomaly": _volume(),
     "dq_circuit_breaker": _breaker(),
     "dq_contract": _contract(),

@@ -28,7 +28,7 @@ from hotdesk.schemas import SOURCES
 from hotdesk.sources import files, landing
 from hotdesk.sources.storage import new_folder
 from hotdesk.sources.warehouse import Warehouse
-from hotdesk.streaming import seats
+from hotdesk.streaming import bookings, seats
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -528,6 +528,19 @@ def seats_cdc_stream(at: Layers) -> DataFrame:
     return warehouse.read("seats")
 
 
+def bookings_stream(at: Layers) -> DataFrame:
+    """The fact as a stream leaves it that reads all versions of all bookings, a third per micro-batch."""
+    warehouse, folder = at.warehouse(), new_folder(at.spark, "landed")
+    for name in daily.LOOKUPS["bookings"]:
+        warehouse.rebuild(name, at.lookup(name.removeprefix("clean_")))
+    landing.booking_changes(at.spark, at.sf_dir).repartition(3, "updated_at").write.parquet(folder)
+    landed = bookings.read_landed(at.spark, folder, files_per_batch=1)
+    bookings.stream_bookings(
+        landed, warehouse, new_folder(at.spark, "stream"), bookings.MONTH, bookings.MONTH, blocking_checks=False
+    ).awaitTermination()
+    return warehouse.read("fact_bookings")
+
+
 def features_after_two_loads(at: Layers) -> Warehouse:
     """Feature tables after two loads: the second merges bookings and spaces, and only months
     that it touches, or that follow them, are made anew."""
@@ -621,6 +634,7 @@ _PLANS: dict[str, Callable[[Layers], DataFrame]] = {
     "dq_contract": dq_contract,
     "seats_cdc_latest": seats_cdc_latest,
     "seats_cdc_stream": seats_cdc_stream,
+    "bookings_stream": bookings_stream,
 }
 
 

@@ -290,9 +290,13 @@ class Warehouse:
             return
         touched = _values(batch, layout)
         if touched:
-            stored = self.read(self._property(table, "files")).where(_is_one_of(layout, touched))
+            stored = self.partitioned(table).where(_is_one_of(layout, touched))
             self.replace_partitions(table, merge(stored, batch), layout, touched)
 
+    def partitioned(self, table: str) -> DataFrame:
+        """A table that is laid out by partition columns, with the hidden ones."""
+        return self.read(self._property(table, "files"))
+
     def partition_folders(self, table: str, partition_by: str | list[str]) -> dict[tuple, str]:
         """Which folder each partition reads; a partition that was rewritten has another one."""
         return self._folders(self._property(table, "files"), _layout(partition_by))

@@ -5,7 +5,12 @@ from __future__ import annotations
 import random
 from datetime import datetime, timedelta
 
-from hotdesk.streaming import seats
+from hotdesk.plans import core, staging
+from hotdesk.plans.clean import clean
+from hotdesk.schemas import SOURCES
+from hotdesk.sources import landing
+from hotdesk.sources.warehouse import Warehouse
+from hotdesk.streaming import bookings, seats
 
 SCHEMA = "l_orderkey BIGINT, l_suppkey BIGINT, l_linenumber INT, l_quantity DOUBLE, l_shipdate TIMESTAMP_NTZ"
 
@@ -80,3 +85,82 @@ def test_a_stream_that_lost_its_state_leaves_later_changes(spark, warehouse, tmp
             _run(spark, tmp_path / f"feed{state}", warehouse, tmp_path / f"state{state}")
     found = {(r.space_id, r.available_seats) for r in warehouse.read("seats").collect()}
     assert found == {(5, 20), (None, 1)}
+
+
+def _landed(spark, sf_dir, tmp_path, files):
+    """Versions of some bookings in files; the latest versions land first."""
+    rows = landing.booking_changes(spark, sf_dir).where("booking_id < 300")
+    rows = spark.createDataFrame(rows.orderBy("updated_at", "booking_id").collect(), rows.schema)
+    pieces = sorted(rows.collect(), key=lambda r: (r.updated_at, r.booking_id), reverse=True)
+    for i in range(files):
+        piece = pieces[i * len(pieces) // files : (i + 1) * len(pieces) // files]
+        spark.createDataFrame(piece, rows.schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "landed"))
+    return rows
+
+
+def _lookups(spark, sf_dir, warehouse):
+    for name in ("status", "booking_types"):
+        warehouse.rebuild(f"clean_{name}", clean(SOURCES[name], landing.landed(spark, sf_dir, name)))
+
+
+def _rows(table):
+    columns = sorted(table.columns)
+    return sorted((tuple(r) for r in table.select(columns).collect()), key=str)
+
+
+def _stream(spark, warehouse, tmp_path, state):
+    landed = bookings.read_landed(spark, str(tmp_path / "landed"), files_per_batch=1)
+    bookings.stream_bookings(
+        landed, warehouse, str(tmp_path / state), bookings.MONTH, bookings.MONTH, blocking_checks=False
+    ).awaitTermination()
+
+
+def test_streamed_bookings_equal_the_batch_load(spark, sf_dir, warehouse, tmp_path):
+    rows = _landed(spark, sf_dir, tmp_path, 3)
+    _lookups(spark, sf_dir, warehouse)
+    _stream(spark, warehouse, tmp_path, "state")
+    current = clean(SOURCES["bookings"], rows)
+    named = [warehouse.read("clean_status"), warehouse.read("clean_booking_types")]
+    fact = core.fact_of_current_bookings(staging.bookings(current, *named))
+    assert _rows(warehouse.read("clean_bookings")) == _rows(current)
+    assert _rows(warehouse.read("fact_bookings")) == _rows(fact)
+    assert warehouse.read("stg_bookings").count() == rows.count()
+    # A stream that starts anew, with the same files: nothing changes, in any table.
+    before = {t: _rows(warehouse.read(t)) for t in ("clean_bookings", "stg_bookings", "fact_bookings")}
+    folders = warehouse.partition_folders("fact_bookings", bookings.MONTH)
+    for i in range(3):
+        bookings.load_batch(
+            warehouse, rows.where(f"booking_id % 3 = {i}"), 100 + i, bookings.MONTH, bookings.MONTH, blocking_checks=False
+        )
+    assert {t: _rows(warehouse.read(t)) for t in before} == before
+    assert warehouse.partition_folders("fact_bookings", bookings.MONTH) == folders
+
+
+def test_a_batch_that_broke_off_is_made_up_for(spark, sf_dir, warehouse, tmp_path, monkeypatch):
+    rows = _landed(spark, sf_dir, tmp_path, 1)
+    _lookups(spark, sf_dir, warehouse)
+    early, late = rows.where("booking_id % 2 = 0"), rows.where("booking_id % 2 = 1")
+
+    def load(landed, batch_id):
+        bookings.load_batch(warehouse, landed, batch_id, bookings.MONTH, bookings.MONTH, blocking_checks=False)
+
+    load(early, 0)
+    replace = Warehouse.replace_partitions
+
+    def broken(self, table, *rest):
+        replace(self, table, *rest)
+        if table == "stg_bookings":
+            raise RuntimeError("lost")
+
+    monkeypatch.setattr(Warehouse, "replace_partitions", broken)
+    try:
+        load(late, 1)
+    except RuntimeError:
+        pass
+    monkeypatch.undo()
+    assert warehouse.read("fact_bookings").where("booking_id % 2 = 1").isEmpty()
+    load(late, 1)
+    assert warehouse.read("fact_bookings").count() == rows.select("booking_id").distinct().count()
+    assert warehouse.read("stg_bookings").count() == rows.count()
+    load(rows.where("false"), 2)
+    assert warehouse.read("stg_bookings").count() == rows.count()

@@ -61,3 +61,61 @@ def test_running_sums_in_parts(spark):
 def test_native_plan(spark, sf_dir):
     plan = sharding.digest(read(spark, sf_dir, "documents"))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def cut_pairs(labels: dict[int, int], hubs: dict[int, int]) -> int:
+    rows = sorted(labels)
+    return sum(hubs[a] == hubs[b] and labels[a] != labels[b] for a in rows for b in rows if a < b)
+
+
+def least_cut(sizes: list[int], quota: tuple[int, ...]) -> int:
+    """The fewest cut pairs of any placement of groups of these sizes, all placements tried."""
+    if not sizes:
+        return 0
+
+    def splits(n: int, rooms: tuple[int, ...]):
+        if len(rooms) == 1:
+            if n <= rooms[0]:
+                yield (n,)
+            return
+        for here in range(min(n, rooms[0]) + 1):
+            for rest in splits(n - here, rooms[1:]):
+                yield (here, *rest)
+
+    size, others = sizes[0], sizes[1:]
+    return min(
+        (size**2 - sum(n * n for n in split)) // 2 + least_cut(others, tuple(q - n for q, n in zip(quota, split)))
+        for split in splits(size, quota)
+    )
+
+
+@pytest.mark.parametrize(
+    "sizes, shards, alone, times",
+    # A hub that no shard can hold may end in a local optimum.
+    [([2, 2, 2, 2], 2, 0, 1), ([3, 2, 2], 3, 5, 1), ([4, 4, 4], 3, 0, 1), ([7, 2], 4, 7, 1), ([6, 2, 2], 3, 4, 2)],
+)
+def test_rounds_lower_the_cut_as_far_as_the_best_of_all_placements(spark, sizes, shards, alone, times):
+    hubs = {row: hub for row, hub in enumerate(h for h, n in enumerate(sizes) for _ in range(n))}
+    quota = sharding.quotas(len(hubs) + alone, shards)
+    edges = spark.createDataFrame(list(hubs.items()), "row long, hub string")
+    cuts = []
+    for state, cut, load in sharding.rounds(sharding.start(edges, shards), quota):
+        labels = {r["row"]: r["shard"] for r in state.collect()}
+        assert labels.keys() == hubs.keys()
+        assert load == [sum(at == s for at in labels.values()) for s in range(shards)]
+        assert all(n <= most for n, most in zip(load, quota, strict=True))
+        assert cut == cut_pairs(labels, hubs)
+        cuts.append(cut)
+    assert all(a > b for a, b in zip(cuts, cuts[1:])) and len(cuts) > 1
+    assert cuts[-1] <= times * least_cut(sizes, tuple(quota))
+
+
+def test_columns_of_the_operator_s_own_names_are_kept(spark):
+    names = ["hub", "to", "part", "part__", "weight__", "held", "number", "all", "size", "given", "before", "lane"]
+    columns = ", ".join(f"{name} string" for name in names)
+    docs = spark.createDataFrame(
+        [(i, f"g{i // 2}", *names) for i in range(12)], f"row long, group string, {columns}"
+    )
+    found = sharding.shard(docs, 3)
+    assert found.columns == [*docs.columns, "shard", "slot"]
+    assert all(row[2:-2] == tuple(names) for row in found.collect())

@@ -45,9 +45,14 @@ def quotas(rows: int, shards: int) -> list[int]:
 
 def start(edges: DataFrame, shards: int) -> DataFrame:
     """Edges (row, hub) of documents that have neighbours, dealt out evenly: the first labels."""
-    sizes = edges.groupBy("hub").agg(F.count("*").alias("size")).where("size > 1")
-    linked = edges.join(sizes, "hub").withColumn("all", F.lit(0))
-    linked = stored(linked.withColumn("part", F.pmod(F.xxhash64("row"), parts_of(F.col("size")))), "edges")
+    # Edges meet the size of their hub in strands, so that one hub of all rows is many keys.
+    strand = F.pmod(F.xxhash64("row"), parts_of(F.lit(edges.count()))).alias("strand")
+    strands = edges.groupBy("hub", strand).agg(F.count("*").alias("n"))
+    sizes = strands.groupBy("hub").agg(F.sum("n").alias("size")).where("size > 1")
+    sizes = strands.join(sizes, "hub").select("hub", "strand", "size")
+    linked = edges.select("row", "hub", strand).join(sizes, ["hub", "strand"]).withColumn("all", F.lit(0))
+    linked = linked.withColumn("part", F.pmod(F.xxhash64("row"), parts_of(F.col("size")))).drop("strand")
+    linked = stored(linked, "edges")
     dealt = numbered(linked, ["all"], parts_of(F.lit(linked.count())), "row", "number")
     return dealt.select("row", "hub", "size", "part", (F.col("number") % shards).cast("int").alias("shard"))
 

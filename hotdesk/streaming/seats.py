@@ -57,7 +57,7 @@ def keep_seats_current(
         return latest_per_key(append(stored, batch), ["space_id", BUCKET], CHANGE_ORDER, unique_order=True)
 
     def merge(batch: DataFrame, _batch_id: int) -> None:
-        current = Warehouse(batch.sparkSession, warehouse.root, warehouse.database)
+        current = warehouse.within(batch.sparkSession)
         changed = current.stage(f"{table}_changed", batch.withColumn(BUCKET, bucket))
         current.merge_partitions(table, changed, BUCKET, newest)
 

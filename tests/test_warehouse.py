@@ -7,7 +7,7 @@ from datetime import date, datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from hotdesk.sources.warehouse import TypeChanged
+from hotdesk.sources.warehouse import TypeChanged, Warehouse
 
 D1, D2, D3 = date(2001, 1, 1), date(2001, 1, 2), date(2001, 1, 3)
 SCHEMA = "k INT, v STRING, day DATE"
@@ -248,3 +248,14 @@ def test_a_merge_of_many_partitions_is_seen_at_once(spark, warehouse, monkeypatc
     assert len(seen) >= 4 and all([tuple(r) for r in state] == [("old", 1000)] for state in seen)
     assert [tuple(r) for r in warehouse.read("t").groupBy("v").count().collect()] == [("new", 1000)]
     assert reader.count() == 1000  # planned before the merge
+
+
+def test_a_cluster_without_a_shared_catalog(spark, sf_dir, tmp_path, monkeypatch):
+    """Lasting tables are refused there; a query's own warehouse is for its session alone."""
+    from hotdesk.queries import QUERIES
+
+    monkeypatch.setattr("hotdesk.sources.warehouse.one_process", lambda spark: False)
+    with pytest.raises(ValueError, match="outlives the session"):
+        Warehouse(spark, str(tmp_path / "lasting"), "lasting")
+    for name in ("append_only", "seats_cdc_stream"):  # one that loads and one whose micro-batches do
+        assert QUERIES[name](spark, sf_dir).count() > 0

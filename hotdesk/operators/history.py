@@ -1,9 +1,9 @@
 """Versioned (type-2) history and point-in-time joins.
 
-No step here sorts all rows of one key in a single task: rows are windowed per (key, slot)
-and what crosses a slot's boundary is computed on one pre-aggregated row per (key, slot), so
-a key that holds a large share of the data is spread out.  A slot is a day, or a range of
-rows where a key's day is too busy for a task.
+No step here sorts all rows of a key that is too busy for a task: such rows are windowed per
+(key, slot) and what crosses a slot's boundary is computed on one pre-aggregated row per (key,
+slot), so a key that holds a large share of the data is spread out.  A slot is a day, or a
+range of rows where a key's day is too busy for a task.  Other keys take one window.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from hotdesk.operators.incremental import timestamp_literal
-from hotdesk.operators.slots import SLOT, slotted
+from hotdesk.operators.slots import SLOT, cut
 
 # Fixed value: end of a version that is still open.
 OPEN_END = datetime(9999, 12, 31)
@@ -24,12 +24,14 @@ def with_next(rows: DataFrame, key: str, at: str, name: str) -> DataFrame:
 
     Rows without a key or a timestamp have no place in a history: they get NULL.
     """
-    in_slots = slotted(rows, key, [at], F.to_date(at))
-    first_of_slot = in_slots.groupBy(key, SLOT).agg(F.min(at).alias("_first"))
+    in_slots, is_cut = cut(rows, [key], [at], F.to_date(at))
+    placed = F.col(key).isNotNull() & F.col(at).isNotNull()
+    if is_cut is None:
+        return rows.withColumn(name, F.when(placed, F.lead(at).over(Window.partitionBy(key).orderBy(at))))
+    first_of_slot = in_slots.where(is_cut).groupBy(key, SLOT).agg(F.min(at).alias("_first"))
     following = first_of_slot.select(
         key, SLOT, F.lead("_first").over(Window.partitionBy(key).orderBy(SLOT)).alias("_following")
     )
-    placed = F.col(key).isNotNull() & F.col(at).isNotNull()
     same_slot = F.when(placed, F.lead(at).over(Window.partitionBy(key, SLOT).orderBy(at)))
     return (
         in_slots.withColumn("_same_slot", same_slot)
@@ -60,29 +62,34 @@ def point_in_time_join(
     at: str | Column,
     columns: dict[str, str],
     how: str = "inner",
+    counted: DataFrame | None = None,
 ) -> DataFrame:
     """Adds the columns of the version that was valid at the moment of the fact.
 
     ``columns`` maps version columns to their new names.  ``versions`` carries
     ``valid_from`` and ``valid_to`` and does not overlap within a key.  Facts and versions
     are merged by time at every size: (fact, version) pairs are never formed, so a key with
-    very many versions costs no more than they are.
+    very many versions costs no more than they are.  ``counted`` has the facts' keys and
+    moments, where these are cheaper to read than the facts.
     """
     moment = F.col(at) if isinstance(at, str) else at
+    counted = (facts if counted is None else counted).select(F.col(key), moment.alias("_at"))
     slim = versions.where(F.col(key).isNotNull() & F.col("valid_from").isNotNull()).select(
         F.col(key), "valid_from", "valid_to", *columns
     )
-    return _merge_by_time(facts.withColumn("_at", moment), slim, key, columns, how).drop("_at")
+    return _merge_by_time(facts.withColumn("_at", moment), slim, key, columns, how, counted).drop("_at")
 
 
-def _merge_by_time(facts: DataFrame, versions: DataFrame, key: str, columns: dict[str, str], how: str) -> DataFrame:
+def _merge_by_time(
+    facts: DataFrame, versions: DataFrame, key: str, columns: dict[str, str], how: str, counted: DataFrame
+) -> DataFrame:
     """Linear merge: each fact takes the last version started up to its moment.
 
     Never forms (fact, version) pairs, so its work is the sum of both sides.  Facts
     without a key or a moment cannot match and take no part in the shuffle.
     """
     placeable = F.col(key).isNotNull() & F.col("_at").isNotNull()
-    merged = _last_started(facts.where(placeable), versions, key, columns)
+    merged = _last_started(facts.where(placeable), versions, key, columns, counted.where(placeable))
     if how == "inner":
         return merged.where(F.col("_found").isNotNull()).select(
             *facts.columns, *[F.col(f"_found.{new}").alias(new) for new in columns.values()]
@@ -96,7 +103,9 @@ def _merge_by_time(facts: DataFrame, versions: DataFrame, key: str, columns: dic
     ).unionByName(unplaced)
 
 
-def _last_started(facts: DataFrame, versions: DataFrame, key: str, columns: dict[str, str]) -> DataFrame:
+def _last_started(
+    facts: DataFrame, versions: DataFrame, key: str, columns: dict[str, str], counted: DataFrame
+) -> DataFrame:
     """Adds ``_found``: the version that is valid at ``_at``, or NULL."""
     started = versions.select(
         F.col(key),
@@ -107,23 +116,26 @@ def _last_started(facts: DataFrame, versions: DataFrame, key: str, columns: dict
     )
     timeline = facts.withColumn("_is_fact", F.lit(True)).unionByName(started, allowMissingColumns=True)
     # A version that starts at the very moment of a fact sorts before it: NULL comes first.
-    timeline = slotted(timeline, key, ["_at", "_is_fact"], F.to_date("_at"))
+    counted = counted.unionByName(started.select(key, "_at"))
+    timeline, is_cut = cut(timeline, [key], ["_at", "_is_fact"], F.to_date("_at"), counted)
     so_far = (
         Window.partitionBy(key, SLOT)
         .orderBy("_at", F.col("_is_fact").asc_nulls_first())
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
+    found = timeline.withColumn("_found", F.last("_version", ignorenulls=True).over(so_far)).where("_is_fact")
+    if is_cut is not None:
+        carried = _carried_versions(timeline.where(is_cut), key)
+        found = found.join(carried, [key, SLOT], "left").withColumn("_found", F.coalesce("_found", "_carried"))
+    return found.withColumn("_found", F.when(F.col("_at") < F.col("_found._to"), F.col("_found")))
+
+
+def _carried_versions(timeline: DataFrame, key: str) -> DataFrame:
+    """Per (key, slot), the last version that started in an earlier slot."""
     last_of_slot = timeline.groupBy(key, SLOT).agg(
         F.max_by("_version", F.when(F.col("_is_fact").isNull(), F.col("_at"))).alias("_last")
     )
     earlier_slots = Window.partitionBy(key).orderBy(SLOT).rowsBetween(Window.unboundedPreceding, -1)
-    carried = last_of_slot.select(
+    return last_of_slot.select(
         key, SLOT, F.last("_last", ignorenulls=True).over(earlier_slots).alias("_carried")
     )
-    return (
-        timeline.withColumn("_same_slot", F.last("_version", ignorenulls=True).over(so_far))
-        .where("_is_fact")
-        .join(carried, [key, SLOT], "left")
-        .withColumn("_found", F.coalesce("_same_slot", "_carried"))
-        .withColumn("_found", F.when(F.col("_at") < F.col("_found._to"), F.col("_found")))
-    )

@@ -54,11 +54,11 @@ def with_the_past(dated: DataFrame, carried: DataFrame | None = None) -> DataFra
     ``carried`` has the measures' sums of bookings that lie before all of these, per user and app.
     """
     order = [CHECK_IN, "booking_id"]
-    known = with_prior_count(dated, "user_id", CHECK_IN, order, "app_type", "_same_app")
+    counted = dated.select("user_id", CHECK_IN)
+    known = with_prior_count(dated, "user_id", CHECK_IN, order, "app_type", "_same_app", counted)
+    led = {"_leading_app": leader(F.col("_same_app"), F.col("app_type"))}
     if carried is None:
-        return prior_totals(
-            known, "user_id", CHECK_IN, order, _measures(), {"_leading_app": leader(F.col("_same_app"), F.col("app_type"))}
-        )
+        return prior_totals(known, "user_id", CHECK_IN, order, _measures(), led, counted)
     names = list(_measures())
     apps = carried.select(
         F.col("user_id").alias("_user"), F.col("app_type").alias("_app"), F.col("prior_bookings").alias("_carried")
@@ -73,7 +73,8 @@ def with_the_past(dated: DataFrame, carried: DataFrame | None = None) -> DataFra
         CHECK_IN,
         order,
         _measures(),
-        {"_leading_app": leader(F.col("_same_app"), F.col("app_type"))},
+        led,
+        counted,
     )
     led = F.when(F.col("app_type").isNotNull(), F.struct((-F.col("prior_bookings")).alias("_n"), F.col("app_type").alias("_value")))
     users = carried.groupBy(F.col("user_id").alias("_user")).agg(
@@ -100,9 +101,17 @@ def wide_booking_features(
         "user_id", "booking_id", "check_in_date", "duration_minutes", "credits_used", "app_type",
         "space_id", CHECK_IN, *_POINT, "is_cancelled", "is_no_show",
     )
-    past = with_the_past(dated, carried)
+    # Told here, in five columns, what is known of the past goes through the join with the spaces.
+    past = with_the_past(dated, carried).select(
+        *dated.columns,
+        "prior_bookings",
+        rules.rounded(rules.ratio(F.col("_no_shows"), F.col("prior_bookings")), 4).alias("prior_no_show_rate"),
+        rules.rounded(rules.ratio(F.col("_minutes"), F.col("_timed"))).alias("prior_mean_duration"),
+        first_maximum([F.col(f"_hour_{h}") for h in HOURS]).alias("prior_preferred_hour"),
+        F.col("_leading_app._value").alias("prior_favourite_app"),
+    )
     placed = point_in_time_join(
-        attended(past),
+        attended(past).drop("is_cancelled", "is_no_show"),
         dim_spaces,
         "space_id",
         CHECK_IN,
@@ -114,6 +123,7 @@ def wide_booking_features(
             "latitude": "_latitude",
             "longitude": "_longitude",
         },
+        counted=attended(dated),
     )
     return placed.select(
         "user_id",
@@ -128,10 +138,10 @@ def wide_booking_features(
         "occupancy_rate_pct",
         rules.distance_km(*[F.col(c) for c in (*_POINT, "_latitude", "_longitude")]).alias("distance_km"),
         "prior_bookings",
-        rules.rounded(rules.ratio(F.col("_no_shows"), F.col("prior_bookings")), 4).alias("prior_no_show_rate"),
-        rules.rounded(rules.ratio(F.col("_minutes"), F.col("_timed"))).alias("prior_mean_duration"),
-        first_maximum([F.col(f"_hour_{h}") for h in HOURS]).alias("prior_preferred_hour"),
-        F.col("_leading_app._value").alias("prior_favourite_app"),
+        "prior_no_show_rate",
+        "prior_mean_duration",
+        "prior_preferred_hour",
+        "prior_favourite_app",
     )
 
 

@@ -92,7 +92,9 @@ class Layers:
         return getattr(core, f"dim_{name}")(self.stg(name))
 
     def space_history(self) -> DataFrame:
-        return self.dim("spaces")
+        """The versions of the spaces, stored: they are counted and then read again."""
+        staged = self.stored("stg_spaces", self.spaces)
+        return self.stored("dim_spaces", lambda: core.dim_spaces(staged))
 
     def changes(self) -> DataFrame:
         """Several staged versions per booking."""

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
 
 from hotdesk import queries
+from hotdesk.operators import slots
 from hotdesk.plans import feature_store, features
 
 TABLES = {"user_months": "month", "user_places": "month", "space_months": "month", "wide_booking_features": "_part_month"}
@@ -66,3 +67,36 @@ def test_all_tables_equal_a_full_build(two_loads):
 def test_a_refresh_without_changes_does_nothing(two_loads):
     _, warehouse, refreshes = two_loads
     assert feature_store.refresh(warehouse, "fact_bookings", ["check_in_month"]) == set()
+
+
+def past_rows(spark):
+    """One busy user, some others and rows without a user, over two days."""
+    user = lambda i: 0 if i % 2 else None if i % 10 == 0 else 1 + i % 7
+    start = datetime(2001, 1, 1, 5)
+    rows = [
+        (i, user(i), start + timedelta(minutes=37 * i), "ab"[i % 3 > 0], i % 40, i % 5 == 0) for i in range(80)
+    ]
+    return spark.createDataFrame(
+        rows,
+        "booking_id INT, user_id INT, check_in_datetime TIMESTAMP_NTZ, app_type STRING, duration_minutes INT,"
+        " is_no_show BOOLEAN",
+    )
+
+
+def test_the_past_takes_one_shuffle(spark):
+    """Users that fit a task: windows over user and app, and over the user, by one exchange and no join."""
+    plan = features.with_the_past(past_rows(spark))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
+
+
+@pytest.mark.parametrize("limit", [20, 2])
+def test_only_busy_users_are_cut(spark, monkeypatch, limit):
+    """The same past whether no user, one user (by hours) or every moment is cut."""
+    rows = past_rows(spark)
+    whole = sorted(map(repr, features.with_the_past(rows).collect()))
+    monkeypatch.setattr(slots, "LIMIT", limit)
+    assert sorted(map(repr, features.with_the_past(rows).collect())) == whole
+    hour = F.date_trunc("hour", "check_in_datetime")
+    found = slots.slotted(rows, "user_id", ["check_in_datetime"], hour).where("_slot IS NOT NULL")
+    keys = {r["user_id"] for r in found.select("user_id").distinct().collect()}
+    assert keys == {0} if limit == 20 else 0 in keys

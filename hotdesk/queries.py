@@ -127,22 +127,44 @@ class Layers:
 
 
 class StoredLayers(Layers):
-    """The same layers at rest: every table is computed once, from the stored one below it."""
+    """The layers as the declared checks read them: what is read again is computed once and stored.
+
+    Clean tables, landed spaces and their history are stored whole. Staging is a projection of a clean
+    table, made as it is read. The fact and the dimensions, which no other table is made of, are
+    stored with the columns that are checked.
+    """
+
+    def __init__(self, spark: SparkSession, sf_dir: str, declared: list[quality.Check]):
+        super().__init__(spark, sf_dir)
+        self.declared = declared
+
+    def raw(self, name: str) -> DataFrame:
+        """The spaces, which clean and staging both read, are derived from the lines once."""
+        rows = lambda: Layers.raw(self, name)
+        return self.stored("raw_spaces", rows) if name == "spaces" else rows()
 
     def clean(self, name: str) -> DataFrame:
         return self.stored(f"clean_{name}", lambda: Layers.clean(self, name))
 
-    def stg(self, name: str) -> DataFrame:
-        return self.stored(f"stg_{name}", lambda: Layers.stg(self, name))
+    def spaces(self) -> DataFrame:
+        return self.stored("stg_spaces", lambda: Layers.spaces(self))
 
     def fact(self) -> DataFrame:
-        return self.stored("fact_bookings", lambda: Layers.fact(self))
+        return self.stored("fact_bookings", lambda: self._checked("fact_bookings", Layers.fact(self)))
 
     def dim(self, name: str) -> DataFrame:
-        return self.stored(f"dim_{name}", lambda: Layers.dim(self, name))
-
-    def models(self, declared: list[quality.Check]) -> dict[str, DataFrame]:
-        names = {c.table for c in declared} | {c.parent[0] for c in declared if c.parent}
+        return self.stored(f"dim_{name}", lambda: self._checked(f"dim_{name}", Layers.dim(self, name)))
+
+    def _checked(self, table: str, rows: DataFrame) -> DataFrame:
+        """The columns that checks of the table name, or of its children."""
+        checks = [c for c in self.declared if c.table == table]
+        if any(c.condition for c in checks):
+            return rows
+        names = {c.column for c in checks} | {c.parent[1] for c in self.declared if c.parent and c.parent[0] == table}
+        return rows.select(*[c for c in rows.columns if c in names])
+
+    def models(self) -> dict[str, DataFrame]:
+        names = {c.table for c in self.declared} | {c.parent[0] for c in self.declared if c.parent}
         return {name: self.model(name) for name in sorted(names)}
 
 
@@ -485,7 +507,7 @@ def partition_pruned_scan(at: Layers) -> DataFrame:
 
 def check_report(at: Layers, *kinds: str) -> DataFrame:
     declared = checks.of_kind(*kinds) if kinds else list(checks.CHECKS)
-    return quality.report(StoredLayers(at.spark, at.sf_dir).models(declared), declared)
+    return quality.report(StoredLayers(at.spark, at.sf_dir, declared).models(), declared)
 
 
 def dq_no_checkin_on_cancelled(at: Layers) -> DataFrame:
@@ -507,7 +529,7 @@ def dq_volume_anomaly(at: Layers) -> DataFrame:
 
 def dq_circuit_breaker(at: Layers) -> DataFrame:
     declared = checks.of_kind(*quality.ROW_KINDS)
-    return quality.circuit_breaker(StoredLayers(at.spark, at.sf_dir).models(declared), declared)
+    return quality.circuit_breaker(StoredLayers(at.spark, at.sf_dir, declared).models(), declared)
 
 
 def dq_contract(at: Layers) -> DataFrame:

@@ -118,3 +118,19 @@ def test_contract(spark):
     }
     missing = quality.contract({"s": landed["s"].select("k")}, sources).where("column_name = 'updated_at'").first()
     assert (missing["delivered_type"], missing["null_count"], missing["is_kept"]) == (None, None, False)
+
+
+def test_only_what_is_checked_is_stored(spark, sf_dir):
+    """Staging is made as it is read, the fact keeps its checked columns, and no row is lost."""
+    from hotdesk.plans import checks
+    from hotdesk.queries import Layers, StoredLayers
+
+    at = StoredLayers(spark, sf_dir, checks.of_kind("unique"))
+    models = at.models()
+    assert {"stg_bookings", "stg_users"} <= set(models) and not {"stg_bookings", "stg_users"} & set(at._stored)
+    assert at._stored["fact_bookings"].columns == ["booking_dw_sk", "booking_id"]
+    assert models["fact_bookings"].count() == Layers(spark, sf_dir).fact().count()
+    every = StoredLayers(spark, sf_dir, list(checks.CHECKS)).models()
+    for check in checks.CHECKS:
+        assert check.column in every[check.table].columns
+        assert not check.parent or check.parent[1] in every[check.parent[0]].columns

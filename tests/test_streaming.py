@@ -3,12 +3,18 @@
 from __future__ import annotations
 
 import random
+import time
 from datetime import datetime, timedelta
+from pathlib import Path
+from uuid import uuid4
+
+from pyspark.sql import functions as F
 
 from hotdesk.plans import core, staging
 from hotdesk.plans.clean import clean
 from hotdesk.schemas import SOURCES
 from hotdesk.sources import landing
+from hotdesk.sources.storage import SHUFFLE_CLEANUP, short_lived_shuffles
 from hotdesk.sources.warehouse import Warehouse
 from hotdesk.streaming import bookings, seats
 
@@ -164,3 +170,48 @@ def test_a_batch_that_broke_off_is_made_up_for(spark, sf_dir, warehouse, tmp_pat
     assert warehouse.read("stg_bookings").count() == rows.count()
     load(rows.where("false"), 2)
     assert warehouse.read("stg_bookings").count() == rows.count()
+
+
+def test_a_stream_keeps_two_states_of_a_table_and_no_stage(spark, sf_dir, tmp_path, monkeypatch):
+    _landed(spark, sf_dir, tmp_path, 3)
+    own = Warehouse(spark, str(tmp_path / "own"), f"test_{uuid4().hex[:12]}", lasting=False)
+    _lookups(spark, sf_dir, own)
+    settings, load = [], bookings.load_batch
+
+    def seen(current, *rest):
+        settings.append(current.spark.conf.get(SHUFFLE_CLEANUP))
+        load(current, *rest)
+
+    monkeypatch.setattr(bookings, "load_batch", seen)
+    _stream(spark, own, tmp_path, "state")
+    assert settings == ["true"] * 3
+    assert not [*(tmp_path / "own" / "_stage").rglob("*.parquet")]
+    for table in ("clean_bookings", "fact_bookings"):
+        named = set()
+        for state in ("files", "files_before"):
+            named |= set(own._folders(own._property(table, state), [bookings.MONTH]).values())
+        on_disk = {p.parent for p in (tmp_path / "own" / table).rglob("*.parquet")}
+        assert on_disk == {Path(folder.removeprefix("file:")) for folder in named}
+
+
+def test_shuffle_files_go_with_their_job(spark, tmp_path):
+    def files():
+        disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+        names = [Path(folder).rglob("shuffle_*") for folder in disk.localDirsString()]
+        return {f.name for found in names for f in found}
+
+    def write(folder):
+        spark.range(2000).groupBy((F.col("id") % 7).alias("k")).count().write.parquet(str(tmp_path / folder))
+
+    before = files()
+    write("kept")
+    assert files() - before
+    with short_lived_shuffles(spark):
+        before = files()
+        write("gone")
+        until = time.time() + 20
+        while files() - before and time.time() < until:
+            time.sleep(0.2)
+        assert not files() - before
+    assert spark.conf.get(SHUFFLE_CLEANUP) == "false"
+    assert spark.read.parquet(str(tmp_path / "gone")).count() == 7

@@ -259,3 +259,25 @@ def test_a_cluster_without_a_shared_catalog(spark, sf_dir, tmp_path, monkeypatch
         Warehouse(spark, str(tmp_path / "lasting"), "lasting")
     for name in ("append_only", "seats_cdc_stream"):  # one that loads and one whose micro-batches do
         assert QUERIES[name](spark, sf_dir).count() > 0
+
+
+def test_many_rows_are_merged_in_shares(spark, warehouse, monkeypatch):
+    from hotdesk.sources import warehouse as module
+
+    days = [None, *(date(2001, 1, 1) + timedelta(days=i) for i in range(9))]
+    first = [(i, "old", days[i % 10]) for i in range(100)] + [(None, "old", D1)]
+    batch = [(i, "new", days[(i * 7 + 3) % 10]) for i in range(0, 120, 3)] + [(None, "new", None)]
+    warehouse.rebuild_partitions("t", frame(spark, first, W1), "day", "at")
+    written, write = [], module._write_partitioned
+
+    def counted(rows, *rest, **more):
+        written.append(rows.count())
+        return write(rows, *rest, **more)
+
+    monkeypatch.setattr(module, "MERGED_ROWS", 30)
+    monkeypatch.setattr(module, "_write_partitioned", counted)
+    warehouse.upsert_partitions("t", frame(spark, batch), ["k"], "day", "at")
+    want = {r[0]: r for r in [*first, *batch]}
+    assert len(written) > 3 and max(written) <= 30 and sum(written) == len(want)
+    assert rows_of(warehouse) == set(want.values())
+    assert warehouse.loaded_through("t") == W2
